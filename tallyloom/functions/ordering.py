@@ -15,7 +15,7 @@ is one row from the first shuffle on.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -193,3 +193,36 @@ def named_column(df: DataFrame, *columns: str) -> DataFrame:
     """Long form (column, value) of numeric columns, values as double; NaN counts as missing."""
     doubles = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns]
     return df.select(*doubles).unpivot([], list(columns), "column", "value")
+
+
+def cut_point(df: DataFrame, levels: Sequence[Column], position: Callable[[Column], Column]) -> DataFrame:
+    """The key at a 0-based position of a table ordered by ``levels``, found without sorting it.
+
+    ``levels`` are order keys, each refining the one before (day, then key prefix, then key). Level
+    by level the rows inside the boundary key are counted per next key and the counts cumulated, so
+    a window only ever sees the distinct keys of one level below one boundary. ``position`` maps the
+    row count to the wanted position. One row ``(_l0, .., _before, _at)`` where ``_before`` counts
+    the rows with a smaller key; no row if the position is not inside the table.
+    """
+    keys = [level.alias(f"_l{i}") for i, level in enumerate(levels)]
+    found = None
+    for i in range(len(keys)):
+        rows = df.select(*keys[: i + 1])
+        above = [f"_l{n}" for n in range(i)]
+        if found is None:
+            counts = rows.groupBy("_l0").agg(F.count("*").alias("_n"))
+            counts = counts.withColumn("_base", F.lit(0).cast("long"))
+        else:
+            rows = rows.join(F.broadcast(found), above)  # one row
+            counts = rows.groupBy(*above, f"_l{i}", "_base", "_at").agg(F.count("*").alias("_n"))
+        upto = Window.orderBy(f"_l{i}").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn(
+            "_before", F.col("_base") + F.coalesce(F.sum("_n").over(upto), F.lit(0))
+        )
+        if found is None:
+            total = F.sum("_n").over(Window.partitionBy())
+            counts = counts.withColumn("_at", position(total).cast("long"))
+        found = counts.where(
+            (F.col("_before") <= F.col("_at")) & (F.col("_at") < F.col("_before") + F.col("_n"))
+        ).select(*above, f"_l{i}", F.col("_before").alias("_base"), "_at")
+    return found.withColumnRenamed("_base", "_before")

@@ -181,7 +181,10 @@ def _article_query(name: str, *columns: str):
 
     @query(name, f"{ARTICLE_SQL} SELECT article_id, {listed} FROM article_basic")
     def build(spark, sf_dir):
-        return art.article_features(retail.articles(spark, sf_dir)).select("article_id", *columns)
+        articles = retail.articles(spark, sf_dir)
+        if set(columns) <= set(art.CODED):
+            return art.category_codes(articles, art.CODED).select("article_id", *columns)
+        return articles.select("*", *art.style_columns()).select("article_id", *columns)
 
     return build
 

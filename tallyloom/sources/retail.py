@@ -19,6 +19,7 @@ TX_COLUMNS = {
     "order_id": "l_orderkey",
     "line_no": "l_linenumber",
     "supplier_id": "l_suppkey",
+    "amount_cents": "CAST(round(l_extendedprice * 100) AS BIGINT)",
     "quantity": "l_quantity",
     "returned": "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END",
 }
