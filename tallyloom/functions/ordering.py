@@ -201,8 +201,9 @@ def cut_point(df: DataFrame, levels: Sequence[Column], position: Callable[[Colum
     ``levels`` are order keys, each refining the one before (day, then key prefix, then key). Level
     by level the rows inside the boundary key are counted per next key and the counts cumulated, so
     a window only ever sees the distinct keys of one level below one boundary. ``position`` maps the
-    row count to the wanted position. One row ``(_l0, .., _before, _at)`` where ``_before`` counts
-    the rows with a smaller key; no row if the position is not inside the table.
+    row count to the wanted position. One row ``(_l0, .., _before, _size, _at)`` where ``_before``
+    counts the rows with a smaller key and ``_size`` those with this key; no row if the position is
+    not inside the table.
     """
     keys = [level.alias(f"_l{i}") for i, level in enumerate(levels)]
     found = None
@@ -224,5 +225,7 @@ def cut_point(df: DataFrame, levels: Sequence[Column], position: Callable[[Colum
             counts = counts.withColumn("_at", position(total).cast("long"))
         found = counts.where(
             (F.col("_before") <= F.col("_at")) & (F.col("_at") < F.col("_before") + F.col("_n"))
-        ).select(*above, f"_l{i}", F.col("_before").alias("_base"), "_at")
+        ).select(*above, f"_l{i}", F.col("_before").alias("_base"), F.col("_n").alias("_size"), "_at")
+        if i + 1 < len(keys):
+            found = found.drop("_size")
     return found.withColumnRenamed("_base", "_before")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.hashing import key_modulo, key_number, text_key
 from tallyloom.functions.ordering import cut_point, dense_rank_of_values
+from tallyloom.session import stored
 
 # Fixed values
 MAX_INTERACTIONS = 50
@@ -78,39 +79,35 @@ def temporal_split(
     ties = list(tie_cols or transactions.columns)
     key = text_key(*[F.col(c) for c in ties])
     moment = F.col(date_col)
-    levels = [F.to_date(moment), moment, F.substring(key, 1, 5), key]
-    if transactions.schema[date_col].dataType.typeName() == "date":
-        levels = [moment, F.substring(key, 1, 5), key]
-    cut = cut_point(transactions, levels, lambda rows: F.floor(rows * F.lit(1.0 - validation)))
-    names = [f"_l{i}" for i in range(len(levels))]
-    boundary = cut.select(
-        F.struct(*names, (F.col("_at") - F.col("_before")).alias("_train_copies")).alias("b")
-    ).scalar()
-    edge = transactions.withColumn("_b", boundary)
+    levels = [moment, F.substring(key, 1, 5), key]
+    if transactions.schema[date_col].dataType.typeName() != "date":
+        levels = [F.to_date(moment), *levels]
+    edge = cut_point(transactions, levels, lambda rows: F.floor(rows * F.lit(1.0 - validation))).first()
+    if edge is None:  # nothing to validate on
+        return transactions, transactions.where(F.lit(False))
     # compare level by level, so the key is only computed for rows on the boundary date
-    before, after, same = F.lit(False), F.lit(False), F.lit(True)
+    before, same = F.lit(False), F.lit(True)
     for i, level in reversed(list(enumerate(levels))):
-        at = F.col(f"_b._l{i}")
+        at = F.lit(edge[f"_l{i}"])
         before = (level < at) | ((level == at) & before)
-        after = (level > at) | ((level == at) & after)
         same = (level == at) & same
-    whole = F.col("_b").isNull()
+    copies = edge["_at"] - edge["_before"]
+    if copies == 0:
+        return transactions.where(before), transactions.where(~before)
+    # The cut falls among equal rows: count them out. Tie columns may leave out other columns, so
+    # the few distinct rows are put in order first.
     columns = transactions.columns
-    # tie columns may leave out others: rows with equal ties but other values stay apart
-    copies = edge.where(same).groupBy(*columns, "_b").agg(F.count("*").alias("_n"))
-    ordered = Window.orderBy(*[F.col(c) for c in columns]).rowsBetween(Window.unboundedPreceding, -1)
-    placed = copies.withColumn("_done", F.coalesce(F.sum("_n").over(ordered), F.lit(0)))
-    in_train = F.least(
-        F.greatest(F.col("_b._train_copies") - F.col("_done"), F.lit(0)), F.col("_n")
+    ordered = Window.orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    equal = (
+        transactions.where(same).groupBy(*columns).agg(F.count("*").alias("_n"))
+        .withColumn("_done", F.coalesce(F.sum("_n").over(ordered), F.lit(0)))
+        .withColumn("_train", F.least(F.greatest(F.lit(copies) - F.col("_done"), F.lit(0)), F.col("_n")))
+        .withColumn("_rest", F.col("_n") - F.col("_train"))
     )
-    divided = placed.select(*columns, in_train.alias("_train"), (F.col("_n") - in_train).alias("_rest"))
-    train = edge.where(whole | before).select(*columns).unionByName(
-        _copies(divided.drop("_rest"), "_train")
-    )
-    rest = edge.where(~whole & after).select(*columns).unionByName(
-        _copies(divided.drop("_train"), "_rest")
+    return (
+        transactions.where(before).unionByName(_copies(equal.select(*columns, "_train"), "_train")),
+        transactions.where(~before & ~same).unionByName(_copies(equal.select(*columns, "_rest"), "_rest")),
     )
-    return train, rest
 
 
 def split_by_date(
@@ -135,63 +132,67 @@ def negative_samples(
 ) -> DataFrame:
     """``rows(positives) * per_positive`` distinct unknown pairs, drawn uniformly and repeatably.
 
-    Customers are drawn from the positive ones, articles from the whole catalogue. One counting job
-    runs first: it fails at once if too few unknown pairs exist, and sizes the draw.
+    Customers are drawn from the positive ones, articles from the whole catalogue. The known pairs
+    are counted first, which sizes the draw and fails at once if too few unknown pairs exist. Known
+    pairs and accepted draws are stored, since several steps read each.
     """
-    size = positives.agg(
-        F.count("*").alias("rows"), F.count_distinct("customer_id").alias("customers")
-    ).first()
-    known = positives.select("customer_id", "article_id").distinct()
-    known_pairs = known.join(articles.select("article_id").distinct(), "article_id", "left_semi").count()
+    known = stored(
+        positives.groupBy("customer_id", "article_id").agg(F.count("*").alias("_rows")), "known-pairs"
+    )
     catalogue = articles.select("article_id").where(F.col("article_id").isNotNull()).distinct()
-    n_articles = catalogue.count()
-    cells = size["customers"] * n_articles
-    free = cells - known_pairs
+    listed = catalogue.withColumn("_listed", F.lit(1))
+    size = known.join(listed, "article_id", "left").agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
+        F.count_distinct("customer_id").alias("customers"),
+        F.count("_listed").alias("pairs"),
+    ).first()
+    n_customers, n_articles = size["customers"], catalogue.count()
+    cells = n_customers * n_articles
+    free = cells - size["pairs"]
     target = size["rows"] * per_positive
     if target > free:
         raise ValueError(f"{target} negatives wanted, but only {free} unknown pairs exist")
 
     spark = positives.sparkSession
-    customer_index = dense_rank_of_values(positives, [], "customer_id", "_c")
+    customer_index = dense_rank_of_values(known, [], "customer_id", "_c")
     article_index = dense_rank_of_values(catalogue, [], "article_id", "_a")
     if 4 * target > free:
         # dense: at most about four cells per wanted pair, so visit every cell in hash order
         drawn = spark.range(cells).select(
-            F.expr(f"id DIV {n_articles}").alias("_c0"),
-            F.pmod("id", F.lit(n_articles)).alias("_a0"),
+            F.expr(f"id DIV {max(n_articles, 1)}").alias("_c0"),
+            F.pmod("id", F.lit(max(n_articles, 1))).alias("_a0"),
             key_number(text_key(seed, F.col("id")), 15).alias("_h"),
             F.col("id").alias("_j"),
         )
+        pairs = drawn
         levels = [F.shiftright("_h", 40), F.col("_h"), F.col("_j")]
     else:
         draws = 3 * target * cells // (2 * free) + 1000
+        key = text_key(seed, F.col("id"))
         drawn = spark.range(draws).select(
-            key_modulo(text_key(seed, "c", F.col("id")), size["customers"]).alias("_c0"),
-            key_modulo(text_key(seed, "a", F.col("id")), n_articles).alias("_a0"),
-            F.lit(0).cast("long").alias("_h"),
+            key_modulo(key, n_customers).alias("_c0"),
+            key_modulo(F.substring(key, 16, 15), n_articles).alias("_a0"),
             F.col("id").alias("_j"),
         )
+        # a pair counts once, where it was first drawn; index numbers make this shuffle narrow
+        pairs = drawn.groupBy("_c0", "_a0").agg(F.min("_j").alias("_j"))
         levels = [F.shiftright("_j", 20), F.col("_j")]
-    # distinct pairs first: index numbers are small, and the first draw of a pair counts
-    pairs = drawn.groupBy("_c0", "_a0").agg(F.min("_j").alias("_j"), F.min("_h").alias("_h"))
-    accepted = (
-        pairs.join(customer_index.withColumn("_c0", F.col("_c") - 1), "_c0")
-        .join(article_index.withColumn("_a0", F.col("_a") - 1), "_a0")
-        .select("customer_id", "article_id", "_h", "_j")
-        .join(known, ["customer_id", "article_id"], "left_anti")
-    )
-    cut = cut_point(accepted, levels, lambda rows: F.lit(target))
-    boundary = cut.select(F.struct(*[f"_l{i}" for i in range(len(levels))]).alias("b")).scalar()
-    enough = accepted.agg(F.count("*").alias("n")).scalar() >= target
-    kept = F.struct(*[level.alias(f"_l{i}") for i, level in enumerate(levels)]) < F.col("_b")
-    return (
-        accepted.withColumn("_b", boundary)
-        .where(
-            F.when(~enough, F.raise_error(F.lit("drew too few unknown pairs")).cast("boolean"))
-            .otherwise(F.col("_b").isNull() | kept)
-        )
-        .select("customer_id", "article_id", F.lit(0).alias("label"))
+    accepted = stored(
+        pairs.join(customer_index.withColumn("_c0", F.col("_c") - 1).drop("_c"), "_c0")
+        .join(article_index.withColumn("_a0", F.col("_a") - 1).drop("_a"), "_a0")
+        .drop("_c0", "_a0")
+        .join(known.drop("_rows"), ["customer_id", "article_id"], "left_anti"),
+        "unknown-pairs",
     )
+    found = accepted.count()
+    if found < target:
+        raise RuntimeError(f"drew {found} unknown pairs, {target} wanted")
+    kept = accepted
+    edge = cut_point(accepted, levels, lambda rows: F.lit(target)).first()
+    if edge is not None:
+        at = F.struct(*[F.lit(edge[f"_l{i}"]).alias(f"_l{i}") for i in range(len(levels))])
+        kept = accepted.where(F.struct(*[level.alias(f"_l{i}") for i, level in enumerate(levels)]) < at)
+    return kept.select("customer_id", "article_id", F.lit(0).alias("label"))
 
 
 def labelled_samples(positives: DataFrame, negatives: DataFrame) -> DataFrame:

@@ -56,8 +56,8 @@ def _negatives_sql(name: str, source: str, seed: int, k: int = 4) -> str:
   AS BIGINT) AS draws FROM {n}_size)
 , {n}_draw AS (SELECT c, a, unnest(range(draws)) AS j FROM {n}_plan)
 , {n}_pair AS (SELECT ci, ai, min(j) AS j FROM (
-  SELECT j, CAST('0x' || substr(md5('{seed}|c|' || j), 1, 15) AS BIGINT) % c AS ci,
-    CAST('0x' || substr(md5('{seed}|a|' || j), 1, 15) AS BIGINT) % a AS ai FROM {n}_draw) GROUP BY ci, ai)
+  SELECT j, CAST('0x' || substr(md5('{seed}|' || j), 1, 15) AS BIGINT) % c AS ci,
+    CAST('0x' || substr(md5('{seed}|' || j), 16, 15) AS BIGINT) % a AS ai FROM {n}_draw) GROUP BY ci, ai)
 , {name} AS (
 SELECT customer_id, article_id, 0 AS label FROM {n}_pair JOIN {n}_c ON ci = {n}_c.i JOIN {n}_a ON ai = {n}_a.i
 WHERE (customer_id, article_id) NOT IN (SELECT (customer_id, article_id) FROM {n}_known)

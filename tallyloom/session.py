@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -48,3 +48,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="tallyloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return os.path.join(root, f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For results that several later steps read: they scan a columnar table instead of repeating the
+    work, and a lost executor costs no more than reading it again.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
