@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 SPLITS = 511
 
 
-def _points_below(points: str, col: str, splits: int) -> Column:
+def points_below(points: str, col: str, splits: int) -> Column:
     """How many entries of the sorted array are below the value, by binary search."""
     step = 1
     while step * 2 <= splits:
@@ -67,7 +67,7 @@ def with_slice(values: DataFrame, group: Sequence[str], col: str, splits: int =
             .agg(F.array_sort(F.collect_list(col)).alias("_splits"))
         )
         joined = values.withColumn("_splits", points.scalar())
-    return joined.withColumn("_slice", _points_below("_splits", col, splits)).drop("_splits")
+    return joined.withColumn("_slice", points_below("_splits", col, splits)).drop("_splits")
 
 
 def slice_offsets(sliced: DataFrame, group: Sequence[str], weight: Column) -> DataFrame:

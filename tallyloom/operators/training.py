@@ -73,13 +73,13 @@ def temporal_split(
     """(train, validation): the first ``floor(rows * (1 - validation))`` rows by date, and the rest.
 
     Rows of one date are ordered by the md5 of ``tie_cols`` (default: all columns). The cut is
-    located by counting (day, then key prefix, then key), and both halves are plain filters on the
-    table. If the cut falls among equal rows, their copies are divided by number.
+    located first, by counting (day, then key prefixes, then key), and both halves are plain filters
+    on the table. If the cut falls among equal rows, their copies are divided by number.
     """
     ties = list(tie_cols or transactions.columns)
     key = text_key(*[F.col(c) for c in ties])
     moment = F.col(date_col)
-    levels = [moment, F.substring(key, 1, 5), key]
+    levels = [moment, F.substring(key, 1, 4), F.substring(key, 1, 8), key]
     if transactions.schema[date_col].dataType.typeName() != "date":
         levels = [F.to_date(moment), *levels]
     edge = cut_point(transactions, levels, lambda rows: F.floor(rows * F.lit(1.0 - validation))).first()
@@ -165,7 +165,7 @@ def negative_samples(
             F.col("id").alias("_j"),
         )
         pairs = drawn
-        levels = [F.shiftright("_h", 40), F.col("_h"), F.col("_j")]
+        levels = [F.shiftright("_h", 44), F.shiftright("_h", 28), F.col("_h"), F.col("_j")]
     else:
         draws = 3 * target * cells // (2 * free) + 1000
         key = text_key(seed, F.col("id"))
@@ -176,7 +176,7 @@ def negative_samples(
         )
         # a pair counts once, where it was first drawn; index numbers make this shuffle narrow
         pairs = drawn.groupBy("_c0", "_a0").agg(F.min("_j").alias("_j"))
-        levels = [F.shiftright("_j", 20), F.col("_j")]
+        levels = [F.shiftright("_j", 26), F.shiftright("_j", 13), F.col("_j")]
     accepted = stored(
         pairs.join(customer_index.withColumn("_c0", F.col("_c") - 1).drop("_c"), "_c0")
         .join(article_index.withColumn("_a0", F.col("_a") - 1).drop("_a"), "_a0")

@@ -9,6 +9,7 @@ from tallyloom.plans.registry import ORACLES, QUERIES, Query
 _MODULES = (
     "feature_queries",
     "training_queries",
+    "evaluation_queries",
 )
 
 
