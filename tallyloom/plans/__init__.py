@@ -10,6 +10,8 @@ _MODULES = (
     "feature_queries",
     "training_queries",
     "evaluation_queries",
+    "quality_queries",
+    "explore_queries",
 )
 
 
