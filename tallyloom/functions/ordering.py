@@ -32,11 +32,13 @@ def points_below(points: str, col: str, splits: int) -> Column:
     while step:
         steps.append(F.lit(step))
         step //= 2
-    return F.aggregate(
+    found = F.aggregate(
         F.array(*steps),
         F.lit(0),
         lambda at, step: F.when(F.get(F.col(points), at + step - 1) < F.col(col), at + step).otherwise(at),
     )
+    # never NULL, and said so: a join on the slice then needs no extra IS NOT NULL search
+    return F.coalesce(found, F.lit(0))
 
 
 def split_points(values: DataFrame, group: Sequence[str], col: str, splits: int = SPLITS) -> DataFrame:
@@ -51,14 +53,18 @@ def split_points(values: DataFrame, group: Sequence[str], col: str, splits: int
     )
 
 
-def with_slice(values: DataFrame, group: Sequence[str], col: str, splits: int = SPLITS) -> DataFrame:
+def with_slice(
+    values: DataFrame, group: Sequence[str], col: str, splits: int = SPLITS, *, where: Column | None = None
+) -> DataFrame:
     """Add ``_slice``, the number of split points of the group below the value.
 
     ``values`` must hold distinct (group, value) rows. ``group`` must have few distinct values
-    (column names, metric names); the split points are then a small table and are broadcast.
+    (column names, metric names); the split points are then a small table and are broadcast. They
+    are drawn from the rows that meet ``where``.
     """
     if group:
-        joined = values.join(F.broadcast(split_points(values, group, col, splits)), list(group))
+        drawn = values if where is None else values.where(where)
+        joined = values.join(F.broadcast(split_points(drawn, group, col, splits)), list(group))
     else:
         points = (
             values.select(col)
@@ -134,44 +140,43 @@ def quantiles_of_counts(
     column: only the slices that contain a wanted order statistic are sorted.
     """
     key = list(group)
-    sliced = with_slice(counts, key, value, splits)
+    # the split points come from rows with weight, so they share the aggregate that counts them
+    sliced = with_slice(counts, key, value, splits, where=F.col(weight) > 0)
     offsets = slice_offsets(sliced, key, F.col(weight))
-    wanted = offsets.groupBy(*key).agg(F.max("_total").alias("_total")).select(
-        *key,
-        F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("_p"),
-        ((F.col("_total") - 1) * F.col("_p")).alias("_at"),
-    )
-    sides = wanted.withColumn(
-        "_rank", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at"))))
+    ranks = []
+    for p in probabilities:
+        at = (F.col("_total") - 1) * F.lit(float(p))
+        ranks += [F.floor(at), F.ceil(at)]
+    # the slices that hold a wanted rank: at most two per group and probability
+    located = F.broadcast(
+        offsets.withColumn(
+            "_ranks",
+            F.filter(
+                F.array_distinct(F.array(*ranks)),
+                lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_weight")),
+            ),
+        )
+        .where(F.size("_ranks") > 0)
+        .drop("_weight")
     )
-    # groups x probabilities x 2 rows
-    located = offsets.drop("_total").join(F.broadcast(sides), key).where(
-        (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_weight"))
-    ).drop("_weight")
-    needed = located.select(*key, "_slice", "_before").distinct()
     inside = (
         Window.partitionBy(*key, "_slice")
         .orderBy(value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ends = (
-        sliced.join(F.broadcast(needed), [*key, "_slice"])
-        .withColumn("_end", F.col("_before") + F.sum(weight).over(inside))
-        .select(*key, "_slice", value, F.col(weight).alias("_w"), "_end")
-    )
-    hits = ends.join(F.broadcast(located.drop("_before")), [*key, "_slice"]).where(
-        (F.col("_rank") >= F.col("_end") - F.col("_w")) & (F.col("_rank") < F.col("_end"))
-    )
-    low = F.max(F.when(F.col("_rank") == F.floor("_at"), F.col(value).cast("double")))
-    high = F.max(F.when(F.col("_rank") == F.ceil("_at"), F.col(value).cast("double")))
-    points = hits.groupBy(*key, "_p", "_at").agg(low.alias("_low"), high.alias("_high"))
-    points = points.withColumn(
-        "_q", F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_at") - F.floor("_at"))
-    )
-    return points.groupBy(*key).agg(
-        *[F.max(F.when(F.col("_p") == F.lit(float(p)), F.col("_q"))).alias(name)
-          for p, name in zip(probabilities, names)]
+    ends = sliced.join(located, [*key, "_slice"]).withColumn(
+        "_end", F.col("_before") + F.sum(weight).over(inside)
     )
+    reached = F.filter("_ranks", lambda r: (r >= F.col("_end") - F.col(weight)) & (r < F.col("_end")))
+    hits = ends.withColumn("_rank", F.explode(reached))
+    quantiles = []
+    for p, name in zip(probabilities, names):
+        at = (F.col("_total") - 1) * F.lit(float(p))
+        low = F.max(F.when(F.col("_rank") == F.floor(at), F.col(value).cast("double")))
+        high = F.max(F.when(F.col("_rank") == F.ceil(at), F.col(value).cast("double")))
+        part = F.max(at - F.floor(at))
+        quantiles.append((low + (high - low) * part).alias(name))
+    return hits.groupBy(*key).agg(*quantiles)
 
 
 def exact_quantiles(

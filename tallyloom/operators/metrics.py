@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.counts import gini_of_counts
 from tallyloom.functions.ordering import points_below
+from tallyloom.session import stored
 
 K_VALUES = (1, 5, 10, 20, 50, 100)  # fixed values
 DIVERSITY_K = 10  # fixed value
@@ -28,24 +29,24 @@ LIST_SPLITS = 16_383
 def top_k(scored: DataFrame, k: int) -> DataFrame:
     """The best ``k`` rows per query with their 1-based ``rank``."""
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("item_id").desc())
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    known = scored.where(F.col("query_id").isNotNull())
+    return known.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def list_totals(scored: DataFrame) -> DataFrame:
+def list_totals(ties: DataFrame) -> DataFrame:
     """(query_id, n, rel): list length and number of relevant items."""
-    return scored.groupBy("query_id").agg(
-        F.count("*").alias("n"), F.coalesce(F.sum(F.col("label").cast("long")), F.lit(0)).alias("rel")
-    )
+    return ties.groupBy("query_id").agg(F.sum("n").alias("n"), F.sum("rel").alias("rel"))
 
 
 def tie_groups(scored: DataFrame) -> DataFrame:
     """(query_id, score, n, rel): rows of equal score, counted."""
-    return scored.groupBy("query_id", "score").agg(
-        F.count("*").alias("n"), F.sum(F.col("label").cast("long")).alias("rel")
+    return scored.where(F.col("query_id").isNotNull()).groupBy("query_id", "score").agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(F.col("label").cast("long")), F.lit(0)).alias("rel"),
     )
 
 
-def ladder(scored: DataFrame, *, long_list: int = LONG_LIST, splits: int = LIST_SPLITS) -> DataFrame:
+def ladder(ties: DataFrame, *, long_list: int = LONG_LIST, splits: int = LIST_SPLITS) -> DataFrame:
     """Tie groups with ``n_before`` and ``rel_before``, the counts at higher scores of the query.
 
     Lists of at most ``long_list`` tie groups are cumulated in one window each. The others (at most
@@ -53,9 +54,10 @@ def ladder(scored: DataFrame, *, long_list: int = LONG_LIST, splits: int = LIST_
     from their own rows, so a list gets slices in proportion to its length; slice totals are
     cumulated first, then each slice is a window of its own.
     """
-    ties = tie_groups(scored)
+    # true for every tie group; naming both counts lets all branches share one aggregate
+    counted = (F.col("n") > 0) & (F.col("rel") >= 0)
     long = F.broadcast(
-        ties.groupBy("query_id").agg(F.count("*").alias("_groups"))
+        ties.groupBy("query_id").agg(F.count_if(counted).alias("_groups"))
         .where(F.col("_groups") > long_list).select("query_id")
     )
 
@@ -74,7 +76,7 @@ def ladder(scored: DataFrame, *, long_list: int = LONG_LIST, splits: int = LIST_
 
     of_long = ties.join(long, "query_id", "left_semi")
     points = (
-        of_long.select("query_id", "score")
+        of_long.where(counted).select("query_id", "score")
         .orderBy(F.xxhash64("query_id", "score"), "query_id", "score")
         .limit(splits)
         .agg(F.array_sort(F.collect_list("score")).alias("points"))
@@ -114,15 +116,6 @@ def hits_at(ranked: DataFrame, ks: Sequence[int]) -> DataFrame:
     )
 
 
-def average_precision(steps: DataFrame) -> DataFrame:
-    """(query_id, ap) of queries with a relevant item; a tie group is one step."""
-    rel = F.col("rel").cast("double")
-    precision = (F.col("rel_before") + F.col("rel")) / (F.col("n_before") + F.col("n"))
-    return steps.where(F.col("rel") > 0).groupBy("query_id").agg(
-        (F.sum(rel * precision) / F.sum(rel)).alias("ap")
-    )
-
-
 def discounts(k: int) -> list[float]:
     """Sums of the first 0 .. k logarithmic discounts."""
     sums = [0.0]
@@ -131,10 +124,13 @@ def discounts(k: int) -> list[float]:
     return sums
 
 
-def ndcg_per_query(steps: DataFrame, totals: DataFrame, ks: Sequence[int]) -> DataFrame:
-    """(query_id, ndcg_k ..) of queries with a relevant item; equal scores share their mean gain.
+def query_profile(steps: DataFrame, ks: Sequence[int] = K_VALUES) -> DataFrame:
+    """Everything the ranking metrics need of a query, in one aggregate over its ``ladder``.
 
-    A list of one item has no order to judge and counts 0.
+    ``n`` and ``rel`` of the list; ``ap``, where a tie group is one step; ``ndcg_k``, where equal
+    scores share their mean gain (a list of one item has no order to judge and counts 0); and the
+    first tie group with a relevant item: its score, the rows before it, its end, its relevant rows.
+    Without a relevant item, all but ``n`` and ``rel`` are NULL.
     """
     deepest = max(ks)
     table = F.array(*[F.lit(x) for x in discounts(deepest)])
@@ -142,30 +138,44 @@ def ndcg_per_query(steps: DataFrame, totals: DataFrame, ks: Sequence[int]) -> Da
     def discount(places: Column, k: int) -> Column:
         return F.get(table, F.least(places, F.lit(k)).cast("int"))
 
-    upto = F.col("n_before") + F.col("n")
-    gain = F.col("rel") / F.col("n")
-    gains = steps.where((F.col("n_before") < deepest) & (F.col("rel") > 0)).groupBy("query_id").agg(
-        *[F.sum(gain * (discount(upto, k) - discount(F.col("n_before"), k))).alias(f"dcg_{k}") for k in ks]
+    n, rel, before = F.col("n"), F.col("rel"), F.col("n_before")
+    hit = rel > 0
+    precision = (F.col("rel_before") + rel) / (before + n)
+    gains = [
+        F.sum(F.when(hit & (before < k), rel / n * (discount(before + n, k) - discount(before, k)))).alias(f"_dcg_{k}")
+        for k in ks
+    ]
+    sums = steps.groupBy("query_id").agg(
+        F.sum(n).alias("_n"),
+        F.sum(rel).alias("_rel"),
+        F.sum(F.when(hit, rel * precision)).alias("_ap"),
+        F.max(F.when(hit, F.col("score"))).alias("first_score"),
+        F.min(F.when(hit, before)).alias("first_before"),
+        F.min(F.when(hit, before + n)).alias("first_end"),
+        F.min(F.when(hit, F.col("rel_before") + rel)).alias("first_rel"),
+        *gains,
     )
-    judged = totals.where(F.col("rel") > 0).join(gains, "query_id", "left")
-    return judged.select(
-        "query_id",
-        *[
-            F.when(F.col("n") == 1, 0.0)
-            .otherwise(F.coalesce(F.col(f"dcg_{k}"), F.lit(0.0)) / discount(F.col("rel"), k))
-            .alias(f"ndcg_{k}")
-            for k in ks
-        ],
+    judged = F.col("_rel") > 0
+    ndcg = [
+        F.when(judged & (F.col("_n") == 1), 0.0)
+        .when(judged, F.coalesce(F.col(f"_dcg_{k}"), F.lit(0.0)) / discount(F.col("_rel"), k))
+        .alias(f"ndcg_{k}")
+        for k in ks
+    ]
+    return sums.select(
+        "query_id", F.col("_n").alias("n"), F.col("_rel").alias("rel"),
+        F.when(judged, F.col("_ap") / F.col("_rel")).alias("ap"), *ndcg,
+        "first_score", "first_before", "first_end", "first_rel",
     )
 
 
-def first_hit_rank(scored: DataFrame, steps: DataFrame) -> DataFrame:
+def first_hit_rank(scored: DataFrame, profile: DataFrame) -> DataFrame:
     """(query_id, first_rank) of queries with a relevant item."""
-    first = steps.where(F.col("rel") > 0).groupBy("query_id").agg(
-        F.max(F.struct("score", "n_before", "n", "rel")).alias("s")
-    ).select("query_id", "s.*")
+    first = profile.where(F.col("rel") > 0)
     # inside the tie group the item id decides: count the items above its best relevant item
-    tied = first.where(F.col("n") > F.col("rel")).select("query_id", "score")
+    tied = first.where(F.col("first_end") - F.col("first_before") > F.col("first_rel")).select(
+        "query_id", F.col("first_score").alias("score")
+    )
     members = scored.join(tied, ["query_id", "score"]).select("query_id", "item_id", "label")
     best = members.where(F.col("label") == 1).groupBy("query_id").agg(F.max("item_id").alias("_best"))
     above = (
@@ -173,7 +183,7 @@ def first_hit_rank(scored: DataFrame, steps: DataFrame) -> DataFrame:
         .groupBy("query_id").agg(F.count("*").alias("_above"))
     )
     return first.join(above, "query_id", "left").select(
-        "query_id", (F.col("n_before") + F.coalesce(F.col("_above"), F.lit(0)) + 1).alias("first_rank")
+        "query_id", (F.col("first_before") + F.coalesce(F.col("_above"), F.lit(0)) + 1).alias("first_rank")
     )
 
 
@@ -215,18 +225,17 @@ def retrieval_report(hits: DataFrame, ks: Sequence[int], longest: Column) -> Dat
 
 def retrieval_metrics(scored: DataFrame, ks: Sequence[int] = K_VALUES) -> DataFrame:
     """Precision, recall, hit rate and F1 at every k, averaged over all queries."""
-    hits = list_totals(scored).join(hits_at(top_k(scored, max(ks)), ks), "query_id", "left")
+    hits = list_totals(tie_groups(scored)).join(hits_at(top_k(scored, max(ks)), ks), "query_id", "left")
     return retrieval_report(hits, ks, F.col("n"))
 
 
 def ranking_metrics(scored: DataFrame, ks: Sequence[int] = K_VALUES) -> DataFrame:
-    """MAP and NDCG over queries with a relevant item, MRR over all queries."""
-    totals, steps = list_totals(scored), ladder(scored)
-    per_query = (
-        totals.join(average_precision(steps), "query_id", "left")
-        .join(ndcg_per_query(steps, totals, ks), "query_id", "left")
-        .join(first_hit_rank(scored, steps), "query_id", "left")
-    )
+    """MAP and NDCG over queries with a relevant item, MRR over all queries.
+
+    The per-query profile is stored: it is small, and the scored pairs are then ranked only once.
+    """
+    profile = stored(query_profile(ladder(tie_groups(scored)), ks), "query-profile")
+    per_query = profile.join(first_hit_rank(scored, profile), "query_id", "left")
     means = per_query.agg(
         F.max("n").alias("n"),
         F.coalesce(F.avg("ap"), F.lit(0.0)).alias("map"),
@@ -301,7 +310,13 @@ def all_metrics(
     ranking: bool = True,
     diversity: bool = True,
 ) -> DataFrame:
-    """The chosen families as one (metric, k, value) report; ``prefix`` goes before each name."""
+    """The chosen families as one (metric, k, value) report; ``prefix`` goes before each name.
+
+    The scored pairs are stored first, since every family reads them.
+    """
+    if not (retrieval or ranking or diversity):
+        raise ValueError("choose at least one metric family")
+    scored = stored(scored.select("query_id", "item_id", "score", "label"), "scored-pairs")
     parts = []
     if retrieval:
         parts.append(retrieval_metrics(scored, ks))
@@ -309,8 +324,6 @@ def all_metrics(
         parts.append(ranking_metrics(scored, ks))
     if diversity:
         parts.append(diversity_metrics(scored, item_vectors))
-    if not parts:
-        raise ValueError("choose at least one metric family")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -115,11 +115,12 @@ def outliers(
     value = F.col("value")
     outside = (value < F.col("lower_bound")) | (value > F.col("upper_bound"))
     distance = F.abs(F.try_divide(value - F.col("mean"), F.col("std")))
-    tails = counts.join(F.broadcast(stats), "column").groupBy("column").agg(
+    carried = ("count", "lower_bound", "upper_bound", "mean", "std", "min", "max", "median")
+    tails = counts.join(F.broadcast(stats), "column").groupBy("column", *carried).agg(
         F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("iqr_count"),
         F.coalesce(F.sum(F.when(distance > std_threshold, F.col("n"))), F.lit(0)).alias("zscore_count"),
     )
-    return stats.join(tails, "column").select(
+    return tails.select(
         "column",
         "iqr_count",
         (F.col("iqr_count") / F.col("count")).alias("iqr_rate"),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tallyloom.operators import metrics as m
 from tallyloom.operators import retrieval as r
 from tallyloom.plans.registry import query
-from tallyloom.session import stored
 from tallyloom.sources import retail
 
 BATCH = 32
@@ -196,8 +195,7 @@ UNION ALL SELECT 'ndcg@' || k, k, avg(v) FROM ndcg WHERE k <= (SELECT max(n) FRO
 , scored AS (SELECT * FROM pairs) {RANKED_SQL}{_retrieval_sql()}{RANKING_SQL}
 SELECT * FROM retrieval UNION ALL SELECT * FROM ranking""", doubles=("value",), views=False)
 def r7(spark, sf_dir):
-    # the report reads the scored pairs several times
-    return m.all_metrics(stored(_batch_pairs(spark, sf_dir), "batch-pairs"), diversity=False)
+    return m.all_metrics(_batch_pairs(spark, sf_dir), diversity=False)
 
 
 # ---------------------------------------------------------------- metrics over purchases
@@ -217,6 +215,10 @@ def scored(spark, sf_dir):
     )
 
 
+def _profile(spark, sf_dir):
+    return m.query_profile(m.ladder(m.tie_groups(scored(spark, sf_dir))))
+
+
 def _retrieval_query(name: str, pattern: str):
     @query(name, f"{REPORT_SQL} SELECT * FROM retrieval WHERE metric LIKE '{pattern}'", doubles=("value",))
     def build(spark, sf_dir):
@@ -233,7 +235,7 @@ _retrieval_query("m4_f1", "f1@%")
 
 @query("m5_average_precision", f"{SCORED_SQL}{RANKING_SQL} SELECT query_id, ap FROM ap", doubles=("ap",))
 def m5(spark, sf_dir):
-    return m.average_precision(m.ladder(scored(spark, sf_dir)))
+    return _profile(spark, sf_dir).where(F.col("rel") > 0).select("query_id", "ap")
 
 
 @query("m6_ndcg", f"""{SCORED_SQL}{RANKING_SQL}
@@ -241,15 +243,13 @@ SELECT query_id, max(v) FILTER (k = 1) AS ndcg_1, max(v) FILTER (k = 5) AS ndcg_
   max(v) FILTER (k = 20) AS ndcg_20, max(v) FILTER (k = 50) AS ndcg_50, max(v) FILTER (k = 100) AS ndcg_100
 FROM ndcg GROUP BY query_id""", doubles=tuple(f"ndcg_{k}" for k in m.K_VALUES))
 def m6(spark, sf_dir):
-    pairs = scored(spark, sf_dir)
-    return m.ndcg_per_query(m.ladder(pairs), m.list_totals(pairs), m.K_VALUES)
+    return _profile(spark, sf_dir).where(F.col("rel") > 0).select("query_id", *[f"ndcg_{k}" for k in m.K_VALUES])
 
 
 @query("m7_reciprocal_rank", f"""{SCORED_SQL}
 SELECT query_id, min(rnk) FILTER (label = 1) AS first_rank FROM ranked GROUP BY query_id HAVING max(label) = 1""")
 def m7(spark, sf_dir):
-    pairs = scored(spark, sf_dir)
-    return m.first_hit_rank(pairs, m.ladder(pairs))
+    return m.first_hit_rank(scored(spark, sf_dir), _profile(spark, sf_dir))
 
 
 @query("m5_m7_ranking_report", f"{SCORED_SQL}{RANKING_SQL} SELECT * FROM ranking", doubles=("value",))
