@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.expressions import bin_label, flag, safe_ratio
 from tallyloom.functions.ordering import dense_rank_of_values
 from tallyloom.operators.customers import edge_labels
+from tallyloom.session import stored
 
 # Fixed values
 PRICE_EDGES = (0, 0.01, 0.02, 0.03, 0.05, 0.1, 0.2, 0.5, 1.0)
@@ -38,20 +39,28 @@ def is_kidswear(index_name: Column) -> Column:
     return F.coalesce(lowered.contains("children") | lowered.contains("baby"), F.lit(False))
 
 
+def category_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, code): 0-based place of each text among the sorted values of its column."""
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+        [], list(columns), "column", "value"
+    )
+    places = dense_rank_of_values(texts, ["column"], "value", "_place")
+    return places.select("column", "value", (F.col("_place") - 1).cast("int").alias("code"))
+
+
 def category_codes(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Add code columns {output: source}: 0-based place among the sorted values, NULL is -1.
 
-    The dictionaries join without a broadcast hint: Spark broadcasts those it has measured to be
-    small and sort-merge joins any other.
+    The dictionary is stored first. Its size is then known when the joins are planned: Spark
+    broadcasts a small one and sort-merge joins any other, splitting frequent values.
     """
+    dictionary = stored(category_dictionary(df, list(dict.fromkeys(columns.values()))), "dictionary")
     out = df
     for code, source in columns.items():
-        places = dense_rank_of_values(df, [], source, "_place")
-        out = (
-            out.join(places, source, "left")
-            .withColumn(code, F.coalesce(F.col("_place") - 1, F.lit(-1)).cast("int"))
-            .drop("_place")
+        values = dictionary.where(F.col("column") == source).select(
+            F.col("value").alias(source), F.col("code").alias(code)
         )
+        out = out.join(values, source, "left").withColumn(code, F.coalesce(F.col(code), F.lit(-1)))
     return out.select(*df.columns, *columns)
 
 

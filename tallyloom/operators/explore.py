@@ -120,11 +120,14 @@ def missing_tiers(df: DataFrame, tiers: tuple[float, float], *, skip: Sequence[s
 def text_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Lengths (a missing text has length 0), known and distinct values per text column."""
     names = list(columns or text_columns(df))
-    counts = text_counts(df, names)
-    length = F.length("value")
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in names]).unpivot([], names, "column", "value")
+    # a digest and the length stand for the text, so whole texts are read but never shuffled
+    counts = texts.where(F.col("value").isNotNull()).groupBy(
+        "column", F.md5("value").alias("_digest"), F.length("value").alias("_size")
+    ).agg(F.count("*").alias("n"))
     sums = counts.groupBy("column").agg(
-        F.sum("n").alias("valid"), F.sum(F.col("n") * length).alias("_length"), F.max(length).alias("max_length"),
-        F.count("*").alias("unique_values"),
+        F.sum("n").alias("valid"), F.sum(F.col("n") * F.col("_size")).alias("_length"),
+        F.max("_size").alias("max_length"), F.count("*").alias("unique_values"),
     )
     holes = missing_by_column(df.select(*names)).select("column", "total", "missing_count")
     return holes.join(sums, "column", "left").select(

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.expressions import safe_ratio
-from tallyloom.functions.ordering import dense_rank_of_values
+from tallyloom.functions.ordering import dense_rank_of_values, exact_quantiles, named_column
 from tallyloom.operators.articles import is_kidswear, is_menswear
+from tallyloom.operators.temporal import REFERENCE_DATE, Clock
 
 BESTSELLER_RANK = 100  # fixed value
 MATCH, OTHER = 1.0, 0.5  # fixed values: affinity of the favourite department, and of any other
@@ -125,18 +128,44 @@ def with_popularity(grouped: DataFrame) -> DataFrame:
 
 def article_popularity(
     transactions: DataFrame, *, article_col: str = "article_id", customer_col: str = "customer_id",
-    date_col: str = "t_dat",
+    date_col: str = "t_dat", lookbacks: Sequence[int] = (), reference_date: str = REFERENCE_DATE,
+    cold_start: int | None = None,
 ) -> DataFrame:
-    """One row per sold article with its popularity and dense rank (best score is rank 1)."""
+    """One row per sold article with its popularity and dense rank (best score is rank 1).
+
+    ``lookbacks`` adds purchase counts of the last days before the reference date, ``cold_start`` a
+    mark for articles with fewer purchases than that.
+    """
     known = transactions.where(F.col(article_col).isNotNull())
-    grouped = known.groupBy(article_col).agg(*popularity_aggregates(date_col, customer_col))
+    recent = []
+    if lookbacks:
+        clock = Clock(known, date_col, reference_date)
+        recent = [F.count_if(clock.within(d)).alias(f"purchases_last_{d}_days") for d in lookbacks]
+    grouped = known.groupBy(article_col).agg(*popularity_aggregates(date_col, customer_col), *recent)
     popular = with_popularity(grouped)
+    extra = [F.col(f"purchases_last_{d}_days") for d in lookbacks]
+    if cold_start is not None:
+        extra.append((F.col("total_purchases") < cold_start).alias("is_cold_start"))
     return popular.select(
         article_col,
         "total_purchases", "unique_customers", "avg_selling_price", "price_volatility",
         "first_purchase_date", "last_purchase_date", "repurchase_rate", "popularity_score",
-        "popularity_rank", "is_bestseller",
+        "popularity_rank", "is_bestseller", *extra,
+    )
+
+
+def monetary_percentiles(
+    transactions: DataFrame, percentiles: Sequence[int] = (25, 50, 75, 90, 95), *,
+    customer_col: str = "customer_id",
+) -> DataFrame:
+    """One row: exact percentiles of the customers' total spend."""
+    spend = transactions.where(F.col(customer_col).isNotNull()).groupBy(customer_col).agg(
+        F.sum("price").alias("total_spent")
     )
+    return exact_quantiles(
+        named_column(spend, "total_spent"), ["column"], "value",
+        [p / 100 for p in percentiles], [f"p{p}" for p in percentiles],
+    ).drop("column")
 
 
 def affinity(favourite: Column, department: Column) -> Column:

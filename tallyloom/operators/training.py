@@ -18,6 +18,7 @@ VALIDATION_FRACTION = 0.2
 SEED = 42
 
 COPIES_PER_TASK = 1_000_000
+LAST_DATE = "9999-12-31"
 
 
 def last_interactions(
@@ -72,13 +73,13 @@ def temporal_split(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, validation): the first ``floor(rows * (1 - validation))`` rows by date, and the rest.
 
-    Rows of one date are ordered by the md5 of ``tie_cols`` (default: all columns). The cut is
+    Rows without a date come last, rows of one date are ordered by the md5 of ``tie_cols`` (default: all columns). The cut is
     located first, by counting (day, then key prefixes, then key), and both halves are plain filters
     on the table. If the cut falls among equal rows, their copies are divided by number.
     """
     ties = list(tie_cols or transactions.columns)
     key = text_key(*[F.col(c) for c in ties])
-    moment = F.col(date_col)
+    moment = F.coalesce(date_col, F.lit(LAST_DATE).cast(transactions.schema[date_col].dataType))
     levels = [moment, F.substring(key, 1, 4), F.substring(key, 1, 8), key]
     if transactions.schema[date_col].dataType.typeName() != "date":
         levels = [F.to_date(moment), *levels]

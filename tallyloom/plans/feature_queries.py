@@ -407,6 +407,29 @@ query("i6_article_popularity", f"{POPULARITY_SQL} SELECT * FROM article_populari
 _temporal_query("i7_popularity_rank", "article_popularity", POPULARITY_SQL, article_popularity, "article_id",
                 "popularity_rank", "is_bestseller")
 
+
+
+@query("i6_popularity_windows", f"""
+SELECT article_id, count(*) FILTER (t_dat >= DATE '{REF}' - 7) AS purchases_last_7_days,
+  count(*) FILTER (t_dat >= DATE '{REF}' - 30) AS purchases_last_30_days,
+  count(*) FILTER (t_dat >= DATE '{REF}' - 90) AS purchases_last_90_days,
+  count(*) FILTER (t_dat >= DATE '{REF}' - 365) AS purchases_last_365_days, count(*) < 25 AS is_cold_start
+FROM tx GROUP BY article_id""")
+def i6_windows(spark, sf_dir):
+    days = (7, 30, 90, 365)
+    return inter.article_popularity(
+        retail.transactions(spark, sf_dir), lookbacks=days, reference_date=REF, cold_start=25
+    ).select("article_id", *[f"purchases_last_{d}_days" for d in days], "is_cold_start")
+
+
+@query("i4_monetary_percentiles", """
+SELECT quantile_cont(s, 0.25) AS p25, quantile_cont(s, 0.5) AS p50, quantile_cont(s, 0.75) AS p75,
+  quantile_cont(s, 0.9) AS p90, quantile_cont(s, 0.95) AS p95
+FROM (SELECT sum(price) AS s FROM tx GROUP BY customer_id)""", doubles=("p25", "p50", "p75", "p90", "p95"))
+def i4_percentiles(spark, sf_dir):
+    return inter.monetary_percentiles(retail.transactions(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- joins and assembled tables
 
 

@@ -40,6 +40,20 @@ def positives(spark, sf_dir):
 
 query("d1_last_interactions", f"{POSITIVES_SQL} SELECT * FROM positives", doubles=("price",))(positives)
 
+
+@query("d1_active_interactions", """
+, often_c AS (SELECT customer_id FROM tx GROUP BY 1 HAVING count(*) >= 30)
+, often_a AS (SELECT article_id FROM tx WHERE customer_id IN (SELECT * FROM often_c) GROUP BY 1 HAVING count(*) >= 20)
+SELECT customer_id, article_id, t_dat AS interaction_date, price,
+  row_number() OVER (PARTITION BY customer_id ORDER BY t_dat DESC, article_id DESC, price DESC) AS recency
+FROM tx WHERE customer_id IN (SELECT * FROM often_c) AND article_id IN (SELECT * FROM often_a) QUALIFY recency <= 10""",
+       doubles=("price",))
+def d1_active(spark, sf_dir):
+    return tr.last_interactions(
+        retail.transactions(spark, sf_dir), n=10, min_per_customer=30, min_per_article=20
+    )
+
+
 # ---------------------------------------------------------------- negatives
 
 

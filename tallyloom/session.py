@@ -41,7 +41,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     The cluster names that folder in ``spark.checkpoint.dir``. Only a session without the setting
     (tests on one machine) gets a local one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
