@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-CUSTOMERS = T.StructType.fromDDL(
+_KINDS = {
+    "string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(),
+    "smallint": T.ShortType(), "tinyint": T.ByteType(),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    pairs = (entry.split() for entry in columns.split(","))
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in pairs])
+
+
+CUSTOMERS = _schema(
     "customer_id string, FN double, Active double, club_member_status string, "
     "fashion_news_frequency string, age double, postal_code string"
 )
 
-ARTICLES = T.StructType.fromDDL(
+ARTICLES = _schema(
     "article_id int, product_code int, prod_name string, "
     "product_type_no smallint, product_type_name string, product_group_name string, "
     "graphical_appearance_no smallint, graphical_appearance_name string, "
@@ -22,7 +33,7 @@ ARTICLES = T.StructType.fromDDL(
     "garment_group_no smallint, garment_group_name string, detail_desc string"
 )
 
-TRANSACTIONS = T.StructType.fromDDL(
+TRANSACTIONS = _schema(
     "t_dat string, customer_id string, article_id int, price double, sales_channel_id tinyint"
 )
 
