@@ -66,16 +66,19 @@ def _negatives_sql(name: str, source: str, seed: int, k: int = 4) -> str:
 , {n}_a AS (SELECT article_id, row_number() OVER (ORDER BY article_id) - 1 AS i FROM articles)
 , {n}_size AS (SELECT (SELECT count(*) FROM {source}) * {k} AS target, (SELECT count(*) FROM {n}_c) AS c,
   (SELECT count(*) FROM {n}_a) AS a, (SELECT count(*) FROM {n}_known) AS known)
-, {n}_plan AS (SELECT *, CAST(3 * CAST(target AS HUGEINT) * c * a // (2 * (CAST(c AS HUGEINT) * a - known)) + 1000
-  AS BIGINT) AS draws FROM {n}_size)
-, {n}_draw AS (SELECT c, a, unnest(range(draws)) AS j FROM {n}_plan)
-, {n}_pair AS (SELECT ci, ai, min(j) AS j FROM (
-  SELECT j, CAST('0x' || substr(md5('{seed}|' || j), 1, 15) AS BIGINT) % c AS ci,
-    CAST('0x' || substr(md5('{seed}|' || j), 16, 15) AS BIGINT) % a AS ai FROM {n}_draw) GROUP BY ci, ai)
+, {n}_free AS (SELECT *, CAST(c AS HUGEINT) * a - known AS free FROM {n}_size)
+, {n}_plan AS (SELECT *, 4 * target > free AS dense, CAST(CASE WHEN 4 * target > free THEN CAST(c AS HUGEINT) * a
+  ELSE 3 * CAST(target AS HUGEINT) * c * a // (2 * free) + 1000 END AS BIGINT) AS draws FROM {n}_free)
+, {n}_draw AS (SELECT c, a, dense, unnest(range(draws)) AS j FROM {n}_plan)
+, {n}_keys AS (SELECT *, CAST('0x' || substr(md5('{seed}|' || j), 1, 15) AS BIGINT) AS h,
+  CAST('0x' || substr(md5('{seed}|' || j), 16, 15) AS BIGINT) AS g FROM {n}_draw)
+, {n}_pair AS (SELECT ci, ai, min(j) AS j, min(h) AS h FROM (
+  SELECT j, CASE WHEN dense THEN j // a ELSE h % c END AS ci, CASE WHEN dense THEN j % a ELSE g % a END AS ai,
+    CASE WHEN dense THEN h ELSE 0 END AS h FROM {n}_keys) GROUP BY ci, ai)
 , {name} AS (
 SELECT customer_id, article_id, 0 AS label FROM {n}_pair JOIN {n}_c ON ci = {n}_c.i JOIN {n}_a ON ai = {n}_a.i
 WHERE (customer_id, article_id) NOT IN (SELECT (customer_id, article_id) FROM {n}_known)
-QUALIFY row_number() OVER (ORDER BY j) <= (SELECT target FROM {n}_size))
+QUALIFY row_number() OVER (ORDER BY h, j) <= (SELECT target FROM {n}_size))
 """
 
 
