@@ -60,6 +60,10 @@ def _matrix(vectors: pd.Series, metric: str) -> np.ndarray:
     return matrix
 
 
+def _rounded(scores: np.ndarray) -> np.ndarray:
+    return np.round(scores, SCORE_PLACES) + 0.0  # no negative zero
+
+
 def _best_columns(scores: np.ndarray, k: int) -> np.ndarray:
     """Per row, the ``k`` columns of highest score in order; ties keep column order."""
     width = scores.shape[1]
@@ -123,7 +127,7 @@ def similar_items(
         names, keep = left["query_id"].to_numpy(), min(k, len(ids))
         parts = []
         for start in range(0, len(names), 256):
-            scores = np.round(wanted[start:start + 256] @ candidates / temperature, SCORE_PLACES)
+            scores = _rounded(wanted[start:start + 256] @ candidates / temperature)
             best = _best_columns(scores, keep)
             parts.append(pd.DataFrame({
                 "query_id": np.repeat(names[start:start + 256], keep),
@@ -204,7 +208,7 @@ def batch_similarity(batches: DataFrame, *, metric: str = "cosine", temperature:
             "batch": np.repeat(batch["batch"].to_numpy(), n),
             "query_id": np.repeat(batch["query_id"].to_numpy(), n),
             "item_id": np.tile(batch["item_id"].to_numpy(), n),
-            "score": np.round(scores / temperature, SCORE_PLACES).ravel(),
+            "score": _rounded(scores / temperature).ravel(),
             "label": (place[:, None] == place[None, :]).astype("int32").ravel(),
         })
 

@@ -53,7 +53,7 @@ def _cosine_sql(a: str, b: str) -> str:
 
 BATCH_SQL = VECTOR_SQL + f"""
 , pairs AS (SELECT a.batch, a.vec_id AS query_id, b.vec_id AS item_id,
-  round({_cosine_sql('a.q', 'b.i')} / 0.1, 9) AS score, CAST(a.vec_id = b.vec_id AS INT) AS label
+  round({_cosine_sql('a.q', 'b.i')} / 0.1, 9) + 0 AS score, CAST(a.vec_id = b.vec_id AS INT) AS label
   FROM vecs a JOIN vecs b ON a.batch = b.batch)
 """
 
@@ -67,14 +67,14 @@ def _batch_pairs(spark, sf_dir):
     return r.batch_similarity(_batches(spark, sf_dir), temperature=0.1)
 
 
-query("r1_batch_similarity", f"{BATCH_SQL} SELECT * FROM pairs", doubles=("score",), views=False)(_batch_pairs)
+query("r1_batch_similarity", f"{BATCH_SQL} SELECT * FROM pairs", views=False, rounded=False)(_batch_pairs)
 
 
 @query("r1_pair_similarity", f"""{VECTOR_SQL}
-SELECT query_id, item_id, round({_cosine_sql('a.q', 'b.i')}, 9) AS cosine,
-  round(list_dot_product(a.q, b.i) / 0.5, 9) AS scaled_dot
+SELECT query_id, item_id, round({_cosine_sql('a.q', 'b.i')}, 9) + 0 AS cosine,
+  round(list_dot_product(a.q, b.i) / 0.5, 9) + 0 AS scaled_dot
 FROM truth JOIN vecs a ON a.vec_id = query_id JOIN vecs b ON b.vec_id = item_id""",
-       doubles=("cosine", "scaled_dot"), views=False)
+       views=False, rounded=False)
 def r1_pairs(spark, sf_dir):
     towers = _towers(spark, sf_dir)
     sides = (towers.select("query_id", F.col("query_vector").alias("vector")),
@@ -103,12 +103,12 @@ def r2(spark, sf_dir):
 
 def _top_sql(score: str, k: int) -> str:
     return f"""{VECTOR_SQL}
-, scored AS (SELECT a.vec_id AS query_id, b.vec_id AS item_id, round({score}, 9) AS score FROM vecs a, vecs b)
+, scored AS (SELECT a.vec_id AS query_id, b.vec_id AS item_id, round({score}, 9) + 0 AS score FROM vecs a, vecs b)
 SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id DESC) AS rank FROM scored
 QUALIFY rank <= {k}"""
 
 
-@query("r3_block_scores", _top_sql("list_dot_product(a.q, b.i) / 0.05", 5), doubles=("score",), views=False)
+@query("r3_block_scores", _top_sql("list_dot_product(a.q, b.i) / 0.05", 5), views=False, rounded=False)
 def r3(spark, sf_dir):
     towers = _towers(spark, sf_dir)
     return r.similar_items(
@@ -118,7 +118,7 @@ def r3(spark, sf_dir):
     )
 
 
-@query("r4_top_candidates", _top_sql(_cosine_sql("a.v", "b.v"), 20), doubles=("score",), views=False)
+@query("r4_top_candidates", _top_sql(_cosine_sql("a.v", "b.v"), 20), views=False, rounded=False)
 def r4(spark, sf_dir):
     return r.similar_items(_vectors(spark, sf_dir, "query_id"), _vectors(spark, sf_dir, "item_id"), k=20)
 

@@ -28,13 +28,19 @@ def rounded_sql(body: str, columns: Sequence[str]) -> str:
     return f"SELECT * REPLACE ({replaced}) FROM (\n{body}\n)"
 
 
-def query(name: str, sql: str | None = None, *, doubles: Sequence[str] = (), views: bool = True):
-    """Register a query. Doubles are rounded to 6 places; ``doubles`` names them for the SQL."""
+def query(
+    name: str, sql: str | None = None, *, doubles: Sequence[str] = (), views: bool = True, rounded: bool = True
+):
+    """Register a query. Doubles are rounded to 6 places; ``doubles`` names them for the SQL.
+
+    ``rounded=False`` is for queries whose doubles are rounded by definition: rounding twice would
+    make the last place depend on how halves are rounded.
+    """
 
     def register(build: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is already registered")
-        QUERIES[name] = lambda spark, sf_dir: round_doubles(build(spark, sf_dir))
+        QUERIES[name] = (lambda spark, sf_dir: round_doubles(build(spark, sf_dir))) if rounded else build
         if sql is not None:
             ORACLES[name] = rounded_sql(retail_sql(sql) if views else sql, doubles)
         return build
