@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 REFERENCE_DATE = "2001-08-01"  # last order date of the tables
 
+# A prime just above the highest price: prices lie below 1, and means of few prices do not fall
+# halfway between two rounded values, where two engines may round differently.
+PRICE_UNIT = 105019
+
 TX_COLUMNS = {
     "customer_id": "o_custkey",
     "article_id": "l_partkey",
     "t_dat": "CAST(o_orderdate AS DATE)",
-    "price": "l_extendedprice / CAST(105000 AS DOUBLE)",
+    "price": f"l_extendedprice / CAST({PRICE_UNIT} AS DOUBLE)",
     "sales_channel_id": "CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END",
     "order_id": "l_orderkey",
     "line_no": "l_linenumber",
