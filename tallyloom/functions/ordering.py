@@ -210,17 +210,18 @@ def cut_point(df: DataFrame, levels: Sequence[Column], position: Callable[[Colum
     counts the rows with a smaller key and ``_size`` those with this key; no row if the position is
     not inside the table.
     """
-    keys = [level.alias(f"_l{i}") for i, level in enumerate(levels)]
     found = None
-    for i in range(len(keys)):
-        rows = df.select(*keys[: i + 1])
+    for i, level in enumerate(levels):
         above = [f"_l{n}" for n in range(i)]
         if found is None:
-            counts = rows.groupBy("_l0").agg(F.count("*").alias("_n"))
+            counts = df.groupBy(level.alias("_l0")).agg(F.count("*").alias("_n"))
             counts = counts.withColumn("_base", F.lit(0).cast("long"))
         else:
-            rows = rows.join(F.broadcast(found), above)  # one row
-            counts = rows.groupBy(*above, f"_l{i}", "_base", "_at").agg(F.count("*").alias("_n"))
+            # one row; the join keeps the boundary rows, so later keys are made for those only
+            rows = df.join(F.broadcast(found), levels[0] == F.col("_l0"))
+            for name, upper in list(zip(above, levels))[1:]:
+                rows = rows.where(upper == F.col(name))
+            counts = rows.groupBy(*above, level.alias(f"_l{i}"), "_base", "_at").agg(F.count("*").alias("_n"))
         upto = Window.orderBy(f"_l{i}").rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn(
             "_before", F.col("_base") + F.coalesce(F.sum("_n").over(upto), F.lit(0))
@@ -231,6 +232,6 @@ def cut_point(df: DataFrame, levels: Sequence[Column], position: Callable[[Colum
         found = counts.where(
             (F.col("_before") <= F.col("_at")) & (F.col("_at") < F.col("_before") + F.col("_n"))
         ).select(*above, f"_l{i}", F.col("_before").alias("_base"), F.col("_n").alias("_size"), "_at")
-        if i + 1 < len(keys):
+        if i + 1 < len(levels):
             found = found.drop("_size")
     return found.withColumnRenamed("_base", "_before")

@@ -85,16 +85,21 @@ def customer_temporal(
     return grouped.select(customer_col, *customer_columns(clock, lookbacks))
 
 
+def distinct_count(col: str, approximate: bool) -> Column:
+    """Distinct values: exact in two shuffles (by key and value first, so a hot key is spread), or
+    estimated in one with a fixed-size sketch per key."""
+    return F.approx_count_distinct(col) if approximate else F.count_distinct(col)
+
+
 def article_aggregates(
-    clock: Clock, customer_col: str = "customer_id", lookbacks: Sequence[int] = (7, 30)
+    clock: Clock, customer_col: str = "customer_id", lookbacks: Sequence[int] = (7, 30), *,
+    approximate: bool = False,
 ) -> list[Column]:
-    """``unique_customers`` is counted in two shuffles, by (article, customer) first, so one
-    best-selling article is spread over many tasks."""
     return [
         F.min(clock.col).alias("_first"),
         F.max(clock.col).alias("_last"),
         F.count("*").alias("total_sales"),
-        F.count_distinct(customer_col).alias("unique_customers"),
+        distinct_count(customer_col, approximate).alias("unique_customers"),
         *[F.count_if(clock.within(d)).alias(f"sales_last_{d}_days") for d in lookbacks],
     ]
 
@@ -125,9 +130,15 @@ def article_temporal(
     customer_col: str = "customer_id",
     date_col: str = "t_dat",
     lookbacks: Sequence[int] = (7, 30),
+    approximate: bool = False,
 ) -> DataFrame:
-    """One row per article; rows without an article are left out."""
+    """One row per article; rows without an article are left out.
+
+    ``approximate`` estimates the distinct customers.
+    """
     clock = Clock(transactions, date_col, reference_date)
     known = transactions.where(F.col(article_col).isNotNull())
-    grouped = known.groupBy(article_col).agg(*article_aggregates(clock, customer_col, lookbacks))
+    grouped = known.groupBy(article_col).agg(
+        *article_aggregates(clock, customer_col, lookbacks, approximate=approximate)
+    )
     return grouped.select(article_col, *article_columns(clock, lookbacks))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -41,13 +40,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     The cluster names that folder in ``spark.checkpoint.dir``. Only a session without the setting
     (tests on one machine) gets a local one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tallyloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"{label}-{uuid.uuid4().hex[:12]}")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
+        root = context.getCheckpointDir()
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -144,6 +144,12 @@ def test_temporal_edges(spark):
     assert set(art_rows) == {1, 2} and art_rows[1]["unique_customers"] == 2 and art_rows[1]["total_sales"] == 3
 
 
+def test_estimated_distinct_customers(spark):
+    df = spark.range(2000).selectExpr("id % 1000 AS customer_id", "1 AS article_id", "DATE '2023-01-01' AS t_dat")
+    got = temp.article_temporal(df, reference_date="2023-01-02", approximate=True).first()
+    assert 900 < got["unique_customers"] < 1100 and got["total_sales"] == 2000
+
+
 def test_timestamps_are_floored(spark):
     df = spark.createDataFrame([("a", datetime.datetime(2023, 1, 2, 23, 0))], "customer_id string, t_dat timestamp_ntz")
     got = temp.customer_temporal(df, reference_date="2023-01-02").first()
