@@ -16,6 +16,7 @@ is one row from the first shuffle on.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -200,38 +201,56 @@ def named_column(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*doubles).unpivot([], list(columns), "column", "value")
 
 
-def cut_point(df: DataFrame, levels: Sequence[Column], position: Callable[[Column], Column]) -> DataFrame:
+@dataclass(frozen=True)
+class Cut:
+    """A key of an ordered table: its levels as literals, the rows before it, and its own rows."""
+
+    keys: tuple[Column, ...]
+    values: tuple
+    position: int
+    before: int
+    size: int
+
+
+def cut_point(df: DataFrame, levels: Sequence[Column], position: Callable[[Column], Column]) -> Cut | None:
     """The key at a 0-based position of a table ordered by ``levels``, found without sorting it.
 
-    ``levels`` are order keys, each refining the one before (day, then key prefix, then key). Level
-    by level the rows inside the boundary key are counted per next key and the counts cumulated, so
-    a window only ever sees the distinct keys of one level below one boundary. ``position`` maps the
-    row count to the wanted position. One row ``(_l0, .., _before, _size, _at)`` where ``_before``
-    counts the rows with a smaller key and ``_size`` those with this key; no row if the position is
-    not inside the table.
+    ``levels`` are order keys, each refining the one before (day, then key prefix, then key); none is
+    NULL. Level by level the rows of the boundary key are counted per next key and the counts
+    cumulated, so a window only ever sees the distinct keys of one level below one boundary. Each
+    level is one job that returns one row, and filters the next one by a literal, which prunes the
+    scan. ``position`` maps the row count to the wanted position; None if that is past the end.
     """
-    found = None
-    for i, level in enumerate(levels):
-        above = [f"_l{n}" for n in range(i)]
-        if found is None:
-            counts = df.groupBy(level.alias("_l0")).agg(F.count("*").alias("_n"))
-            counts = counts.withColumn("_base", F.lit(0).cast("long"))
-        else:
-            # one row; the join keeps the boundary rows, so later keys are made for those only
-            rows = df.join(F.broadcast(found), levels[0] == F.col("_l0"))
-            for name, upper in list(zip(above, levels))[1:]:
-                rows = rows.where(upper == F.col(name))
-            counts = rows.groupBy(*above, level.alias(f"_l{i}"), "_base", "_at").agg(F.count("*").alias("_n"))
-        upto = Window.orderBy(f"_l{i}").rowsBetween(Window.unboundedPreceding, -1)
-        counts = counts.withColumn(
-            "_before", F.col("_base") + F.coalesce(F.sum("_n").over(upto), F.lit(0))
+    rows, keys, values = df, [], []
+    at, before, size = None, 0, 0
+    for level in levels:
+        counts = rows.groupBy(level.alias("_key")).agg(F.count("*").alias("_n"))
+        upto = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+        wanted = position(F.sum("_n").over(Window.partitionBy())).cast("long") if at is None else F.lit(at)
+        placed = counts.select(
+            "_key", "_n",
+            (F.lit(before) + F.coalesce(F.sum("_n").over(upto), F.lit(0))).alias("_before"),
+            wanted.alias("_at"),
         )
-        if found is None:
-            total = F.sum("_n").over(Window.partitionBy())
-            counts = counts.withColumn("_at", position(total).cast("long"))
-        found = counts.where(
+        found = placed.where(
             (F.col("_before") <= F.col("_at")) & (F.col("_at") < F.col("_before") + F.col("_n"))
-        ).select(*above, f"_l{i}", F.col("_before").alias("_base"), F.col("_n").alias("_size"), "_at")
-        if i + 1 < len(levels):
-            found = found.drop("_size")
-    return found.withColumnRenamed("_base", "_before")
+        ).withColumn("_text", F.col("_key").cast("string")).first()
+        if found is None:
+            return None
+        at, before, size = found["_at"], found["_before"], found["_n"]
+        # as text, so that no date or time passes through the time zone of this machine
+        key = F.lit(found["_text"]).cast(counts.schema["_key"].dataType)
+        keys.append(key)
+        values.append(found["_key"])
+        rows = rows.where(level == key)
+    return Cut(tuple(keys), tuple(values), at, before, size)
+
+
+def before_cut(levels: Sequence[Column], cut: Cut) -> tuple[Column, Column]:
+    """(key is before the cut, key is the cut), compared level by level: a later level is only
+    evaluated where all earlier ones are equal."""
+    before, same = F.lit(False), F.lit(True)
+    for level, at in reversed(list(zip(levels, cut.keys))):
+        before = (level < at) | ((level == at) & before)
+        same = (level == at) & same
+    return before, same

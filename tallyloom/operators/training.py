@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.hashing import key_modulo, key_number, text_key
-from tallyloom.functions.ordering import cut_point, dense_rank_of_values
+from tallyloom.functions.ordering import before_cut, cut_point, dense_rank_of_values
 from tallyloom.session import stored
 
 # Fixed values
@@ -83,16 +83,11 @@ def temporal_split(
     levels = [moment, F.substring(key, 1, 4), F.substring(key, 1, 8), key]
     if transactions.schema[date_col].dataType.typeName() != "date":
         levels = [F.to_date(moment), *levels]
-    edge = cut_point(transactions, levels, lambda rows: F.floor(rows * F.lit(1.0 - validation))).first()
-    if edge is None:  # nothing to validate on
+    cut = cut_point(transactions, levels, lambda rows: F.floor(rows * F.lit(1.0 - validation)))
+    if cut is None:  # nothing to validate on
         return transactions, transactions.where(F.lit(False))
-    # compare level by level, so the key is only computed for rows on the boundary date
-    before, same = F.lit(False), F.lit(True)
-    for i, level in reversed(list(enumerate(levels))):
-        at = F.lit(edge[f"_l{i}"])
-        before = (level < at) | ((level == at) & before)
-        same = (level == at) & same
-    copies = edge["_at"] - edge["_before"]
+    before, same = before_cut(levels, cut)
+    copies = cut.position - cut.before
     if copies == 0:
         return transactions.where(before), transactions.where(~before)
     # The cut falls among equal rows: count them out. Tie columns may leave out other columns, so
@@ -188,11 +183,8 @@ def negative_samples(
     found = accepted.count()
     if found < target:
         raise RuntimeError(f"drew {found} unknown pairs, {target} wanted")
-    kept = accepted
-    edge = cut_point(accepted, levels, lambda rows: F.lit(target)).first()
-    if edge is not None:
-        at = F.struct(*[F.lit(edge[f"_l{i}"]).alias(f"_l{i}") for i in range(len(levels))])
-        kept = accepted.where(F.struct(*[level.alias(f"_l{i}") for i, level in enumerate(levels)]) < at)
+    cut = cut_point(accepted, levels, lambda rows: F.lit(target))
+    kept = accepted if cut is None else accepted.where(before_cut(levels, cut)[0])
     return kept.select("customer_id", "article_id", F.lit(0).alias("label"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.counts import gini_of_counts, items_within_share
 from tallyloom.functions.ordering import (
-    cut_point, dense_rank_of_values, exact_quantiles, named_column, with_dense_rank,
+    before_cut, cut_point, dense_rank_of_values, exact_quantiles, named_column, with_dense_rank,
 )
 
 
@@ -63,12 +63,13 @@ def test_cut_point_finds_key_and_copies(spark):
     df = spark.createDataFrame(keys, "d int, k string")
     ordered = sorted(keys)
     for at in range(len(ordered)):
-        row = cut_point(df, [F.col("d"), F.col("k")], lambda n, at=at: F.lit(at)).first()
+        levels = [F.col("d"), F.col("k")]
+        cut = cut_point(df, levels, lambda n, at=at: F.lit(at))
         key = ordered[at]
-        assert (row["_l0"], row["_l1"]) == key
-        assert row["_before"] == ordered.index(key)
-        assert row["_size"] == ordered.count(key)
-    assert cut_point(df, [F.col("d"), F.col("k")], lambda n: n).first() is None
+        assert (cut.values, cut.before, cut.size, cut.position) == (key, ordered.index(key), ordered.count(key), at)
+        before, same = before_cut(levels, cut)
+        assert df.where(before).count() == cut.before and df.where(same).count() == cut.size
+    assert cut_point(df, [F.col("d"), F.col("k")], lambda n: n) is None
 
 
 @pytest.mark.parametrize("seed", range(3))

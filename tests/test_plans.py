@@ -7,32 +7,16 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as registry
 from tallyloom.operators import interactions as inter
 from tallyloom.operators import metrics as m
 from tallyloom.operators import temporal as temp
 from tallyloom.operators import training as tr
 from tallyloom.sources import retail
 
-PYTHON_QUERIES = {  # the block products
-    "r1_batch_similarity", "r3_block_scores", "r4_top_candidates", "r5_retrieval_evaluation", "r6_batch_loss",
-}
-QUERIES = registry.queries()
-
-
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_cross_join_and_no_python(spark, sf_dir, name):
-    text = plan(QUERIES[name](spark, sf_dir))
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-    assert "Python" not in text or name in PYTHON_QUERIES
-    assert "InPandas" not in text or name in PYTHON_QUERIES
-
-
 def test_customer_history_shuffles_once_after_the_scan(spark, sf_dir):
     tx = retail.transactions(spark, sf_dir).select("customer_id", "t_dat")
     text = plan(temp.customer_temporal(tx, reference_date="2001-08-01"))
