@@ -484,8 +484,8 @@ def j4(spark, sf_dir):
 
 @query("j5_affinity_of_pairs", f"""{PREFERENCE_SQL}
 , pairs AS (SELECT DISTINCT customer_id, article_id FROM tx)
-SELECT customer_id, article_id, CASE WHEN favorite_department = department_name THEN 1.0 ELSE 0.5 END
-  AS department_affinity
+SELECT customer_id, article_id, CASE WHEN favorite_department = department_name THEN CAST(1 AS DOUBLE)
+  ELSE CAST(0.5 AS DOUBLE) END AS department_affinity
 FROM pairs JOIN customer_preferences USING (customer_id) JOIN articles USING (article_id)""",
        doubles=("department_affinity",))
 def j5_pairs(spark, sf_dir):
@@ -509,8 +509,8 @@ def j5_summary(spark, sf_dir):
 @query("j5_affinity_grid", f"""{PREFERENCE_SQL}
 , active AS (SELECT customer_id FROM tx GROUP BY 1 ORDER BY count(*) DESC, customer_id LIMIT 100)
 , selling AS (SELECT article_id FROM tx GROUP BY 1 ORDER BY count(*) DESC, article_id LIMIT 50)
-SELECT customer_id, article_id, CASE WHEN favorite_department = department_name THEN 1.0 ELSE 0.5 END
-  AS department_affinity
+SELECT customer_id, article_id, CASE WHEN favorite_department = department_name THEN CAST(1 AS DOUBLE)
+  ELSE CAST(0.5 AS DOUBLE) END AS department_affinity
 FROM active CROSS JOIN selling JOIN customer_preferences USING (customer_id) JOIN articles USING (article_id)""",
        doubles=("department_affinity",))
 def j5_grid(spark, sf_dir):
