@@ -37,13 +37,13 @@ def local_session(cores: int | str = 8, memory: str = "16g", **extra: str) -> Sp
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared folder of the cluster.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a session without the setting
-    (tests on one machine) gets a local one.
+    The cluster names that folder in ``spark.checkpoint.dir``. Only a session of one process
+    (``local[n]``) without the setting gets a local one; any other raises.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
         root = context.getCheckpointDir()
