@@ -86,5 +86,34 @@ FROM measures
 """
 
 
+WARC = """
+WITH captures AS (
+  SELECT page_id, lower(url) AS url, sha256(coalesce(html, '')) AS digest, strlen(coalesce(html, '')) AS bytes,
+    to_timestamp(coalesce(page_id, 0)) AS captured_at FROM pages),
+firsts AS (SELECT digest, min(page_id) AS first_id FROM captures WHERE bytes >= 100 GROUP BY digest),
+keyed AS (
+  SELECT *, regexp_replace(url, '^[a-z][a-z0-9+.-]*://', '') AS rest FROM captures)
+SELECT page_id, bytes AS payload_bytes, k.digest AS payload_digest,
+  CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
+  row_number() OVER (ORDER BY array_to_string(list_reverse(string_split(regexp_extract(rest, '^([^/?#:]*)', 1), '.')), ',')
+    || ')' || regexp_replace(rest, '^[^/?#]*', ''), captured_at, page_id) - 1 AS position
+FROM keyed k LEFT JOIN firsts f ON f.digest = k.digest
+"""
+
+TOPK = """
+WITH whole AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+  GROUP BY vec_id),
+scores AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scores QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": LINE_DEDUP, "op10_quality_rules": _rules_sql()}
+    return {"op1_warc": WARC, "op8_topk": TOPK, "op2_line_dedup": LINE_DEDUP, "op10_quality_rules": _rules_sql()}
