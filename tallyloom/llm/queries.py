@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
-    line_dedup, merge_replay, packing, quality_classifier, quality_rules, sharding, topk, warc, wavelet,
+    line_dedup, merge_replay, near_dedup, packing, quality_classifier, quality_rules, sharding, topk, warc, wavelet,
 )
 from tallyloom.llm.common import table
 
@@ -33,6 +33,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_warc, op2_line_dedup, op3_quality_classifier, op5_sharding, op6_wavelet, op7_merge_replay,
-        op8_topk, op9_packing, op10_quality_rules,
+        op1_warc, op2_line_dedup, op3_quality_classifier, op4_near_dedup, op5_sharding, op6_wavelet,
+        op7_merge_replay, op8_topk, op9_packing, op10_quality_rules,
     )}
