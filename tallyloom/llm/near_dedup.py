@@ -37,7 +37,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 28, 5
 HASHES = BANDS * ROWS
-LEADERS = 16  # leaders per bucket in the rounds after the first
+LEADERS = 16  # leaders per bucket in the second round; four times as many in each further one
 SEGMENT = 1 << 20  # bytes whose words are hashed at a time
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -289,8 +289,9 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round takes the smallest label of a node and its neighbours, then the label of that label.
     """
-    both = stored(links.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(
-        links.select(F.col("b").alias("id"), F.col("a").alias("other"))).distinct(), "links")
+    links = stored(links, "links")
+    both = links.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(
+        links.select(F.col("b").alias("id"), F.col("a").alias("other")))
     labels = stored(both.groupBy("id").agg(F.least(F.col("id"), F.min("other")).alias("label")), "labels")
     while True:
         seen = both.join(labels.select(F.col("id").alias("other"), F.col("label").alias("near")), "other")
@@ -304,48 +305,62 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _links(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame | None:
-    """Verified links (a, b) such that no pair of a bucket is both unlinked and unchecked; None if there are none."""
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links: components of the labels that the links connect."""
+    named = links.join(labels.withColumnsRenamed({"id": "a", "label": "x"}), "a", "left").join(
+        labels.withColumnsRenamed({"id": "b", "label": "y"}), "b", "left")
+    over = components(named.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
+    moved = labels.join(over.withColumnsRenamed({"id": "label", "label": "new"}), "label", "left").select(
+        "id", F.coalesce("new", "label").alias("label"))
+    return stored(moved.unionByName(over.join(labels, "id", "left_anti")), "labels")
+
+
+def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame | None:
+    """(id, label) of all texts with a link; None if no two texts share a band.
+
+    Ends when no pair of a bucket is both in two classes and unchecked.
+    """
     members = _buckets(texts)
     if members.isEmpty():
         return None
+    close = lambda x, y: F.least(x, y) >= similarity * F.greatest(x, y)  # noqa: E731  sizes of similar sets
     leaders = members.groupBy("bucket").agg(
         F.max_by(F.struct("id", "shingles"), F.struct("weight", -F.col("id"))).alias("leader"))
-    near = (F.least("shingles", F.col("leader.shingles")) >= similarity * F.greatest("shingles", F.col("leader.shingles")))
-    ids = F.least("id", F.col("leader.id")).alias("a"), F.greatest("id", F.col("leader.id")).alias("b")
-    pairs = stored(members.join(leaders, "bucket").where(F.col("id") != F.col("leader.id")).where(near).select(*ids).distinct(), "pairs")
+    led = stored(members.join(leaders, "bucket").where(F.col("id") != F.col("leader.id")), "led")
+    pairs = led.where(close(F.col("shingles"), F.col("leader.shingles"))).select(
+        F.least("id", F.col("leader.id")).alias("a"), F.greatest("id", F.col("leader.id")).alias("b")).distinct()
+    tested = stored(pairs, "pairs")
     sets = _shingles(docs, texts, members.select("id").distinct())
-    links, tested = stored(_verified(pairs, sets, similarity), "links"), pairs
-    waiting = members.join(leaders.select("bucket", F.col("leader.id").alias("_led")), "bucket").where("id <> _led").drop("_led")
+    labels = components(_verified(tested, sets, similarity))
+    waiting, most = led.select("bucket", "id", "shingles", "weight"), LEADERS
     while True:
-        labels = components(links)
         named = waiting.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         # a bucket is done when those that have not led yet are of one class
         split = named.groupBy("bucket").agg(F.min("label").alias("_x"), F.max("label").alias("_y")).where("_x <> _y").select("bucket")
-        waiting = stored(named.join(split, "bucket"), "waiting")
         order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "id")
-        first = waiting.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= LEADERS)
-        if first.isEmpty():
-            return links
-        leading = stored(first.select("bucket", F.col("id").alias("lead"), F.col("label").alias("lead_label"),
-                                      F.col("shingles").alias("lead_shingles")), "leaders")
-        near = F.least("shingles", "lead_shingles") >= similarity * F.greatest("shingles", "lead_shingles")
-        found = waiting.join(leading, "bucket").where("label <> lead_label").where(near).select(
-            F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
-        fresh = stored(found.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = stored(links.unionByName(_verified(fresh, sets, similarity)), "links")
+        waiting = stored(named.join(split, "bucket").withColumn("turn", F.row_number().over(order)), "waiting")
+        if waiting.isEmpty():
+            return labels
+        leading = waiting.where(F.col("turn") <= most).select(
+            "bucket", F.col("id").alias("lead"), F.col("label").alias("lead_label"), F.col("shingles").alias("lead_shingles"))
+        found = waiting.join(leading, "bucket").where("label <> lead_label").where(close(F.col("shingles"), F.col("lead_shingles")))
+        fresh = stored(found.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct().join(
+            tested, ["a", "b"], "left_anti"), "pairs")
+        links = stored(_verified(fresh, sets, similarity), "links")
+        if not links.isEmpty():
+            labels = _relabelled(labels, links)
         tested = tested.unionByName(fresh)
-        waiting = waiting.drop("label").join(leading.select("bucket", F.col("lead").alias("id")), ["bucket", "id"], "left_anti")
+        waiting, most = waiting.where(F.col("turn") > most).drop("label", "turn"), 4 * most
 
 
 def text_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(text_hash, class_id, first_hash): class of each distinct text, and the text that stands for the class."""
     texts = distinct_texts(docs)
-    links = _links(docs, texts, similarity)
+    labels = _labels(docs, texts, similarity)
     nodes = texts.select("id", "text_hash", "first_id")
-    if links is None:
+    if labels is None:
         return nodes.select("text_hash", F.col("first_id").alias("class_id"), F.col("text_hash").alias("first_hash"))
-    labelled = nodes.join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    labelled = nodes.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     order = F.struct(F.col("first_id").isNull().alias("none"), "first_id", "text_hash")
     classes = labelled.groupBy("label").agg(F.min("first_id").alias("class_id"), F.min_by("text_hash", order).alias("first_hash"))
     return labelled.join(classes, "label").select("text_hash", "class_id", "first_hash")
