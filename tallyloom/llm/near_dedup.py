@@ -307,10 +307,11 @@ def components(links: DataFrame) -> DataFrame:
 
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after further links: components of the labels that the links connect."""
-    named = links.join(labels.withColumnsRenamed({"id": "a", "label": "x"}), "a", "left").join(
-        labels.withColumnsRenamed({"id": "b", "label": "y"}), "b", "left")
+    of_a = labels.select(F.col("id").alias("a"), F.col("label").alias("x"))
+    of_b = labels.select(F.col("id").alias("b"), F.col("label").alias("y"))
+    named = links.join(of_a, "a", "left").join(of_b, "b", "left")
     over = components(named.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")))
-    moved = labels.join(over.withColumnsRenamed({"id": "label", "label": "new"}), "label", "left").select(
+    moved = labels.join(over.select(F.col("id").alias("label"), F.col("label").alias("new")), "label", "left").select(
         "id", F.coalesce("new", "label").alias("label"))
     return stored(moved.unionByName(over.join(labels, "id", "left_anti")), "labels")
 
