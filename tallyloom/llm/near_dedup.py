@@ -14,6 +14,10 @@ classes are worked off with further leaders, round by round, until every pair of
 class or was compared. So no link among the texts of a bucket is lost, and no bucket is expanded into all
 its pairs. Classes are connected components, found by label propagation with shortcuts.
 
+Before a pair leaves a bucket it passes an exact filter: every text carries the parities of its shingles in
+``PARITIES`` cells. Two sets differ in at least as many shingles as their parities differ in cells, so a pair
+whose parities differ more than a similarity of ``SIMILARITY`` allows has no link and need not be verified.
+
 Exact copies are one text from the start. Every table between the steps is stored in the shared folder.
 
 Defined results: equal texts share a class, also the empty ones and null, which counts as empty; texts with
@@ -38,6 +42,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 28, 5
 HASHES = BANDS * ROWS
 LEADERS = 16  # leaders per bucket in the second round; four times as many in each further one
+PARITIES = 1024
 SEGMENT = 1 << 20  # bytes whose words are hashed at a time
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -205,6 +210,19 @@ def band_hashes(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return value
 
 
+def shingle_parities(text: np.ndarray, element: np.ndarray, texts: int) -> np.ndarray:
+    """Per text, whether each of ``PARITIES`` cells holds an odd number of its elements, 64 cells in a number."""
+    cell = text * PARITIES + (element % np.uint64(PARITIES)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=texts * PARITIES) & 1).astype(np.uint8).reshape(texts, PARITIES)
+    return np.packbits(odd, axis=1).view(np.int64)
+
+
+def _may_be_similar(x: str, y: str, x_size: str, y_size: str, similarity: float) -> Column:
+    """False only for pairs whose parities prove a lower similarity."""
+    apart = sum(F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(PARITIES // 64))
+    return apart * (1 + similarity) <= (F.col(x_size) + F.col(y_size)) * (1 - similarity) + 1e-6
+
+
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, one past the last, bytes, starts) of consecutive texts of about ``SEGMENT`` bytes together."""
     array = batch.column(column)
@@ -223,7 +241,7 @@ def _hash() -> Column:
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """(id, text_hash, first_id, shingles, bands) of each distinct text, stored; ``id`` is a number for joins."""
+    """(id, text_hash, first_id, shingles, bands, parities) of each distinct text, stored; ``id`` is a number for joins."""
     spark = docs.sparkSession
     small_batches(spark)
 
@@ -234,14 +252,17 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
                 sizes = np.bincount(owner, minlength=b - a) if len(owner) else np.zeros(b - a, np.int64)
                 found = band_hashes(signatures(owner, value, b - a)).view(np.int64)
                 bands = [row if n else [] for row, n in zip(found, sizes)]
+                parities = shingle_parities(owner, value, b - a)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0)[a:b], batch.column(1)[a:b], pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())),
-                ], names=["doc_id", "text_hash", "shingles", "bands"])
+                    pa.array(list(parities), pa.list_(pa.int64())),
+                ], names=["doc_id", "text_hash", "shingles", "bands", "parities"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _hash().alias("text_hash"), text_or_empty().alias("text"))
-    signed = rows.mapInArrow(sign, "doc_id long, text_hash binary, shingles long, bands array<long>")
+    signed = rows.mapInArrow(sign, "doc_id long, text_hash binary, shingles long, bands array<long>, parities array<long>")
     distinct = signed.groupBy("text_hash").agg(
-        F.min("doc_id").alias("first_id"), F.first("shingles").alias("shingles"), F.first("bands").alias("bands"))
+        F.min("doc_id").alias("first_id"), F.first("shingles").alias("shingles"), F.first("bands").alias("bands"),
+        F.first("parities").alias("parities"))
     return stored(distinct.withColumn("id", F.monotonically_increasing_id()), "signatures")
 
 
@@ -334,17 +355,21 @@ def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame |
     sets = _shingles(docs, texts, members.select("id").distinct())
     labels = components(_verified(tested, sets, similarity))
     waiting, most = led.select("bucket", "id", "shingles", "weight"), LEADERS
+    parities = texts.select("id", "parities")
     while True:
         named = waiting.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         # a bucket is done when those that have not led yet are of one class
         split = named.groupBy("bucket").agg(F.min("label").alias("_x"), F.max("label").alias("_y")).where("_x <> _y").select("bucket")
         order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "id")
-        waiting = stored(named.join(split, "bucket").withColumn("turn", F.row_number().over(order)), "waiting")
+        left = named.join(split, "bucket").join(parities, "id") if "parities" not in named.columns else named.join(split, "bucket")
+        waiting = stored(left.withColumn("turn", F.row_number().over(order)), "waiting")
         if waiting.isEmpty():
             return labels
         leading = waiting.where(F.col("turn") <= most).select(
-            "bucket", F.col("id").alias("lead"), F.col("label").alias("lead_label"), F.col("shingles").alias("lead_shingles"))
-        found = waiting.join(leading, "bucket").where("label <> lead_label").where(close(F.col("shingles"), F.col("lead_shingles")))
+            "bucket", F.col("id").alias("lead"), F.col("label").alias("lead_label"), F.col("shingles").alias("lead_shingles"), F.col("parities").alias("lead_parities"))
+        found = waiting.join(leading, "bucket").where("label <> lead_label").where(
+            close(F.col("shingles"), F.col("lead_shingles"))).where(
+            _may_be_similar("parities", "lead_parities", "shingles", "lead_shingles", similarity))
         fresh = stored(found.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct().join(
             tested, ["a", "b"], "left_anti"), "pairs")
         links = stored(_verified(fresh, sets, similarity), "links")

@@ -107,6 +107,20 @@ def test_dart_signatures_estimate_weighted_similarity():
         assert abs(np.mean(a == b) - want) < 0.05
 
 
+def test_parities_bound_the_difference_of_two_sets():
+    rng = np.random.default_rng(3)
+    for size, changed in ((40, 0), (40, 5), (300, 60), (4000, 900)):
+        one = near_dedup.mixed(np.arange(size).astype(np.uint64))
+        other = one.copy()
+        other[rng.permutation(size)[:changed]] = rng.integers(0, 1 << 63, changed).astype(np.uint64)
+        text, element = np.repeat([0, 1], size), np.concatenate([one, other])
+        cells = near_dedup.shingle_parities(text, element, 3)
+        apart = sum(int(x).bit_count() for x in (cells[0] ^ cells[1]).view(np.uint64))
+        assert apart <= 2 * changed
+        assert changed == 0 or apart > 0
+        assert not cells[2].any()
+
+
 def test_classes_merge_over_further_links(spark):
     first = near_dedup.components(spark.createDataFrame([(1, 2), (2, 3), (5, 6), (8, 9)], "a long, b long"))
     after = near_dedup._relabelled(first, spark.createDataFrame([(3, 6), (9, 10), (11, 12)], "a long, b long"))
