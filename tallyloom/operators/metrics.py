@@ -304,6 +304,7 @@ def all_metrics(
     scored: DataFrame,
     *,
     item_vectors: DataFrame | None = None,
+    catalogue: DataFrame | None = None,
     ks: Sequence[int] = K_VALUES,
     prefix: str = "",
     retrieval: bool = True,
@@ -312,7 +313,8 @@ def all_metrics(
 ) -> DataFrame:
     """The chosen families as one (metric, k, value) report; ``prefix`` goes before each name.
 
-    The scored pairs are stored first, since every family reads them.
+    ``catalogue`` (item_id) holds all items that could be recommended, for coverage and Gini; by default
+    the scored ones. The scored pairs are stored first, since every family reads them.
     """
     if not (retrieval or ranking or diversity):
         raise ValueError("choose at least one metric family")
@@ -323,7 +325,7 @@ def all_metrics(
     if ranking:
         parts.append(ranking_metrics(scored, ks))
     if diversity:
-        parts.append(diversity_metrics(scored, item_vectors))
+        parts.append(diversity_metrics(scored, item_vectors, catalogue=catalogue))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -133,11 +133,26 @@ def outliers(
     )
 
 
+def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, unique_values) of numeric columns, NULL and NaN left out."""
+    kinds = dict(df.dtypes)
+    present = [
+        F.nanvl(F.col(f"`{c}`"), F.lit(None).cast(kinds[c])) if kinds[c] in ("float", "double") else F.col(f"`{c}`")
+        for c in columns
+    ]
+    counts = df.agg(*[F.count_distinct(value).alias(c) for c, value in zip(columns, present)])
+    return counts.unpivot([], list(columns), "column", "unique_values")
+
+
 def numeric_distributions(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, distinct values, moments and quartiles per numeric column with at least two values."""
-    long = named_column(df, *(columns or numeric_columns(df)))
+    """Count, distinct values, moments and quartiles per numeric column with at least two values.
+
+    Distinct values are counted in the column's own type: as doubles, large integers would fall together.
+    """
+    names = list(columns or numeric_columns(df))
+    long = named_column(df, *names)
     counts = value_counts(long, ["column"], "value")
-    unique = counts.groupBy("column").agg(F.count("*").alias("unique_values"))
+    unique = distinct_values(df, names)
     return (
         moments(long).where(F.col("count") >= 2)
         .join(unique, "column").join(_quartiles(counts), "column")

@@ -119,6 +119,20 @@ def split_by_date(
     return transactions.where(F.col(date_col) <= last), transactions.where(later)
 
 
+def scrambled_cells(draws: DataFrame, n_customers: int, n_articles: int, seed: int) -> DataFrame:
+    """``draws`` (``_j``) with the cell (``_c``, ``_a``) of each: a keyed bijection of the grid's numbers.
+
+    Each round shifts one coordinate by a hash of the other, which can be undone, so different
+    ``_j`` below ``n_customers * n_articles`` give different cells.
+    """
+    customers, articles = F.lit(max(n_customers, 1)).cast("long"), F.lit(max(n_articles, 1)).cast("long")
+    cells = draws.withColumn("_c", F.expr(f"_j DIV {max(n_articles, 1)}")).withColumn("_a", F.pmod("_j", articles))
+    for turn, (moved, by, size) in enumerate((("_c", "_a", customers), ("_a", "_c", articles)) * 2):
+        shift = key_number(text_key(seed, turn, F.col(by)), 15)
+        cells = cells.withColumn(moved, F.pmod(F.col(moved) + shift, size))
+    return cells
+
+
 def negative_samples(
     positives: DataFrame,
     articles: DataFrame,
@@ -129,8 +143,11 @@ def negative_samples(
     """``rows(positives) * per_positive`` distinct unknown pairs, drawn uniformly and repeatably.
 
     Customers are drawn from the positive ones, articles from the whole catalogue. The known pairs
-    are counted first, which sizes the draw and fails at once if too few unknown pairs exist. Known
-    pairs and accepted draws are stored, since several steps read each.
+    are counted first, which sizes the draw and fails at once if too few unknown pairs exist. Draws
+    are cells of the customer x article grid in scrambled order: none comes twice, however dense
+    the draw, so they are only matched with the known pairs, by numbers, and ids are attached to
+    the wanted ones alone. Known pairs, indexes and unknown cells are stored, since several steps
+    read each.
     """
     known = stored(
         positives.groupBy("customer_id", "article_id").agg(F.count("*").alias("_rows")), "known-pairs"
@@ -149,42 +166,24 @@ def negative_samples(
     if target > free:
         raise ValueError(f"{target} negatives wanted, but only {free} unknown pairs exist")
 
-    spark = positives.sparkSession
-    customer_index = dense_rank_of_values(known, [], "customer_id", "_c")
-    article_index = dense_rank_of_values(catalogue, [], "article_id", "_a")
-    if 4 * target > free:
-        # dense: at most about four cells per wanted pair, so visit every cell in hash order
-        drawn = spark.range(cells).select(
-            F.expr(f"id DIV {max(n_articles, 1)}").alias("_c0"),
-            F.pmod("id", F.lit(max(n_articles, 1))).alias("_a0"),
-            key_number(text_key(seed, F.col("id")), 15).alias("_h"),
-            F.col("id").alias("_j"),
-        )
-        pairs = drawn
-        levels = [F.shiftright("_h", 44), F.shiftright("_h", 28), F.col("_h"), F.col("_j")]
-    else:
-        draws = 3 * target * cells // (2 * free) + 1000
-        key = text_key(seed, F.col("id"))
-        drawn = spark.range(draws).select(
-            key_modulo(key, n_customers).alias("_c0"),
-            key_modulo(F.substring(key, 16, 15), n_articles).alias("_a0"),
-            F.col("id").alias("_j"),
-        )
-        # a pair counts once, where it was first drawn; index numbers make this shuffle narrow
-        pairs = drawn.groupBy("_c0", "_a0").agg(F.min("_j").alias("_j"))
-        levels = [F.shiftright("_j", 26), F.shiftright("_j", 13), F.col("_j")]
-    accepted = stored(
-        pairs.join(customer_index.withColumn("_c0", F.col("_c") - 1).drop("_c"), "_c0")
-        .join(article_index.withColumn("_a0", F.col("_a") - 1).drop("_a"), "_a0")
-        .drop("_c0", "_a0")
-        .join(known.drop("_rows"), ["customer_id", "article_id"], "left_anti"),
-        "unknown-pairs",
+    customer_index = stored(
+        dense_rank_of_values(known, [], "customer_id", "_c").select("customer_id", (F.col("_c") - 1).alias("_c")),
+        "customer-index",
+    )
+    article_index = stored(
+        dense_rank_of_values(catalogue, [], "article_id", "_a").select("article_id", (F.col("_a") - 1).alias("_a")),
+        "article-index",
+    )
+    # at most ``pairs`` of the draws are known, so ``target`` of them are not
+    drawn = scrambled_cells(
+        positives.sparkSession.range(target + size["pairs"]).withColumnRenamed("id", "_j"), n_customers, n_articles, seed
     )
-    found = accepted.count()
-    if found < target:
-        raise RuntimeError(f"drew {found} unknown pairs, {target} wanted")
-    cut = cut_point(accepted, levels, lambda rows: F.lit(target))
-    kept = accepted if cut is None else accepted.where(before_cut(levels, cut)[0])
+    taken = known.join(customer_index, "customer_id").join(article_index, "article_id").select("_c", "_a")
+    unknown = stored(drawn.join(taken, ["_c", "_a"], "left_anti"), "unknown-cells")
+    levels = [F.shiftright("_j", 26), F.shiftright("_j", 13), F.col("_j")]
+    cut = cut_point(unknown, levels, lambda rows: F.lit(target))
+    kept = unknown if cut is None else unknown.where(before_cut(levels, cut)[0])
+    kept = kept.join(customer_index, "_c").join(article_index, "_a")
     return kept.select("customer_id", "article_id", F.lit(0).alias("label"))
 
 
@@ -274,7 +273,7 @@ def preview(df: DataFrame, n: int, *, order_by: Sequence[Column | str]) -> DataF
 
 def first_per_key(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the first by ``order_by`` (default: all other columns)."""
-    order = list(order_by or [c for c in df.columns if c != key])
+    order = list(order_by or [c for c in df.columns if c != key]) or [key]
     window = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") == 1).drop("_rn")
 
@@ -284,11 +283,13 @@ def attach_features(
 ) -> DataFrame:
     """Samples with the features of their customer and article; an unknown key is an error.
 
-    Customer columns get the prefix ``customer_``, article columns ``article_``.
+    Customer columns get the prefix ``customer_``, article columns ``article_``. Of several feature
+    rows of a key the first by its other columns counts, so samples are never multiplied.
     """
     out = samples
-    for key, side in (("customer_id", customer_features), ("article_id", article_features)):
+    for key, features in (("customer_id", customer_features), ("article_id", article_features)):
         prefix = key.removesuffix("id")
+        side = first_per_key(features.where(F.col(key).isNotNull()), key)
         renamed = side.select(
             key, *[F.col(c).alias(c if c.startswith(prefix) else prefix + c) for c in side.columns if c != key],
             F.lit(True).alias("_found"),

@@ -114,6 +114,16 @@ def q7(spark, sf_dir):
     return q.numeric_distributions(retail.transactions(spark, sf_dir), TX_NUMBERS)
 
 
+@query("q7_wide_integers", """
+SELECT 'order_code' AS "column", count(*) AS count, count(DISTINCT 9007199254740992 + o_orderkey) AS unique_values FROM orders
+UNION ALL SELECT 'amount', count(o_totalprice), count(DISTINCT CAST(o_totalprice AS DECIMAL(20, 2))) FROM orders""", views=False)
+def q7_wide(spark, sf_dir):
+    orders = retail.table(spark, sf_dir, "orders").select(
+        (F.lit(2**53) + F.col("o_orderkey")).alias("order_code"), F.col("o_totalprice").cast("decimal(20, 2)").alias("amount")
+    )
+    return q.numeric_distributions(orders, ("order_code", "amount")).select("column", "count", "unique_values")
+
+
 @query("q11_value_ranges", f"""
 , long AS ({long_sql('tx', TX_NUMBERS)})
 SELECT "column", bool_or(value < 0) AS has_negative, bool_or(value = 0) AS has_zero, bool_or(value > 0) AS has_positive,

@@ -57,6 +57,10 @@ def d1_active(spark, sf_dir):
 # ---------------------------------------------------------------- negatives
 
 
+def _key(seed: int, turn: int, column: str) -> str:
+    return f"CAST('0x' || substr(md5('{seed}|{turn}|' || {column}), 1, 15) AS BIGINT)"
+
+
 def _negatives_sql(name: str, source: str, seed: int, k: int = 4) -> str:
     n = name
     return f"""
@@ -67,18 +71,16 @@ def _negatives_sql(name: str, source: str, seed: int, k: int = 4) -> str:
 , {n}_size AS (SELECT (SELECT count(*) FROM {source}) * {k} AS target, (SELECT count(*) FROM {n}_c) AS c,
   (SELECT count(*) FROM {n}_a) AS a, (SELECT count(*) FROM {n}_known) AS known)
 , {n}_free AS (SELECT *, CAST(c AS HUGEINT) * a - known AS free FROM {n}_size)
-, {n}_plan AS (SELECT *, 4 * target > free AS dense, CAST(CASE WHEN 4 * target > free THEN CAST(c AS HUGEINT) * a
-  ELSE 3 * CAST(target AS HUGEINT) * c * a // (2 * free) + 1000 END AS BIGINT) AS draws FROM {n}_free)
-, {n}_draw AS (SELECT c, a, dense, unnest(range(draws)) AS j FROM {n}_plan)
-, {n}_keys AS (SELECT *, CAST('0x' || substr(md5('{seed}|' || j), 1, 15) AS BIGINT) AS h,
-  CAST('0x' || substr(md5('{seed}|' || j), 16, 15) AS BIGINT) AS g FROM {n}_draw)
-, {n}_pair AS (SELECT ci, ai, min(j) AS j, min(h) AS h FROM (
-  SELECT j, CASE WHEN dense THEN j // a ELSE h % c END AS ci, CASE WHEN dense THEN j % a ELSE g % a END AS ai,
-    CASE WHEN dense THEN h ELSE 0 END AS h FROM {n}_keys) GROUP BY ci, ai)
+, {n}_draw AS (SELECT c, a, unnest(range(CAST(target + known AS BIGINT))) AS j FROM {n}_free)
+, {n}_0 AS (SELECT c, a, j, j // a AS x, j % a AS y FROM {n}_draw)
+, {n}_1 AS (SELECT * REPLACE ((x + {_key(seed, 0, 'y')}) % c AS x) FROM {n}_0)
+, {n}_2 AS (SELECT * REPLACE ((y + {_key(seed, 1, 'x')}) % a AS y) FROM {n}_1)
+, {n}_3 AS (SELECT * REPLACE ((x + {_key(seed, 2, 'y')}) % c AS x) FROM {n}_2)
+, {n}_4 AS (SELECT * REPLACE ((y + {_key(seed, 3, 'x')}) % a AS y) FROM {n}_3)
 , {name} AS (
-SELECT customer_id, article_id, 0 AS label FROM {n}_pair JOIN {n}_c ON ci = {n}_c.i JOIN {n}_a ON ai = {n}_a.i
+SELECT customer_id, article_id, 0 AS label FROM {n}_4 JOIN {n}_c ON x = {n}_c.i JOIN {n}_a ON y = {n}_a.i
 WHERE (customer_id, article_id) NOT IN (SELECT (customer_id, article_id) FROM {n}_known)
-QUALIFY row_number() OVER (ORDER BY h, j) <= (SELECT target FROM {n}_size))
+QUALIFY row_number() OVER (ORDER BY j) <= (SELECT target FROM {n}_size))
 """
 
 
@@ -307,12 +309,13 @@ def u2(spark, sf_dir):
 
 
 @query("u3_difference", """
-SELECT article_id FROM articles EXCEPT SELECT article_id FROM tx WHERE t_dat >= DATE '2001-07-01'""")
+SELECT customer_id, article_id FROM tx WHERE sales_channel_id = 1
+EXCEPT SELECT customer_id, article_id FROM tx WHERE sales_channel_id <> 1""")
 def u3(spark, sf_dir):
-    recent = retail.transactions(spark, sf_dir).where(F.col("t_dat") >= F.lit("2001-07-01").cast("date"))
-    return retail.articles(spark, sf_dir).select("article_id").join(
-        recent.select("article_id").distinct(), "article_id", "left_anti"
-    )
+    # pairs bought through the first channel alone
+    pairs = retail.transactions(spark, sf_dir).select("customer_id", "article_id", "sales_channel_id")
+    first = F.col("sales_channel_id") == 1
+    return pairs.where(first).drop("sales_channel_id").subtract(pairs.where(~first).drop("sales_channel_id"))
 
 
 @query("u4_distinct_pairs", "SELECT DISTINCT customer_id, article_id FROM tx")
@@ -382,15 +385,16 @@ def v4(spark, sf_dir):
 
 
 @query("v5_declared_fills", f"""{CUSTOMER_SQL}
-, recent AS (SELECT customer_id, avg(price) AS p, count(*) AS n, DATE '2001-08-01' - max(t_dat) AS d FROM tx
-  WHERE t_dat >= DATE '2001-07-01' GROUP BY customer_id)
+, history AS (SELECT customer_id, avg(price) AS p, count(*) AS n, DATE '2001-08-01' - max(t_dat) AS d FROM tx
+  WHERE quantity >= 50 GROUP BY customer_id)
 SELECT customer_id, coalesce(d, 365) AS days_since_last_purchase, coalesce(p, 0.05) AS avg_purchase_price,
-  coalesce(n, 0) AS total_transactions FROM customer_basic LEFT JOIN recent USING (customer_id)""",
+  coalesce(n, 0) AS total_transactions FROM customer_basic LEFT JOIN history USING (customer_id)""",
        doubles=("avg_purchase_price",))
 def v5(spark, sf_dir):
-    recent = retail.transactions(spark, sf_dir).where(F.col("t_dat") >= F.lit("2001-07-01").cast("date"))
+    # bulk purchases of all time: many customers have none, whose gaps are filled
+    bulk = retail.transactions(spark, sf_dir).where("quantity >= 50")
     table = features.customer_table(
-        retail.customers(spark, sf_dir), recent, retail.articles(spark, sf_dir), reference_date="2001-08-01"
+        retail.customers(spark, sf_dir), bulk, retail.articles(spark, sf_dir), reference_date="2001-08-01"
     )
     return features.fill_declared(table).select(
         "customer_id", "days_since_last_purchase", "avg_purchase_price", "total_transactions"

@@ -139,3 +139,11 @@ def test_a_hot_query_does_not_change_the_others(spark):
     want = direct(lists, ks)
     for name in ("map", "mrr", "ndcg@10", "precision@100", "recall@10"):
         assert got[name] == pytest.approx(want[name]), name
+
+
+def test_catalogue_counts_items_that_no_list_holds(spark):
+    scored = spark.createDataFrame(
+        [("q", "a", 0.9, 1), ("q", "b", 0.1, 0)], "query_id string, item_id string, score double, label int")
+    catalogue = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "item_id string")
+    report = m.all_metrics(scored, catalogue=catalogue, retrieval=False, ranking=False)
+    assert {r["metric"]: r["value"] for r in report.collect()}["coverage"] == 0.5

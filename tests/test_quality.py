@@ -125,3 +125,8 @@ def test_text_profile(spark):
     df = spark.createDataFrame([("é—",), ("é—",), (None,), ("abcd",)], "t string")
     got = x.text_profile(df).first()
     assert (got["mean_length"], got["max_length"], got["unique_values"], got["missing"]) == (2.0, 4, 2, 1)
+
+
+def test_large_integers_stay_distinct(spark):
+    wide = spark.createDataFrame([(2**53 + i,) for i in range(4)] + [(None,)], "code long")
+    assert q.numeric_distributions(wide).first()["unique_values"] == 4

@@ -178,3 +178,17 @@ def test_codes_and_vectors(spark):
     assert vec.stacked(coded, [], [], keep=["id"]).first()["categorical"] == []
     hashed = rows(vec.with_hashed_codes(df, ["t", "n"]), "id")
     assert hashed[2][1] is None and all(0 <= r[1] < 10_000 for r in hashed[:2]) and hashed[0][2] == 2
+
+
+@pytest.mark.parametrize("size", [(1, 1), (1, 9), (7, 3), (40, 25)])
+def test_scrambled_cells_visit_each_cell_once(spark, size):
+    cells = tr.scrambled_cells(spark.range(size[0] * size[1]).withColumnRenamed("id", "_j"), *size, seed=5)
+    got = sorted((r["_c"], r["_a"]) for r in cells.collect())
+    assert got == [(c, a) for c in range(size[0]) for a in range(size[1])]
+
+
+def test_repeated_feature_rows_do_not_multiply_samples(spark):
+    samples = spark.createDataFrame([("c", "a")], "customer_id string, article_id string")
+    customers = spark.createDataFrame([("c", 9), ("c", 4), (None, 1)], "customer_id string, age int")
+    articles = spark.createDataFrame([("a", 1)], "article_id string, size int")
+    assert [tuple(r) for r in tr.attach_features(samples, customers, articles).collect()] == [("a", "c", 4, 1)]
