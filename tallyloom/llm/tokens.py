@@ -1,20 +1,23 @@
-"""Token ids of whole texts by encoders that see every distinct chunk once per task.
+"""Token ids of whole texts by encoders that see every distinct chunk once per worker process.
 
 A chunk begins at a space that stands between two characters that are no white space. No token of the
 byte-level or the word-end tokenizers reaches over such a point, so the ids of a text are the ids of its
-chunks. A task remembers the ids of the chunks it has met, up to a bound of memory.
+chunks. A worker process remembers the ids of the chunks it has met, over all its tasks, up to a bound of memory.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
 from collections.abc import Callable, Iterator, Sequence
+from types import ModuleType
 
 import numpy as np
 
 #: A space next to other white space: there a token may reach over the space.
 _RUN = re.compile(r" \s|\s ")
+_KEPT = "tallyloom_worker_encoders"
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -88,7 +91,19 @@ class ChunkEncoder:
 
 
 def library_encoder(path: str) -> ChunkEncoder:
-    """Encoder by the tokenizers library with the vocabulary file at ``path``; special tokens are ordinary text."""
+    """The process's encoder by the tokenizers library with the vocabulary file at ``path``.
+
+    Task code comes by value, so names of this module are new in each task; a module of the process keeps
+    the encoder, and a worker that Spark uses again has the vocabulary and the chunks of its earlier tasks.
+    """
+    kept = vars(sys.modules.setdefault(_KEPT, ModuleType(_KEPT)))
+    if path not in kept:
+        kept[path] = _new_encoder(path)
+    return kept[path]
+
+
+def _new_encoder(path: str) -> ChunkEncoder:
+    """Special tokens are ordinary text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
     from tokenizers import Tokenizer
 
