@@ -3,6 +3,10 @@
 A chunk begins at a space that stands between two characters that are no white space. No token of the
 byte-level or the word-end tokenizers reaches over such a point, so the ids of a text are the ids of its
 chunks. A worker process remembers the ids of the chunks it has met, over all its tasks, up to a bound of memory.
+
+A chunk it has not met is mostly a known word with other punctuation. Such a chunk, if it is plain (``_PLAIN``:
+Latin-1 letters, ASCII digits and punctuation, single line feeds inside, no apostrophe), falls into pieces of one
+class each; both tokenizers begin a new token where the class changes. The library sees new pieces only.
 """
 
 from __future__ import annotations
@@ -19,11 +23,15 @@ import numpy as np
 _RUN = re.compile(r" \s|\s ")
 _KEPT = "tallyloom_worker_encoders"
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(rf" ?[{_LETTERS}0-9{_MARKS}]+(?:\n[{_LETTERS}0-9{_MARKS}]+)*")
+_PIECE = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
 
 
 def chunks(text: str) -> list[str]:
     """Chunks of a text; all but the first have lost the space that they begin with."""
     return _SAFE_SPACE.split(text) if _RUN.search(text) else text.split(" ")
+_ONE = re.compile(rf" ?(?:[{_LETTERS}]+|[0-9]+|[{_MARKS}]+)")
 
 
 class _Known(dict):
@@ -34,10 +42,61 @@ class _Known(dict):
         return number
 
 
+Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+
+
+def _joined(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places of the spans (start, length), one after the other."""
+    total = np.cumsum(lengths)
+    return np.repeat(starts - (total - lengths), lengths) + np.arange(total[-1] if len(total) else 0)
+
+
+class PieceEncoder:
+    """Ids of chunks, put together from the ids of their pieces; ``encode_new`` is asked for new pieces.
+
+    ``fold`` holds for vocabularies of lower-case words without white space: pieces that differ in that only
+    are one.
+    """
+
+    def __init__(self, encode_new: Encode, fold: bool, max_pieces: int = 700_000):
+        self.encode_new, self.fold, self.max_pieces = encode_new, fold, max_pieces
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = _Known()
+        self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __call__(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > self.max_pieces:
+            self._forget()
+        numbers: list[int] = []
+        sizes: list[int] = []
+        for chunk in new:
+            if _PLAIN.fullmatch(chunk):
+                pieces = _PIECE.findall(chunk.strip().lower() if self.fold else chunk)
+            else:
+                pieces = [chunk]
+            sizes.append(len(pieces))
+            numbers.extend(map(self.known.__getitem__, pieces))
+        fresh = len(self.known) - len(self.starts)
+        if fresh:
+            ids, counts = self.encode_new(list(self.known)[-fresh:])
+            ends = len(self.ids) + np.cumsum(counts)
+            self.ids = np.concatenate([self.ids, ids])
+            self.starts = np.concatenate([self.starts, ends - counts])
+            self.lengths = np.concatenate([self.lengths, counts])
+        index = np.array(numbers, np.int64)
+        lengths = self.lengths[index]
+        flat = self.ids[_joined(self.starts[index], lengths)]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        ends = np.cumsum(np.array(sizes, np.int64))
+        return flat, before[ends] - before[ends - sizes]
+
+
 class ChunkEncoder:
     """``encode_new`` gives, for a list of chunks, all their ids in one array and the number of ids of each."""
 
-    def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], max_chunks: int = 700_000):
+    def __init__(self, encode_new: Encode, max_chunks: int = 700_000):
         self.encode_new, self.max_chunks = encode_new, max_chunks
         self._forget()
 
@@ -84,8 +143,7 @@ class ChunkEncoder:
         for mask, kind, picked in ((is_head, 0, heads), (~is_head, 1, numbers)):
             index = np.array(picked, np.int64)
             starts[mask], lengths[mask] = self.starts[kind][index], self.lengths[kind][index]
-        total = np.cumsum(lengths)
-        flat = self.ids[np.repeat(starts - (total - lengths), lengths) + np.arange(total[-1] if len(total) else 0)]
+        flat = self.ids[_joined(starts, lengths)]
         counts = np.add.reduceat(lengths, at) if len(at) else np.zeros(0, np.int64)
         return flat, counts
 
@@ -103,7 +161,7 @@ def library_encoder(path: str) -> ChunkEncoder:
 
 
 def _new_encoder(path: str) -> ChunkEncoder:
-    """Special tokens are ordinary text."""
+    """Special tokens are ordinary text. Whether case and white space count is asked of the vocabulary itself."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
     from tokenizers import Tokenizer
 
@@ -111,14 +169,44 @@ def _new_encoder(path: str) -> ChunkEncoder:
     tokenizer.encode_special_tokens = True
 
     def encode_new(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts, counts = [], []
-        for at in range(0, len(new), 4096):
-            found = [e.ids for e in tokenizer.encode_batch_fast(new[at:at + 4096], add_special_tokens=False)]
-            counts.extend(map(len, found))
-            parts.append(np.fromiter((i for ids in found for i in ids), np.uint32))
-        return np.concatenate(parts), np.array(counts, np.int64)
-
-    return ChunkEncoder(encode_new)
+        counts = np.zeros(len(new), np.int64)
+        plain = np.array([bool(_ONE.fullmatch(piece)) for piece in new], bool) & (divider is not None)
+        spans = np.zeros(len(new), np.int64)
+        parts, used = [], 0
+        for mask, together in ((plain, 1024), (~plain, 1)):
+            places = np.flatnonzero(mask)
+            for at in range(0, len(places), 4096):
+                some = [new[i] for i in places[at:at + 4096]]
+                lines = some if together == 1 else [
+                    divider[0].join(["", *some[k:k + together], ""]) for k in range(0, len(some), together)]
+                found = tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+                if together == 1:
+                    of_each = [e.ids for e in found]
+                    sizes = np.array(list(map(len, of_each)), np.int64)
+                    ids = np.fromiter((i for each in of_each for i in each), np.uint32)
+                else:
+                    ids, sizes = [], []
+                    for e in found:
+                        line = np.array(e.ids, np.uint32)
+                        cuts = np.flatnonzero(line == divider[1])
+                        sizes.append(np.diff(cuts) - 1)
+                        ids.append(line[line != divider[1]])
+                    ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+                counts[places[at:at + 4096]] = sizes
+                spans[places[at:at + 4096]] = used + np.cumsum(sizes) - sizes
+                parts.append(ids)
+                used += len(ids)
+        return np.concatenate(parts)[_joined(spans, counts)], counts
+
+    divider = None
+    for text in ("\n", " — "):  # no plain piece holds either; taken if it is one id that stands for itself
+        ids = [encode_new([x])[0].tolist() for x in (text, "a", f"a{text}a")]
+        if len(ids[0]) == 1 and ids[2] == ids[1] + ids[0] + ids[1]:
+            divider = text, ids[0][0]
+            break
+    probe = " A B,C\nD"
+    alike = encode_new([probe])[0].tolist() == encode_new(["a b,c d"])[0].tolist()
+    return ChunkEncoder(PieceEncoder(encode_new, alike))
 
 
 def blocks(texts: Sequence[str], max_chars: int = 1 << 22) -> Iterator[slice]:

@@ -75,7 +75,8 @@ def build(partition: int, sequence: int, doc_ids: list[int | None], lengths: lis
         sums = np.bitwise_count(words).reshape(-1, SUPERBLOCK // 8).sum(axis=1, dtype=np.uint32)
         directory = np.concatenate([[0], np.cumsum(sums)]).astype("<u4")
         out += [_section(words.tobytes()), _section(directory.tobytes())]
-        order = np.concatenate([order[~bits], order[bits]])
+        # places first: masks of random bits are several times slower than taking places
+        order = np.concatenate([order.take(np.flatnonzero(~bits)), order.take(np.flatnonzero(bits))])
     return b"".join(out)
 
 
@@ -183,10 +184,10 @@ class WaveletMatrix:
         order = np.zeros(self.n, np.uint16 if self.levels <= 16 else np.uint32)
         for level in range(self.levels):
             words, _, zeros = self._plane(level)
-            bits = np.unpackbits(words, count=self.n, bitorder="little").astype(bool)
+            bits = np.unpackbits(words, count=self.n, bitorder="little").view(bool)
             above = np.empty_like(order)
-            above[~bits] = order[:zeros]
-            above[bits] = order[zeros:] | order.dtype.type(1 << level)
+            above[np.flatnonzero(~bits)] = order[:zeros]
+            above[np.flatnonzero(bits)] = order[zeros:] | order.dtype.type(1 << level)
             order = above
             del self._planes[level]
         return order.astype(np.uint32)
