@@ -12,26 +12,32 @@ from tallyloom.sources import schemas
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, sample_size: int | None,
           multi_line: bool) -> DataFrame:
     if fmt == "parquet":
-        df = spark.read.parquet(path)
-    elif fmt == "csv":
-        # The header decides which field is which column, so files may hold their columns in any
-        # order or lack some; every field is read as text first and then cast to its declared type.
-        raw = (
-            spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-            .csv(path)
-        )
-        if sample_size is not None:
-            raw = raw.limit(sample_size)
-        df = raw.select(
-            *[
-                _typed(name, schema[name].dataType if name in schema.names else T.StringType())
-                for name in raw.columns
-            ]
-        )
-        return df
-    else:
+        return _head(spark.read.parquet(path), sample_size)
+    if fmt != "csv":
         raise ValueError(f"unsupported format: {fmt}")
-    return df if sample_size is None else df.limit(sample_size)
+    # The header decides which field is which column, so inputs may hold their columns in any order or
+    # lack some; every field is read as text first and then cast to its declared type. All files of an
+    # input must have the same header: one that differs fails the read, or its fields would be mixed up.
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    columns = reader.csv(path).columns
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    raw = _head(reader.option("enforceSchema", False).schema(texts).csv(path), sample_size)
+    return raw.select(
+        *[_typed(name, schema[name].dataType if name in schema.names else T.StringType()) for name in columns]
+    )
+
+
+def _head(df: DataFrame, rows: int | None) -> DataFrame:
+    """The first ``rows`` rows, files in the order of their paths.
+
+    Row ids grow inside each split of a file, so path, split and id give the order of the rows; every
+    task keeps ``rows`` of its own at most.
+    """
+    if rows is None:
+        return df
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    columns = [F.col(f"`{name}`") for name in df.columns]
+    return df.select(*columns, place.alias("_place")).orderBy("_place").limit(rows).drop("_place")
 
 
 def _typed(name: str, kind: T.DataType):
@@ -42,13 +48,13 @@ def _typed(name: str, kind: T.DataType):
 
 def load_customers(spark: SparkSession, path: str, *, fmt: str = "csv",
                    sample_size: int | None = None, multi_line: bool = False) -> DataFrame:
-    """Customers with declared types; ``sample_size`` keeps the first rows of the file."""
+    """Customers with declared types; ``sample_size`` keeps the first rows, files in the order of their paths."""
     return _read(spark, path, schemas.CUSTOMERS, fmt, sample_size, multi_line)
 
 
 def load_articles(spark: SparkSession, path: str, *, fmt: str = "csv",
                   sample_size: int | None = None, multi_line: bool = False) -> DataFrame:
-    """Articles with declared types; ``sample_size`` keeps the first rows of the file."""
+    """Articles with declared types; ``sample_size`` keeps the first rows, files in the order of their paths."""
     return _read(spark, path, schemas.ARTICLES, fmt, sample_size, multi_line)
 
 
@@ -57,7 +63,7 @@ def load_transactions(spark: SparkSession, path: str, *, fmt: str = "csv",
                       date_range: tuple[str, str] | None = None) -> DataFrame:
     """Transactions with ``t_dat`` as a date.
 
-    ``sample_size`` (first rows of the file) applies before ``date_range``, which keeps both ends.
+    ``sample_size`` (first rows, files in the order of their paths) applies before ``date_range``, which keeps both ends.
     """
     df = _read(spark, path, schemas.TRANSACTIONS, fmt, sample_size, False)
     return between_dates(df.withColumn("t_dat", F.col("t_dat").cast("date")), date_range)

@@ -87,3 +87,29 @@ def test_stored_tables_go_to_the_shared_folder(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and (root is None or first.startswith(root))
     assert rows(stored(spark.range(3), "ids"), "id") == [(0,), (1,), (2,)]
+
+
+def _parts(folder, *texts):
+    folder.mkdir()
+    for i, text in enumerate(texts):
+        (folder / f"part-{i}.csv").write_text(text)
+    return str(folder)
+
+
+def test_sample_is_the_head_of_the_first_files(spark, tmp_path):
+    rows = "".join(f"{i},2\n" for i in range(10, 2000))
+    path = _parts(tmp_path / "parts", "article_id,product_code\n9,1\n", "article_id,product_code\n" + rows)
+    ids = lambda n: [r.article_id for r in readers.load_articles(spark, path, sample_size=n).collect()]
+    assert ids(1) == [9]
+    assert ids(3) == [9, 10, 11]
+    stored = str(tmp_path / "stored.parquet")
+    spark.range(100).repartition(3).sortWithinPartitions("id").write.parquet(stored)
+    first = sorted(f for f in os.listdir(stored) if f.startswith("part-"))[0]
+    want = [r.id for r in spark.read.parquet(f"{stored}/{first}").limit(4).collect()]
+    assert [r.id for r in readers.load_articles(spark, stored, fmt="parquet", sample_size=4).collect()] == want
+
+
+def test_files_with_another_column_order_are_rejected(spark, tmp_path):
+    path = _parts(tmp_path / "parts", "article_id,product_code\n9,1\n", "product_code,article_id\n1,8\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.load_articles(spark, path).collect()
