@@ -74,14 +74,20 @@ def temporal_split(
     """(train, validation): the first ``floor(rows * (1 - validation))`` rows by date, and the rest.
 
     Rows without a date come last, rows of one date are ordered by the md5 of ``tie_cols`` (default: all columns). The cut is
-    located first, by counting (day, then key prefixes, then key), and both halves are plain filters
-    on the table. If the cut falls among equal rows, their copies are divided by number.
+    located first, by counting (day, of timestamps also hour, minute and second, then key prefixes, then key),
+    and both halves are plain filters on the table. If the cut falls among equal rows, their copies are divided
+    by number.
     """
     ties = list(tie_cols or transactions.columns)
     key = text_key(*[F.col(c) for c in ties])
     moment = F.coalesce(date_col, F.lit(LAST_DATE).cast(transactions.schema[date_col].dataType))
     levels = [moment, F.substring(key, 1, 4), F.substring(key, 1, 8), key]
-    if transactions.schema[date_col].dataType.typeName() != "date":
+    kind = transactions.schema[date_col].dataType.typeName()
+    if kind == "timestamp":
+        levels = [F.to_date(moment), *(F.date_trunc(unit, moment) for unit in ("hour", "minute", "second")), *levels]
+    elif kind == "timestamp_ntz":  # without a zone: date_trunc would shift hours that a zone skips
+        levels = [F.to_date(moment), F.hour(moment), F.minute(moment), F.second(moment), *levels]
+    elif kind != "date":
         levels = [F.to_date(moment), *levels]
     cut = cut_point(transactions, levels, lambda rows: F.floor(rows * F.lit(1.0 - validation)))
     if cut is None:  # nothing to validate on

@@ -70,9 +70,12 @@ def test_copies_are_made_in_chunks(spark, monkeypatch):
     assert Counter(r[0] for r in tr._copies(one, "n").collect()) == {"x": 11, "z": 4}
 
 
-def test_split_by_timestamps(spark):
-    data = [(datetime.datetime(2023, 1, 1, h), h) for h in range(10)]
-    tx = spark.createDataFrame(data, "t_dat timestamp_ntz, article_id int")
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("unit", ["hours", "minutes", "seconds", "microseconds"])
+def test_split_by_timestamps(spark, kind, unit):
+    start = datetime.datetime(2023, 1, 1, 1, 1, 1)
+    data = [(start + datetime.timedelta(**{unit: n}), n) for n in range(10)]
+    tx = spark.createDataFrame(data, f"t_dat {kind}, article_id int")
     train, rest = tr.temporal_split(tx, validation=0.3)
     assert rows(train.select("article_id"), "article_id") == [(i,) for i in range(7)] and rest.count() == 3
 
