@@ -1,11 +1,15 @@
 """Removal of repeated passages by overlapping windows of three lines.
 
 Lines that hold a word are numbered; every three consecutive ones form a window (a text of one or two such
-lines forms one window). Windows are hashed (128 bits) where the text is, counted over all documents, and of
-equal windows the first by (doc_id, text hash, position) stays. The lines of all others are covered; the
+lines forms one window). With ``long_words``, one and two lines form a window as well if they hold more words
+than that, in texts of any length. Windows are hashed (128 bits) where the text is, counted over all documents,
+and of equal windows the first by (doc_id, text hash, position) stays. The lines of all others are covered; the
 covered positions of a document are merged and removed. Every line that is removed survives somewhere
 earlier. Only hashes and positions are shuffled until the last join. DataFrame functions only.
 
+``deduplicated`` keeps to the three-line windows of its SQL unless told otherwise; ``deduplicated_documents``,
+the stage of the pipeline, takes the long windows too.
+
 Defined results: null text stays null, without lines; documents without id come after the others; lines
 without a word form no window and stay, unless nothing else is left: then the text is empty. Rows equal in id
 and text are one document to the windows and get the same result. Other columns don't matter.
@@ -16,50 +20,66 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import let, lines_with_words, stored, text_or_empty
+from tallyloom.llm.common import let, lines_with_words, stored, text_or_empty, words_of
 
 LINES = 3
+LONG_WORDS = 50
+
 
+def _window_hashes(text: Column, width: int, long_words: int | None) -> Column:
+    """Array of struct(start, lines, window): the first line, the number of lines and the hash."""
 
-def _window_hashes(text: Column, width: int) -> Column:
     def of(lines: Column) -> Column:
-        windows = F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size(lines) - width, F.lit(0))),
-            lambda i: F.unhex(F.md5(F.concat_ws("\n", F.slice(lines, i + 1, width)))),
-        )
-        return F.when(F.size(lines) > 0, windows)
+        def hashed(starts: Column, count: int) -> Column:
+            return F.transform(starts, lambda i: F.struct(
+                i.alias("start"), F.least(F.size(lines), F.lit(count)).alias("lines"),
+                F.unhex(F.md5(F.concat_ws("\n", F.slice(lines, i + 1, count)))).alias("window")))
+
+        def starts(count: int) -> Column:
+            return F.sequence(F.lit(0), F.greatest(F.size(lines) - count, F.lit(0)))
+
+        def long_ones(counts: Column, count: int) -> Column:
+            # a text of ``count`` lines is a window already
+            words = lambda i: F.aggregate(F.slice(counts, i + 1, count), F.lit(0), lambda a, b: a + b)
+            return hashed(F.filter(starts(count), lambda i: (F.size(lines) > count) & (words(i) > long_words)), count)
+
+        found = hashed(starts(width), width)
+        if long_words is not None:
+            found = F.concat(found, let(
+                F.transform(lines, lambda line: F.size(words_of(line))),
+                lambda counts: F.concat(*(long_ones(counts, count) for count in range(1, width)))))
+        return F.when(F.size(lines) > 0, found)
 
     return let(lines_with_words(text), of)
 
 
-def windows(docs: DataFrame, width: int = LINES) -> DataFrame:
-    """(doc_id, text_hash, start, window) of every window of every text."""
+def windows(docs: DataFrame, width: int = LINES, long_words: int | None = None) -> DataFrame:
+    """(doc_id, text_hash, start, lines, window) of every window of every text."""
     text = text_or_empty()
-    return docs.select(
-        "doc_id", F.xxhash64(text).alias("text_hash"), F.posexplode(_window_hashes(text, width)).alias("start", "window")
-    )
+    found = docs.select("doc_id", F.xxhash64(text).alias("text_hash"), F.explode(_window_hashes(text, width, long_words)).alias("w"))
+    return found.select("doc_id", "text_hash", "w.*")
 
 
 def covered_positions(found: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, starts): the windows of each document that occur earlier."""
+    """(doc_id, text_hash, spans): start and lines of the windows of each document that occur earlier."""
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "start")
     repeated = (
         found.groupBy("window").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
         .where("_n > 1").select("window", "_first")
     )
     later = found.join(repeated, "window").where(place != F.col("_first"))
-    return later.groupBy("doc_id", "text_hash").agg(F.collect_set("start").alias("starts"))
+    return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "lines")).alias("spans"))
 
 
-def _without(text: Column, starts: Column, width: int) -> Column:
-    """(text, n_lines, n_removed) without the lines that the windows at ``starts`` cover."""
+def _without(text: Column, spans: Column) -> Column:
+    """(text, n_lines, n_removed) without the lines that the windows at ``spans`` cover."""
 
     def cut(lines: Column) -> Column:
         full = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).rlike(r"[^\x20\x09-\x0D]"))
 
         def with_full(full: Column) -> Column:
             covered = F.array_distinct(F.flatten(F.transform(
-                starts, lambda s: F.sequence(s, F.least(s + (width - 1), F.size(full) - 1))
+                spans, lambda s: F.sequence(s["start"], s["start"] + s["lines"] - 1)
             )))
 
             def with_covered(covered: Column) -> Column:
@@ -77,14 +97,14 @@ def _without(text: Column, starts: Column, width: int) -> Column:
     return let(F.split(text, "\n"), cut)
 
 
-def cleaned(docs: DataFrame, width: int = LINES) -> DataFrame:
+def cleaned(docs: DataFrame, width: int = LINES, long_words: int | None = None) -> DataFrame:
     """``docs`` with all columns as struct ``row``, and ``cleaned`` = struct(text, n_lines, n_removed)."""
-    starts = covered_positions(stored(windows(docs, width), "line-windows"))
+    spans = covered_positions(stored(windows(docs, width, long_words), "line-windows"))
     rows = docs.select(F.struct("*").alias("row")).select(
         "row", F.col("row.doc_id").alias("doc_id"), F.xxhash64(text_or_empty("row.text")).alias("text_hash")
     )
     joined = rows.join(
-        starts.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "starts"),
+        spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans"),
         F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left",
     )
     whole = F.col("row.text")
@@ -92,22 +112,22 @@ def cleaned(docs: DataFrame, width: int = LINES) -> DataFrame:
         whole.alias("text"), F.size(lines_with_words(text_or_empty(whole))).cast("long").alias("n_lines"),
         F.lit(0).cast("long").alias("n_removed"),
     )
-    return joined.select("row", F.when(F.col("starts").isNull(), untouched).otherwise(
-        _without(whole, F.col("starts"), width)).alias("cleaned"))
+    return joined.select("row", F.when(F.col("spans").isNull(), untouched).otherwise(
+        _without(whole, F.col("spans"))).alias("cleaned"))
 
 
-def deduplicated(docs: DataFrame, width: int = LINES) -> DataFrame:
+def deduplicated(docs: DataFrame, width: int = LINES, long_words: int | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, n_lines, n_removed and the text that is left."""
-    out = cleaned(docs, width)
+    out = cleaned(docs, width, long_words)
     return out.select("row.doc_id", "cleaned.n_lines", "cleaned.n_removed", "cleaned.text")
 
 
-def deduplicated_documents(docs: DataFrame, width: int = LINES) -> DataFrame:
+def deduplicated_documents(docs: DataFrame, width: int = LINES, long_words: int | None = LONG_WORDS) -> DataFrame:
     """``docs`` with the text that is left; documents of which nothing is left go (all of it stands elsewhere).
 
     A column ``n_chars``, if there is one, follows the new text.
     """
-    out = cleaned(docs, width).where((F.col("cleaned.n_removed") == 0) | (F.col("cleaned.text") != ""))
+    out = cleaned(docs, width, long_words).where((F.col("cleaned.n_removed") == 0) | (F.col("cleaned.text") != ""))
     changed = {"text": F.col("cleaned.text")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col("cleaned.n_removed") == 0, F.col("row.n_chars")).otherwise(

@@ -65,6 +65,17 @@ def test_lines_that_go_stand_earlier(spark):
     assert sorted(r.doc_id for r in line_dedup.deduplicated_documents(docs).collect()) == [1, 2, 3, 5]
 
 
+def test_long_passages_on_one_or_two_lines_go(spark):
+    long, half, other, short = (" ".join(words(seed, n)) for seed, n in ((11, 51), (12, 30), (13, 30), (14, 50)))
+    rows = [
+        (1, f"a\n{long}\nb"), (2, f"c\n{long}\nd"), (3, long), (4, f"e\n{half}\n{other}\nf"), (5, f"g\n\n{half}\n \n{other}\nh"),
+        (6, f"{half}\n{other}"), (7, f"i\n{half}\nj"), (8, f"k\n{short}\nl"), (9, f"m\n{short}\nn"), (10, f"o\n{long}\n{long}\np")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.deduplicated_documents(docs).collect()}
+    want = dict(rows) | {2: "c\nd", 5: "g\n\n \nh", 10: "o\np"}
+    assert got == {k: t for k, t in want.items() if k not in (3, 6)}
+
+
 def test_binomial_tail(spark):
     from math import comb
 
