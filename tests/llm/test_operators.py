@@ -204,6 +204,27 @@ def test_sharding_keeps_groups_and_splits_the_largest(spark):
     assert (pairs.groupby("group").shard.nunique() > 1).sum() <= 5
 
 
+def _cut_groups(spark, sizes, shards):
+    rows = [(1000 * g + i, f"group {g}") for g, n in enumerate(sizes) for i in range(n)]
+    out = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string"), sharding.Settings(shards=shards)).toPandas()
+    assert sorted(out.doc_id) == sorted(i for i, _ in rows)
+    counts = out.groupby("shard").size().reindex(range(shards), fill_value=0)
+    assert counts.max() - counts.min() <= 1
+    for _, own in out.groupby("shard"):
+        assert sorted(own.slot) == list(range(len(own)))
+    spread = out.groupby(out.doc_id // 1000).shard.nunique()
+    return int((spread > 1).sum()), int(spread.max())
+
+
+def test_sharding_of_texts_that_all_have_a_copy(spark):
+    assert _cut_groups(spark, [2] * 1000, 10) == (0, 1)
+    assert _cut_groups(spark, [5] * 400, 10)[0] == 0
+    assert _cut_groups(spark, [2, 3] * 200, 7)[0] <= 6
+    assert _cut_groups(spark, [3] * 200 + [1] * 40, 8)[0] == 0
+    cut, most = _cut_groups(spark, [450, 130, 130, 90, *[2] * 600], 10)  # shards of 200: the largest needs three
+    assert cut <= 10 and most == 3
+
+
 def test_isotonic_blocks_rise():
     blocks = quality_classifier.pooled(np.ones(6), np.array([0.1, 0.4, 0.2, 0.2, 0.9, 0.8]))
     assert [round(m, 6) for _, m, _, _ in blocks] == [0.1, 0.266667, 0.85]
