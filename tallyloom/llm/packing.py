@@ -3,12 +3,13 @@
 Documents are cut into full sequences; what is left of each (its remainder) is an item. The items' length
 histogram, in classes of ``CLASS`` tokens, is the demand of a cutting-stock problem: a linear program over
 patterns (how many items of each class share a sequence). A knapsack dynamic programme prices new patterns
-with the duals until none improves the bound by more than ``TOLERANCE``. Rounded down, nearly full patterns
-are given to documents by their rank inside their class. Items that no pattern takes (rounding, poor fits) are
+with the duals until none improves the bound by more than ``TOLERANCE``. Rounded down, patterns are given to
+documents by their rank inside their class, the longest first, as often as their real lengths fill every such
+sequence nearly. Items that no pattern takes (rounding, poor fits) are
 laid end to end and cut at the sequence length, so they need no padding at all; the last, incomplete sequence
 is cut at powers of two.
 
-The driver sees the histogram only (one number per class), and its work does not grow with the input.
+The driver sees the histogram only (one number per length), and its work does not grow with the input.
 Documents are tokenized once; only those that are cut somewhere else than at full sequences a second time.
 
 Defined results: null text is empty and consists of the end id; rows equal in id and text are packed
@@ -18,7 +19,7 @@ separately; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +35,7 @@ TOLERANCE = 0.002
 MAX_COLUMNS = 1000
 ROUNDINGS = 2
 SMOOTHING = 0.7
-WORST_FILL = 0.99  # a pattern that fills less is left to the end-to-end part
+WORST_FILL = 0.99  # a pattern that fills less, in classes or in tokens, is left to the end-to-end part
 
 
 @dataclass(frozen=True)
@@ -114,8 +115,26 @@ def column_generation(demand: np.ndarray, capacity: int) -> list[tuple[float, np
     return solution
 
 
-def planned(demand: np.ndarray, capacity: int) -> Plan:
-    """Rounded patterns; ``demand[k]`` items have class k + 1, whose size is k + 1 units of ``capacity``."""
+def least_fill(lengths: np.ndarray, taken: np.ndarray, items: np.ndarray, uses: int) -> int:
+    """Tokens of the poorest of ``uses`` sequences of a pattern with ``items`` of each class.
+
+    ``lengths[n]`` items have n tokens; inside a class the longest come first, and ``taken`` of them are used.
+    """
+    tokens = 0
+    for k in np.flatnonzero(items):
+        longest = (k + 1) * CLASS
+        upto = np.cumsum(lengths[longest:longest - CLASS:-1])  # items of the longest, second longest ... length
+        last = taken[k] + uses * np.arange(1, items[k] + 1) - 1  # the last sequence has the shortest item of each slot
+        tokens += int((longest - np.searchsorted(upto, last, side="right")).sum())
+    return tokens
+
+
+def planned(demand: np.ndarray, capacity: int, poorest: Callable[[np.ndarray, np.ndarray, int], float] | None = None) -> Plan:
+    """Rounded patterns; ``demand[k]`` items have class k + 1, whose size is k + 1 units of ``capacity``.
+
+    ``poorest(taken, items, uses)`` is the share of a sequence that such a pattern really fills, at least; more uses
+    never fill better.
+    """
     left = demand.copy()
     sizes = np.arange(1, len(demand) + 1)
     chosen = []
@@ -126,6 +145,13 @@ def planned(demand: np.ndarray, capacity: int) -> Plan:
                 continue
             inside = items > 0
             times = min(int(uses + 1e-6), int((left[inside] // items[inside]).min()))
+            few = 0 if poorest is not None else times
+            while few < times:  # the most uses that are full enough
+                middle = (few + times + 1) // 2
+                if poorest(demand - left, items, middle) >= WORST_FILL:
+                    few = middle
+                else:
+                    times = middle - 1
             if times > 0:
                 left -= times * items
                 chosen.append((times, tuple((int(k) + 1, int(items[k])) for k in np.flatnonzero(items)[::-1])))
@@ -206,13 +232,16 @@ def packed(docs: DataFrame, vocabulary: str, end_id: int = 1, length: int = 2048
     spark = docs.sparkSession
     rows = stored(measured(docs, vocabulary, end_id, length), "token-lengths").withColumns({
         "rest": F.col("n") % length, "full": F.floor(F.col("n") / length).cast("long")
-    }).withColumn("class", F.ceil(F.col("rest") / CLASS).cast("int"))
-    ranked = numbered(rows, ["class", "rest", "text_hash", "doc_id"], ["full"], "packing-ranks")
+    }).withColumn("class", F.ceil(F.col("rest") / CLASS).cast("int")).withColumn("short", F.col("class") * CLASS - F.col("rest"))
+    ranked = numbered(rows, ["class", "short", "text_hash", "doc_id"], ["full"], "packing-ranks")
 
     units = length // CLASS
-    counts = {r["class"]: r["n"] for r in ranked.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= units + 1 rows
-    demand = np.array([counts.get(k, 0) for k in range(1, units + 1)], np.int64)
-    plan = planned(demand, units)
+    lengths = np.zeros(units * CLASS + 1, np.int64)
+    for r in ranked.groupBy("rest").agg(F.count(F.lit(1)).alias("n")).collect():  # at most ``length`` rows
+        lengths[r["rest"]] = r["n"]
+    demand = lengths[1:].reshape(units, CLASS).sum(axis=1)
+    counts = {0: int(lengths[0])} | {k + 1: int(n) for k, n in enumerate(demand)}
+    plan = planned(demand, units, lambda taken, items, uses: least_fill(lengths, taken, items, uses) / length)
 
     # the ranks of a class that each pattern takes: (class, from, to, uses, first sequence, slot)
     taken, segments, sequence = dict.fromkeys(range(units + 1), 0), [], 0

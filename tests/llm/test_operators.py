@@ -188,6 +188,18 @@ def test_column_generation_and_plan():
     assert (used <= demand).all() and used.sum() > 0.8 * demand.sum()
 
 
+def test_short_texts_are_packed_without_padding(spark):
+    from test_queries import check_packing
+
+    for most_words, n in ((1, 3000), (12, 1500)):
+        rng, vocabulary = random.Random(n), words(4, 300)
+        texts = {i: " ".join(rng.choices(vocabulary, k=rng.randint(1, most_words))) for i in range(n)}
+        rows = packing.packed(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), WORD).toPandas()
+        check_packing(rows, texts)
+        filled = rows.groupby("sequence_id").length.sum()
+        assert filled[filled >= 0.99 * 2048].sum() > filled.sum() - 2048
+
+
 def test_top_scores_of_odd_vectors(spark):
     rows = [(0, [1.0, -0.5]), (50, [0.5]), (1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]),
             (None, [1.0, 1.0]), (2, [1.0, 2.0]), (6, [-1.0, 0.0])]
