@@ -22,8 +22,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
-
-
-def rows(df, *order):
-    """Collected rows as tuples, ordered."""
-    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tallyloom.operators import articles as art

@@ -6,7 +6,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tallyloom.functions.counts import gini_of_counts, items_within_share

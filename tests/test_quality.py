@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tallyloom.operators import explore as x

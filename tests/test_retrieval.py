@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tallyloom.operators import retrieval as r

@@ -6,7 +6,7 @@ import datetime
 import os
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from tallyloom.session import scratch_path, stored
 from tallyloom.sources import readers

@@ -6,7 +6,7 @@ import datetime
 from collections import Counter
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
