@@ -36,9 +36,10 @@ def lines_with_words(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Rows of one Arrow batch: bounds what a Python worker holds when texts are long."""
+def small_batches(spark: SparkSession, rows: int = 512, size: int = 16 << 20) -> None:
+    """Rows and bytes of one Arrow batch: bounds what a Python worker holds when texts are long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def numbered(df: DataFrame, order: Sequence[str], sums: Sequence[str] = (), label: str = "numbered") -> DataFrame:

@@ -6,11 +6,11 @@ it stands. The ranks that occur are applied in ascending order, each to all its
 pairs next to a merge are looked up again and entered under their rank. So each merge is one step of array
 work for the whole corpus, however many words contain it.
 
-Words are the matches of the split pattern, each encoded on its own; a task remembers the ids of the chunks
-of text it has met (see ``tokens``). No text is shuffled.
+Words are the matches of the split pattern, each encoded on its own; a worker process remembers the ids of the
+pieces of text it has met (see ``tokens``). No text is shuffled.
 
 Defined results: null text is empty: no ids, empty strings are hashed. Texts of any length are encoded whole.
-Rows are independent, so repeated rows, ids and other columns don't matter.
+Rows are independent, so repeated rows, ids and other columns don't matter; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import small_batches, text_or_empty
-from tallyloom.llm.tokens import ChunkEncoder, blocks
+from tallyloom.llm.tokens import PieceEncoder, blocks, joined_spans, of_process
 
 NO_RANK = np.int64(1) << 40
 
@@ -157,35 +157,36 @@ def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
     return ids, counts
 
 
-def replay_encoder(path: str, pattern: str) -> ChunkEncoder:
-    """Encoder of texts by the ranks at ``path``; ``pattern`` splits texts into words."""
-    import regex
-
-    merges = Merges(path)
-    # \s is the Unicode property, as in the library whose ids are to be met
-    find = regex.compile(pattern).findall
-
-    def encode_new(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        numbers: dict[bytes, int] = {}
-        spread, per_chunk = [], []
-        for chunk in new:
-            found = find(chunk)
-            per_chunk.append(len(found))
-            spread.extend(numbers.setdefault(w.encode(), len(numbers)) for w in found)
-        if not numbers:
-            return np.zeros(0, np.int64), np.zeros(len(new), np.int64)
-        ids, counts = replay(list(numbers), merges)
-        at = np.array(spread, np.int64)
-        n = counts[at]
-        total = np.cumsum(n)
-        starts = (np.cumsum(counts) - counts)[at]
-        flat = ids[np.repeat(starts - (total - n), n) + np.arange(total[-1])]
-        bounds = np.concatenate([[0], total])[np.concatenate([[0], np.cumsum(per_chunk)])]
-        return flat, np.diff(bounds)
-
-    encoder = ChunkEncoder(encode_new)
-    encoder.merges = merges
-    return encoder
+class Replay:
+    """Encoder of texts by the ranks at ``path``, with the bytes and the decimal form of each id."""
+
+    def __init__(self, path: str, pattern: str):
+        import regex
+
+        merges = Merges(path)
+        # \s is the Unicode property, as in the library whose ids are to be met
+        find = regex.compile(pattern).findall
+
+        def encode_new(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            numbers: dict[bytes, int] = {}
+            spread, per_piece = [], []
+            for piece in new:
+                found = find(piece)
+                per_piece.append(len(found))
+                spread.extend(numbers.setdefault(w.encode(), len(numbers)) for w in found)
+            if not numbers:
+                return np.zeros(0, np.int64), np.zeros(len(new), np.int64)
+            ids, counts = replay(list(numbers), merges)
+            at = np.array(spread, np.int64)
+            n = counts[at]
+            flat = ids[joined_spans((np.cumsum(counts) - counts)[at], n)]
+            bounds = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(per_piece)])]
+            return flat, np.diff(bounds)
+
+        self.encode = PieceEncoder(encode_new, False).encode
+        top = max(merges.tokens) + 1
+        self.token_bytes = [merges.tokens.get(i, b"") for i in range(top)]
+        self.decimal = [str(i).encode() for i in range(top)]
 
 
 def encoded_and_decoded(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
@@ -193,10 +194,8 @@ def encoded_and_decoded(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = replay_encoder(ranks, pattern)
-        top = max(encoder.merges.tokens) + 1
-        token_bytes = [encoder.merges.tokens.get(i, b"") for i in range(top)]
-        decimal = [str(i).encode() for i in range(top)]
+        encoder = of_process(f"{ranks} {pattern}", lambda: Replay(ranks, pattern))
+        token_bytes, decimal = encoder.token_bytes, encoder.decimal
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for part in blocks(texts):

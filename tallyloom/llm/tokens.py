@@ -1,12 +1,14 @@
-"""Token ids of whole texts by encoders that see every distinct chunk once per worker process.
+"""Token ids of whole texts by encoders that ask the library for every distinct piece once.
 
 A chunk begins at a space that stands between two characters that are no white space. No token of the
 byte-level or the word-end tokenizers reaches over such a point, so the ids of a text are the ids of its
-chunks. A worker process remembers the ids of the chunks it has met, over all its tasks, up to a bound of memory.
+chunks. A plain chunk (Latin-1 letters, ASCII digits and punctuation, single line feeds inside, no apostrophe)
+falls into pieces of one class each; both tokenizers begin a new token where the class changes. Any other chunk
+is one piece.
 
-A chunk it has not met is mostly a known word with other punctuation. Such a chunk, if it is plain (``_PLAIN``:
-Latin-1 letters, ASCII digits and punctuation, single line feeds inside, no apostrophe), falls into pieces of one
-class each; both tokenizers begin a new token where the class changes. The library sees new pieces only.
+Pieces are cut for a block of texts at once and numbered by Arrow's dictionary encoding, so Python sees the
+distinct pieces of a block only. A worker process remembers the ids of short pieces over all its tasks, in two
+generations: what the older one holds and nobody asks for is forgotten.
 """
 
 from __future__ import annotations
@@ -18,149 +20,162 @@ from collections.abc import Callable, Iterator, Sequence
 from types import ModuleType
 
 import numpy as np
+import pyarrow as pa
 
-#: A space next to other white space: there a token may reach over the space.
-_RUN = re.compile(r" \s|\s ")
 _KEPT = "tallyloom_worker_encoders"
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
-_PLAIN = re.compile(rf" ?[{_LETTERS}0-9{_MARKS}]+(?:\n[{_LETTERS}0-9{_MARKS}]+)*")
-_PIECE = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n")
-
-
-def chunks(text: str) -> list[str]:
-    """Chunks of a text; all but the first have lost the space that they begin with."""
-    return _SAFE_SPACE.split(text) if _RUN.search(text) else text.split(" ")
 _ONE = re.compile(rf" ?(?:[{_LETTERS}]+|[0-9]+|[{_MARKS}]+)")
+BLOCK_CHARS = 1 << 22
+OTHER, LETTER, DIGIT, MARK, SPACE, LINE, WHITE = range(7)
 
+Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
-class _Known(dict):
-    """Chunk -> number, in the order of first sight."""
-
-    def __missing__(self, chunk: str) -> int:
-        number = self[chunk] = len(self)
-        return number
 
+def _classes() -> np.ndarray:
+    """Class of every code point; white space (of which the highest is U+3000) comes last."""
+    kind = np.zeros(0x110000, np.uint8)
+    for code in range(0x3001):
+        char = chr(code)
+        if char in " \n":
+            kind[code] = SPACE if char == " " else LINE
+        elif char.isspace():
+            kind[code] = WHITE
+        elif _ONE.fullmatch(char):
+            kind[code] = DIGIT if char.isdigit() else MARK if code < 128 and not char.isalpha() else LETTER
+    return kind
 
-Encode = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
-
-def _joined(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def joined_spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Places of the spans (start, length), one after the other."""
     total = np.cumsum(lengths)
     return np.repeat(starts - (total - lengths), lengths) + np.arange(total[-1] if len(total) else 0)
 
 
 class PieceEncoder:
-    """Ids of chunks, put together from the ids of their pieces; ``encode_new`` is asked for new pieces.
+    """Ids of texts, put together from the ids of their pieces.
 
-    ``fold`` holds for vocabularies of lower-case words without white space: pieces that differ in that only
-    are one.
+    ``encode_new`` gives, for a list of pieces, all their ids in one array and the number of ids of each. ``fold``
+    holds for vocabularies of lower-case words without white space: pieces that differ in that only are one.
     """
 
-    def __init__(self, encode_new: Encode, fold: bool, max_pieces: int = 700_000):
-        self.encode_new, self.fold, self.max_pieces = encode_new, fold, max_pieces
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known = _Known()
-        self.ids, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def __call__(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > self.max_pieces:
-            self._forget()
-        numbers: list[int] = []
-        sizes: list[int] = []
-        for chunk in new:
-            if _PLAIN.fullmatch(chunk):
-                pieces = _PIECE.findall(chunk.strip().lower() if self.fold else chunk)
-            else:
-                pieces = [chunk]
-            sizes.append(len(pieces))
-            numbers.extend(map(self.known.__getitem__, pieces))
-        fresh = len(self.known) - len(self.starts)
-        if fresh:
-            ids, counts = self.encode_new(list(self.known)[-fresh:])
-            ends = len(self.ids) + np.cumsum(counts)
-            self.ids = np.concatenate([self.ids, ids])
-            self.starts = np.concatenate([self.starts, ends - counts])
-            self.lengths = np.concatenate([self.lengths, counts])
-        index = np.array(numbers, np.int64)
-        lengths = self.lengths[index]
-        flat = self.ids[_joined(self.starts[index], lengths)]
-        before = np.concatenate([[0], np.cumsum(lengths)])
-        ends = np.cumsum(np.array(sizes, np.int64))
-        return flat, before[ends] - before[ends - sizes]
-
-
-class ChunkEncoder:
-    """``encode_new`` gives, for a list of chunks, all their ids in one array and the number of ids of each."""
-
-    def __init__(self, encode_new: Encode, max_chunks: int = 700_000):
-        self.encode_new, self.max_chunks = encode_new, max_chunks
-        self._forget()
-
-    def _forget(self) -> None:
-        self.first, self.later = _Known(), _Known()
-        self.size = [0, 0]
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.starts = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
-        self.lengths = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
-
-    def _learn(self, kind: int, new: list[str]) -> None:
-        ids, counts = self.encode_new(new)
-        if self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), np.uint32)])
-        self.ids[self.used:self.used + len(ids)] = ids
-        ends = self.used + np.cumsum(counts)
-        self.starts[kind] = np.concatenate([self.starts[kind], ends - counts])
-        self.lengths[kind] = np.concatenate([self.lengths[kind], counts])
-        self.used += len(ids)
-        self.size[kind] += len(new)
+    def __init__(self, encode_new: Encode, fold: bool, max_pieces: int = 600_000, max_bytes: int = 64):
+        self.encode_new, self.fold, self.max_pieces, self.max_bytes = encode_new, fold, max_pieces, max_bytes
+        self.kind = _classes()
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def pieces(self, texts: Sequence[str]) -> tuple[pa.Array, np.ndarray]:
+        """(all pieces in their order, number of pieces up to the end of each text)."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends = np.cumsum(sizes)
+        filled = sizes > 0
+        starts, lasts = (ends - sizes)[filled], ends[filled] - 1
+        joined = "".join(texts)
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        kind = self.kind[codes]
+        white = kind >= SPACE
+        beside = np.zeros(len(codes), bool)  # next to white space or to the text's edge
+        beside[1:] = white[:-1]
+        beside[:-1] |= white[1:]
+        beside[starts] = beside[lasts] = True
+        begin = (kind == SPACE) & ~beside
+        begin[starts] = True
+        unsure = (kind == OTHER) | (kind == WHITE) | (white & beside)
+        chunk = np.flatnonzero(begin)
+        whole = np.zeros(len(codes), bool)
+        if len(chunk) and unsure.any():
+            whole = np.repeat(np.logical_or.reduceat(unsure, chunk), np.diff(np.append(chunk, len(codes))))
+        edge = np.zeros(len(codes), bool)
+        edge[1:] = kind[1:] != kind[:-1]
+        if not self.fold:
+            edge[1:] &= kind[:-1] != SPACE  # a space belongs to what follows
+        edge = (edge & ~whole) | begin
+        if self.fold:
+            upper = ((codes - 65 < 26) | ((codes - 0xC0 < 31) & (codes != 0xD7))) & ~whole
+            kept = whole | ~white
+            codes, edge = (codes + 32 * upper.astype(np.uint32))[kept], edge[kept]
+            ends = np.concatenate([[0], np.cumsum(kept)])[ends]
+            data = codes.tobytes().decode("utf-32-le").encode()
+        else:
+            data = joined.encode()
+        at = np.flatnonzero(edge)
+        upto = np.searchsorted(at, ends)
+        if len(data) > len(codes):  # places of bytes
+            width = 1 + (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000)
+            at = (np.cumsum(width, dtype=np.int64) - width)[at]
+        offsets = np.append(at, len(data)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)]), upto
+
+    def _ids_of(self, names: list[bytes]) -> list[bytes]:
+        """Ids (four bytes each) of distinct pieces."""
+        if len(self.young) > self.max_pieces:
+            self.young, self.old = {}, self.young
+        found = list(map(self.young.get, names))
+        new = []
+        for i, value in enumerate(found):
+            if value is None:
+                value = self.old.get(names[i])
+                if value is None:
+                    new.append(i)
+                else:
+                    found[i] = self.young[names[i]] = value
+        if new:
+            ids, counts = self.encode_new([names[i].decode() for i in new])
+            raw, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+            for i, start, end in zip(new, [0, *ends], ends):
+                found[i] = raw[start:end]
+                if len(names[i]) <= self.max_bytes:
+                    self.young[names[i]] = found[i]
+        return found
+
+    def _block(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        pieces, upto = self.pieces(texts)
+        coded = pieces.dictionary_encode()
+        values = self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        index = coded.indices.to_numpy()
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        of_each = lengths[index]
+        flat = np.frombuffer(b"".join(values), "<u4")[joined_spans((np.cumsum(lengths) - lengths)[index], of_each)]
+        return flat, np.diff(np.concatenate([[0], np.cumsum(of_each)])[upto], prepend=0)
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids of each text)."""
-        if len(self.first) + len(self.later) > self.max_chunks or self.used > 20 * self.max_chunks:
-            self._forget()
-        numbers: list[int] = []
-        kinds: list[int] = []
-        heads: list[int] = []
-        for text in texts:
-            head, *rest = chunks(text)
-            heads.append(self.first[head])
-            kinds.append(len(rest))
-            numbers.extend(map(self.later.__getitem__, rest))
-        for kind, known, prefix in ((0, self.first, ""), (1, self.later, " ")):
-            fresh = len(known) - self.size[kind]
-            if fresh:
-                names = list(known)[-fresh:] if fresh < len(known) // 8 else list(known)[self.size[kind]:]
-                self._learn(kind, [prefix + name for name in names])
-        rest = np.array(kinds, np.int64)
-        at = np.arange(len(texts)) + np.cumsum(rest) - rest  # place of each text's first chunk
-        is_head = np.zeros(len(texts) + len(numbers), bool)
-        is_head[at] = True
-        starts, lengths = np.empty(len(is_head), np.int64), np.empty(len(is_head), np.int64)
-        for mask, kind, picked in ((is_head, 0, heads), (~is_head, 1, numbers)):
-            index = np.array(picked, np.int64)
-            starts[mask], lengths[mask] = self.starts[kind][index], self.lengths[kind][index]
-        flat = self.ids[_joined(starts, lengths)]
-        counts = np.add.reduceat(lengths, at) if len(at) else np.zeros(0, np.int64)
-        return flat, counts
-
-
-def library_encoder(path: str) -> ChunkEncoder:
-    """The process's encoder by the tokenizers library with the vocabulary file at ``path``.
+        """(ids of all texts, number of ids of each text); a long text is cut at spaces for the work."""
+        parts: list[str] = []
+        owner: list[int] = []
+        for number, text in enumerate(texts):
+            start = 0
+            while len(text) - start > BLOCK_CHARS and (cut := _SAFE_SPACE.search(text, start + BLOCK_CHARS - 1024)):
+                parts.append(text[start:cut.start()])
+                owner.append(number)
+                start = cut.start()
+            parts.append(text[start:] if start else text)
+            owner.append(number)
+        done = [self._block(parts[some]) for some in blocks(parts)]
+        if not done:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        counts = np.bincount(owner, np.concatenate([c for _, c in done]), len(texts)).astype(np.int64)
+        return np.concatenate([ids for ids, _ in done]), counts
+
+
+def of_process(name: str, build: Callable[[], object]) -> object:
+    """What ``build`` gives, built once per worker process.
 
     Task code comes by value, so names of this module are new in each task; a module of the process keeps
-    the encoder, and a worker that Spark uses again has the vocabulary and the chunks of its earlier tasks.
+    the object, and a worker that Spark uses again has the vocabulary and the pieces of its earlier tasks.
     """
     kept = vars(sys.modules.setdefault(_KEPT, ModuleType(_KEPT)))
-    if path not in kept:
-        kept[path] = _new_encoder(path)
-    return kept[path]
+    if name not in kept:
+        kept[name] = build()
+    return kept[name]
+
+
+def library_encoder(path: str) -> PieceEncoder:
+    """The process's encoder by the tokenizers library with the vocabulary file at ``path``."""
+    return of_process(path, lambda: _new_encoder(path))
 
 
-def _new_encoder(path: str) -> ChunkEncoder:
+def _new_encoder(path: str) -> PieceEncoder:
     """Special tokens are ordinary text. Whether case and white space count is asked of the vocabulary itself."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
     from tokenizers import Tokenizer
@@ -173,7 +188,7 @@ def _new_encoder(path: str) -> ChunkEncoder:
         plain = np.array([bool(_ONE.fullmatch(piece)) for piece in new], bool) & (divider is not None)
         spans = np.zeros(len(new), np.int64)
         parts, used = [], 0
-        for mask, together in ((plain, 1024), (~plain, 1)):
+        for mask, together in ((plain, 64), (~plain, 1)):
             places = np.flatnonzero(mask)
             for at in range(0, len(places), 4096):
                 some = [new[i] for i in places[at:at + 4096]]
@@ -196,7 +211,7 @@ def _new_encoder(path: str) -> ChunkEncoder:
                 spans[places[at:at + 4096]] = used + np.cumsum(sizes) - sizes
                 parts.append(ids)
                 used += len(ids)
-        return np.concatenate(parts)[_joined(spans, counts)], counts
+        return np.concatenate(parts)[joined_spans(spans, counts)], counts
 
     divider = None
     for text in ("\n", " — "):  # no plain piece holds either; taken if it is one id that stands for itself
@@ -206,10 +221,10 @@ def _new_encoder(path: str) -> ChunkEncoder:
             break
     probe = " A B,C\nD"
     alike = encode_new([probe])[0].tolist() == encode_new(["a b,c d"])[0].tolist()
-    return ChunkEncoder(PieceEncoder(encode_new, alike))
+    return PieceEncoder(encode_new, alike)
 
 
-def blocks(texts: Sequence[str], max_chars: int = 1 << 22) -> Iterator[slice]:
+def blocks(texts: Sequence[str], max_chars: int = BLOCK_CHARS) -> Iterator[slice]:
     """Consecutive texts of at most ``max_chars`` characters together, or one longer text."""
     start = size = 0
     for i, text in enumerate(texts):

@@ -1,6 +1,8 @@
 """Token files: one wavelet matrix per shard, with rank and select, written and read by Spark.
 
-Texts are encoded where they are; their ids, two bytes each, are range-partitioned by doc_id. Each partition
+Texts are encoded where they are and their ids, two bytes each, are stored: what follows reads them twice (the
+range bounds, then the rows), the encoder runs once. Ranges are those of doc_id, the text's hash and the stored
+row's number, so that repeats of one row spread over tasks. Each partition
 becomes consecutive shards of about ``SHARD_TOKENS`` ids. A shard file holds the bit-planes of its ids from
 the highest bit down (each plane stably sorted by the bits above), a rank directory and the documents' ids
 and lengths; planes are compressed one by one. ``WaveletMatrix`` answers access, counting and occurrence
@@ -194,9 +196,9 @@ class WaveletMatrix:
 
 
 def write_shards(tokens: DataFrame, path: str, shard_tokens: int = SHARD_TOKENS) -> None:
-    """Shard files below ``path`` in ascending doc_id order, from (doc_id, text_hash, n_tokens, ids)."""
+    """Shard files below ``path`` in ascending doc_id order, from stored (doc_id, text_hash, row, n_tokens, ids)."""
     spark = tokens.sparkSession
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text_hash").asc()]
+    order = [F.col("doc_id").asc_nulls_last(), F.col("text_hash").asc(), F.col("row").asc()]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,5 +268,6 @@ def written_and_read(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataF
     """Encode ``docs``, write the shard files to the shared folder and read them back."""
     spark = docs.sparkSession
     path = scratch_path(spark, "token-shards")
-    write_shards(encoded(docs, vocabulary, end_id), path)
+    rows = encoded(docs, vocabulary, end_id).withColumn("row", F.monotonically_increasing_id())
+    write_shards(stored(rows, "token-ids", "zstd"), path)
     return read_shards(spark, path)
