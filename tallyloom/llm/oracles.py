@@ -115,5 +115,96 @@ FROM scores QUALIFY rank <= 5
 """
 
 
+_RATE = 1 << 40
+
+
+MIXING = f"""
+WITH docs AS (
+  SELECT doc_id, source, md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hash,
+    CAST(len(list_filter(string_split_regex(coalesce(text, ''), '{_SPACE}+'), lambda w: w <> '')) AS BIGINT) AS size FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS weight
+  FROM docs GROUP BY source),
+filling AS (
+  SELECT *, 3 * source_size AS cap, row_number() OVER w AS place,
+    sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    sum(weight) OVER () - coalesce(sum(weight) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS among
+  FROM sources WINDOW w AS (ORDER BY 3 * source_size * (10 // weight), source NULLS LAST)),
+border AS (
+  SELECT place AS first_open, rest, among FROM filling WHERE 10 * rest <= cap * (10 // weight) * among ORDER BY place LIMIT 1),
+targets AS (
+  SELECT f.source, f.source_size, CASE WHEN place < first_open THEN CAST(cap AS DOUBLE) ELSE CAST(weight AS DOUBLE) * CAST(b.rest AS DOUBLE) / CAST(b.among AS DOUBLE) END AS target,
+    CASE WHEN place < first_open THEN 3 * {_RATE}::HUGEINT WHEN f.source_size = 0 THEN 0::HUGEINT
+      ELSE (weight::HUGEINT * b.rest::HUGEINT * {_RATE}::HUGEINT) // (f.source_size::HUGEINT * b.among::HUGEINT) END AS rate,
+    ('0x' || substr(md5('mix|' || coalesce(f.source, '')), 1, 10))::BIGINT::HUGEINT AS drawn
+  FROM filling f, border b),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY size DESC, hash, doc_id NULLS LAST) - 1)::HUGEINT AS rank FROM docs)
+SELECT doc_id, size, source_size, target,
+  CAST(((rank + 1) * rate + drawn) // {_RATE}::HUGEINT - (rank * rate + drawn) // {_RATE}::HUGEINT AS BIGINT) AS copies, copies * size AS taken
+FROM ranked r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source
+"""
+
+COLLOCATIONS = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (
+  SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+one AS (SELECT lang, unnest(w) AS a FROM words),
+f1 AS (SELECT lang, a, count(*) AS f FROM one GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang),
+two AS (SELECT lang, w, unnest(range(1, len(w))) AS i FROM words),
+f2 AS (SELECT lang, w[i] AS a, w[i + 1] AS b, count(*) AS f FROM two GROUP BY ALL),
+f3 AS (SELECT lang, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c, count(*) AS f FROM two WHERE i + 2 <= len(w) GROUP BY ALL HAVING count(*) >= 10),
+pairs AS (
+  SELECT p.*, x.f AS l, y.f AS r, (1000000::HUGEINT * p.f * p.f) // (x.f::HUGEINT * y.f) AS score FROM f2 p
+  JOIN f1 x ON x.lang = p.lang AND x.a = p.a JOIN f1 y ON y.lang = p.lang AND y.a = p.b WHERE p.f >= 10),
+covering AS (SELECT lang, a, b, f FROM f3 UNION ALL SELECT lang, b, c, f FROM f3),
+longest AS (SELECT lang, a, b, max(f) AS f FROM covering GROUP BY ALL),
+triples AS (
+  SELECT t.*, x.f AS l1, bc.f AS r1, ab.f AS l2, z.f AS r2,
+    (1000000::HUGEINT * t.f * t.f) // (x.f::HUGEINT * bc.f) AS s1, (1000000::HUGEINT * t.f * t.f) // (ab.f::HUGEINT * z.f) AS s2
+  FROM f3 t JOIN f1 x ON x.lang = t.lang AND x.a = t.a JOIN f1 z ON z.lang = t.lang AND z.a = t.c
+  JOIN f2 ab ON ab.lang = t.lang AND ab.a = t.a AND ab.b = t.b JOIN f2 bc ON bc.lang = t.lang AND bc.a = t.b AND bc.b = t.c),
+candidates AS (
+  SELECT p.lang, p.a || ' ' || p.b AS phrase, p.f AS a, l, r, score FROM pairs p
+  LEFT JOIN longest g ON g.lang = p.lang AND g.a = p.a AND g.b = p.b WHERE g.f IS NULL OR 100 * g.f < 50 * p.f
+  UNION ALL
+  SELECT lang, a || ' ' || b || ' ' || c, f, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END,
+    least(s1, s2) FROM triples)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+  CAST(score AS BIGINT) AS score
+FROM candidates JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+HARD_NEGATIVES = """
+WITH whole AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+scores AS (
+  SELECT a.rid AS anchor, a.vec_id AS anchor_id, b.rid, b.vec_id, a.label = b.label AS same,
+    CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.rid <> b.rid WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor, anchor_id, rid AS positive, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, rid) <= 5)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor, positive ORDER BY score DESC, vec_id, rid) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON s.anchor = p.anchor AND NOT s.same
+WHERE 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": WARC, "op8_topk": TOPK, "op2_line_dedup": LINE_DEDUP, "op10_quality_rules": _rules_sql()}
+    return {
+        "op1_warc": WARC, "op2_line_dedup": LINE_DEDUP, "op8_topk": TOPK, "op10_quality_rules": _rules_sql(),
+        "op11_collocations": COLLOCATIONS, "op12_mixing": MIXING, "op13_hard_negatives": HARD_NEGATIVES,
+    }

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
-    line_dedup, merge_replay, near_dedup, packing, quality_classifier, quality_rules, sharding, topk, warc, wavelet,
+    collocations, hard_negatives, line_dedup, merge_replay, mixing, near_dedup, packing, quality_classifier, quality_rules,
+    sharding, topk, warc, wavelet,
 )
 from tallyloom.llm.common import table
 
@@ -63,8 +64,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("n_lines")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_warc, op2_line_dedup, op3_quality_classifier, op4_near_dedup, op5_sharding, op6_wavelet,
         op7_merge_replay, op8_topk, op9_packing, op10_quality_rules,
+        op11_collocations, op12_mixing, op13_hard_negatives,
     )}
