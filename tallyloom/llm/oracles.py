@@ -103,18 +103,16 @@ FROM keyed k LEFT JOIN firsts f ON f.digest = k.digest
 
 TOPK = """
 WITH whole AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS q
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
-  GROUP BY vec_id),
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
 scores AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
-  FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  SELECT a.rid AS query, a.vec_id AS query_id, b.rid, b.vec_id, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.rid <> b.rid WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id, rid) AS INTEGER) AS rank, vec_id, score
 FROM scores QUALIFY rank <= 5
 """
 
-
 _RATE = 1 << 40
 
 

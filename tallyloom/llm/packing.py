@@ -10,10 +10,12 @@ laid end to end and cut at the sequence length, so they need no padding at all;
 is cut at powers of two.
 
 The driver sees the histogram only (one number per length), and its work does not grow with the input.
-Documents are tokenized once; only those that are cut somewhere else than at full sequences a second time.
+Documents are tokenized once: the ids of remainders (fewer than a sequence has) are stored, and what is cut inside
+one takes its checksum from them.
 
 Defined results: null text is empty and consists of the end id; rows equal in id and text are packed
-separately; an empty table gives an empty result.
+separately, and of equal lengths the smaller id comes first; long texts are cut like others, whole; columns besides
+doc_id and text are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -159,13 +161,13 @@ def planned(demand: np.ndarray, capacity: int, poorest: Callable[[np.ndarray, np
 
 
 def measured(docs: DataFrame, vocabulary: str, end_id: int, length: int) -> DataFrame:
-    """(doc_id, text_hash, n, full_crcs, rest_crc) per row: checksums of its full sequences and its remainder."""
+    """(doc_id, n, full_crcs, rest_crc, rest_ids) per row: checksums of its full sequences, and its remainder."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(vocabulary)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
+            texts = batch.column(1).to_pylist()
             for part in blocks(texts):
                 ids, counts = encoder.encode(texts[part])
                 full, rest, end = [], [], 0
@@ -174,43 +176,14 @@ def measured(docs: DataFrame, vocabulary: str, end_id: int, length: int) -> Data
                     end += n
                     cuts = range(0, (n + 1) // length * length * 4, 4 * length)
                     full.append([zlib.crc32(raw[a:a + 4 * length]) for a in cuts])
-                    rest.append(zlib.crc32(raw[4 * length * len(cuts):]))
+                    rest.append(raw[4 * length * len(cuts):])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0)[part.start:part.stop], batch.column(1)[part.start:part.stop],
-                    pa.array(counts + 1, pa.int64()), pa.array(full, pa.list_(pa.int64())), pa.array(rest, pa.int64()),
-                ], names=["doc_id", "text_hash", "n", "full_crcs", "rest_crc"])
+                    batch.column(0)[part.start:part.stop], pa.array(counts + 1, pa.int64()), pa.array(full, pa.list_(pa.int64())),
+                    pa.array([zlib.crc32(r) for r in rest], pa.int64()), pa.array(rest, pa.binary()),
+                ], names=["doc_id", "n", "full_crcs", "rest_crc", "rest_ids"])
 
-    return _rows(docs).mapInArrow(run, "doc_id long, text_hash binary, n long, full_crcs array<long>, rest_crc long")
-
-
-def _rows(docs: DataFrame) -> DataFrame:
-    text = text_or_empty()
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("text_hash"), text.alias("text"))
-
-
-def _piece_sums(docs: DataFrame, wanted: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """(text_hash, start, length, ids_crc32) of the wanted pieces (text_hash, pieces array<struct>)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(vocabulary)
-        for batch in batches:
-            texts, pieces, hashes = batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(0).to_pylist()
-            out = []
-            for part in blocks(texts):
-                ids, counts = encoder.encode(texts[part])
-                ends = np.cumsum(counts)
-                for e, n, own, name in zip(ends, counts, pieces[part], hashes[part]):
-                    row = np.append(ids[e - n:e], end_id).astype("<u4")
-                    out.extend((name, p["start"], p["length"], zlib.crc32(row[p["start"]:p["start"] + p["length"]].tobytes())) for p in own)
-            if out:
-                types = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["text_hash", "start", "length", "ids_crc32"])
-
-    per_text = wanted.groupBy("text_hash").agg(F.collect_set(F.struct("start", "length")).alias("pieces"))
-    # equal texts may be cut differently; one of them is read for all
-    texts = _rows(docs).drop("doc_id").join(per_text.select("text_hash"), "text_hash", "left_semi").dropDuplicates(["text_hash"])
-    joined = texts.join(per_text, "text_hash").select("text_hash", "text", "pieces")
-    return joined.mapInArrow(run, "text_hash binary, start long, length long, ids_crc32 long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n long, full_crcs array<long>, rest_crc long, rest_ids binary")
 
 
 def _tail_cuts(total: int, length: int) -> list[int]:
@@ -230,10 +203,12 @@ def packed(docs: DataFrame, vocabulary: str, end_id: int = 1, length: int = 2048
     Sequences are numbered from 0: patterns, then end-to-end sequences, then full cuts of long documents.
     """
     spark = docs.sparkSession
-    rows = stored(measured(docs, vocabulary, end_id, length), "token-lengths").withColumns({
+    tokens = stored(
+        measured(docs, vocabulary, end_id, length).withColumn("row", F.monotonically_increasing_id()), "token-remainders", "zstd")
+    rows = tokens.drop("rest_ids").withColumns({
         "rest": F.col("n") % length, "full": F.floor(F.col("n") / length).cast("long")
     }).withColumn("class", F.ceil(F.col("rest") / CLASS).cast("int")).withColumn("short", F.col("class") * CLASS - F.col("rest"))
-    ranked = numbered(rows, ["class", "short", "text_hash", "doc_id"], ["full"], "packing-ranks")
+    ranked = numbered(rows, ["class", "short", "doc_id", "row"], ["full"], "packing-ranks")
 
     units = length // CLASS
     lengths = np.zeros(units * CLASS + 1, np.int64)
@@ -279,8 +254,7 @@ def packed(docs: DataFrame, vocabulary: str, end_id: int = 1, length: int = 2048
         whole = None
 
     # 2. the others lie end to end, numbered once more for their places
-    small_batches(spark)
-    line = numbered(items.where(~in_plan).drop("position", "full_before"), ["class", "rest", "text_hash", "doc_id"], ["rest"], "packing-line")
+    line = numbered(items.where(~in_plan).drop("position", "full_before"), ["class", "rest", "doc_id", "row"], ["rest"], "packing-line")
     total = line.agg(F.sum("rest")).first()[0] or 0
     cuts = _tail_cuts(total, length)
     border = total // length * length
@@ -296,14 +270,15 @@ def packed(docs: DataFrame, vocabulary: str, end_id: int = 1, length: int = 2048
     opened = F.get(F.array(*(F.lit(c).cast("long") for c in [0, border, *cuts])), passed)
     tail = F.col("span.from") >= border
     pieces = cut.select(
-        "doc_id", "text_hash", "cut", "rest_crc", (start + F.col("span.from") - a).alias("start"),
+        "doc_id", "row", "cut", "rest_crc", (F.col("span.from") - a).alias("inside"), (start + F.col("span.from") - a).alias("start"),
         (F.col("span.to") - F.col("span.from")).alias("length"), F.col("n").alias("doc_tokens"),
         (F.lit(sequence) + F.when(tail, F.lit(border // length) + passed - 1).otherwise(F.floor(F.col("span.from") / length))).alias("sequence_id"),
         F.when(tail, F.col("span.from") - opened).otherwise(F.col("span.from") % length).alias("offset"),
     )
-    sums = stored(_piece_sums(docs, pieces.where("cut").select("text_hash", "start", "length"), vocabulary, end_id), "cut-sums")
     uncut = pieces.where(~F.col("cut")).withColumnRenamed("rest_crc", "ids_crc32").select(*columns)
-    mended = pieces.where("cut").drop("rest_crc").join(sums, ["text_hash", "start", "length"]).select(*columns)
+    own_ids = F.substring("rest_ids", (4 * F.col("inside") + 1).cast("int"), (4 * F.col("length")).cast("int"))
+    mended = pieces.where("cut").drop("rest_crc").join(tokens.select("row", "rest_ids"), "row").withColumn(
+        "ids_crc32", F.crc32(own_ids)).select(*columns)
     sequence += border // length + len(cuts)
 
     # 3. full sequences of long documents

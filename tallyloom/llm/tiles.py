@@ -101,14 +101,14 @@ def streamed(queries: DataFrame, tiles: DataFrame, start: Callable[[Tile], objec
     cells = asked.unionByName(passing).repartitionById(blocks * shares, F.col("cell").cast("int")).sortWithinPartitions("cell", "kind")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = None
+        state = cell = None
         for batch in batches:
             for record in batch.to_pylist():
                 if record["kind"] == 0:
                     if state is not None:
                         yield from _batches(state)
-                    state = start(Tile(record))
-                else:
+                    state, cell = start(Tile(record)), record["cell"]
+                elif record["cell"] == cell:  # a cell may have no queries
                     state.meet(Tile(record))
         if state is not None:
             yield from _batches(state)
@@ -146,17 +146,16 @@ def exact(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return whole(a).astype(object), whole(b).astype(object)
 
 
-def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Scores of all rows of ``a`` with all of ``b``, exact: int64, or Python integers where int64 is too short."""
-    a, b = exact(a, b)
+def multiplied(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact product of whole-number matrices, in doubles where all sums stay below 2^53."""
     if a.dtype != object and int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * max(a.shape[1], 1) < 1 << 53:
-        return (a.astype(float) @ b.astype(float).T).astype(np.int64)
-    return whole_product(a, b.T)
+        return (a.astype(float) @ b.astype(float)).astype(np.int64)
+    return whole_product(a, b)
 
 
 def whole_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Matrix product without loss; an empty inner dimension gives zeros."""
-    return a @ b if a.shape[1] else np.zeros((a.shape[0], b.shape[1]), np.int64)
+    """Matrix product in the numbers' own type; an empty inner dimension gives zeros."""
+    return a @ b if a.shape[1] else np.zeros((a.shape[0], b.shape[1]), a.dtype)
 
 
 def first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:

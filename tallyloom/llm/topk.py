@@ -2,159 +2,110 @@
 
 Vectors are cut into ``SLICES`` ranges of components; each slice knows only its own share of a score.
 
-1. Every slice gives each query its ``gather`` best entries. Their whole scores are looked up; the k-th best
-   of them is a total that the true k-th best reaches.
-2. That total is the query's cutoff: a vector whose total reaches it has, in some slice, at least the
-   cutoff divided by the number of slices. All such entries are collected.
-3. An entry seen in every slice has its total. For the others an upper bound (unseen slices just below their
-   share) decides; the totals of those that can still reach the cutoff are looked up exactly.
-
-The queries are a stated subset, scored against all rows block by block: a block of rows meets a block of
-queries by an equi-join on the query block, and leaves only the entries that the phase asks for.
-
-Defined results: vectors that are null, hold null or non-finite components, or have a null id take no part;
-an id is one vector (of several, the smallest); shorter vectors count as filled up with zeros; scaled
-components beyond ±2^27 count as that bound, so that scores fit a long. Ties go to the smaller id. A query
-with fewer than k other vectors gets all of them.
+1. Every slice gathers, per query and tile, its ``gather`` best entries. The k-th best of their whole scores is a
+   score that the query's true k-th best reaches.
+2. That score is the query's cutoff, sent to all cells with the query: a vector whose score reaches it has, in some
+   slice, at least the cutoff divided by the number of slices. All such entries are collected.
+3. An entry seen in every slice has its score. For the others an upper bound (unseen slices just below their share)
+   decides; those that can still reach the cutoff are resolved exactly. A cell leaves the k best it has per query.
+
+The queries are a stated subset, met with all rows tile by tile (see ``tiles``); both slices of a pair meet in one
+task, so nothing is written for a pair that the bound excludes, and at most k entries per query and cell are.
+
+Defined results: vectors that are null, hold null or non-finite components, or have a null id take no part; rows that
+repeat, in id too, are rows of their own, and only the query's own row is no candidate; shorter vectors count as
+filled up with zeros; equal scores go by the smaller id. A query with fewer than k other vectors gets all of them; an
+empty table gives no row; columns besides vec_id and embedding are not read. Scores of any finite components are exact;
+a returned score beyond 64 bits is an OverflowError.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import small_batches, stored
+from tallyloom.llm.common import stored
+from tallyloom.llm.tiles import NOTHING, Heaps, Tile, exact, multiplied, row_tiles, scaled, streamed, usable
 
 SLICES = 2
-ROW_BLOCK = 8192
-QUERY_BLOCK = 512
-BOUND = 1 << 27
-
-
-def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """(vec_id, q array<long>) of the vectors that take part."""
-    component = F.col("embedding")
-    finite = F.forall(component, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    scaled = F.transform(component, lambda x: F.least(F.greatest(
-        F.floor(F.greatest(F.least(F.lit(scale) * x.cast("double"), F.lit(1e15)), F.lit(-1e15))), F.lit(-BOUND)), F.lit(BOUND)).cast("long"))
-    usable = vectors.where(F.col("vec_id").isNotNull() & component.isNotNull()).where(finite)
-    return usable.select("vec_id", scaled.alias("q")).groupBy("vec_id").agg(F.min("q").alias("q"))
-
-
-def _packed(rows: DataFrame, dims: int, numbers: str) -> DataFrame:
-    """Blocks of rows, one row per slice: ids, values (float64 if exact, else int64) and ``numbers``."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            values = np.zeros((n, dims), np.int64)
-            lists = batch.column(1)
-            lengths = np.diff(lists.offsets.to_numpy())
-            at = np.repeat(np.arange(n), lengths), np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            values[at] = lists.flatten().to_numpy(zero_copy_only=False)
-            extra = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
-            cuts = np.linspace(0, dims, SLICES + 1).astype(int)
-            parts = [np.ascontiguousarray(values[:, a:b]).tobytes() for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(range(SLICES), pa.int32()), pa.array([ids.tobytes()] * SLICES, pa.binary()),
-                pa.array(parts, pa.binary()), pa.array([extra.tobytes()] * SLICES, pa.binary()),
-            ], names=["slice", "ids", "parts", numbers])
-
-    return rows.mapInArrow(pack, f"slice int, ids binary, parts binary, {numbers} binary")
-
-
-def _entries(row_blocks: DataFrame, queries: DataFrame, dims: int, gather: int | None) -> DataFrame:
-    """(slice, query_id, vec_id, part): the ``gather`` best per slice, query and block, or all at the cutoff."""
-    spark = row_blocks.sparkSession
-    count = max(1, -(-queries.count() // QUERY_BLOCK))
-    small_batches(spark, QUERY_BLOCK)
-    numbered = _packed(queries.repartition(count), dims, "cutoffs").withColumn("query_block", F.spark_partition_id())
-    packed = stored(numbered, "query-blocks").withColumnsRenamed({"ids": "query_ids", "parts": "query_parts"})
-    asked = row_blocks.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
-    cells = asked.join(packed, ["slice", "query_block"])
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = {f: batch.column(i) for i, f in enumerate(batch.schema.names)}
-            for r in range(batch.num_rows):
-                read = lambda name, kind=np.int64: np.frombuffer(columns[name][r].as_buffer(), kind)
-                ids, query_ids, cutoffs = read("ids"), read("query_ids"), read("cutoffs")
-                width = len(read("parts")) // max(len(ids), 1)
-                a, b = read("parts").reshape(len(ids), width), read("query_parts").reshape(len(query_ids), width)
-                if width and int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * width < 1 << 53:
-                    a, b = a.astype(float), b.astype(float)  # sums of products below 2^53 are exact
-                for at in range(0, len(query_ids), 128):
-                    scores = (b[at:at + 128] @ a.T).astype(np.int64)
-                    own = query_ids[at:at + 128, None] == ids[None, :]
-                    if gather is None:
-                        q, v = np.nonzero((scores * SLICES >= cutoffs[at:at + 128, None]) & ~own)
-                    else:
-                        scores[own] = np.iinfo(np.int64).min
-                        k = min(gather, scores.shape[1])
-                        v = np.argpartition(-scores, k - 1, axis=1)[:, :k].ravel() if k < scores.shape[1] else np.tile(np.arange(k), len(scores))
-                        q = np.repeat(np.arange(len(scores)), k)
-                        there = ~own[q, v]
-                        q, v = q[there], v[there]
-                    if len(q):
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(np.full(len(q), columns["slice"][r].as_py(), np.int32)), pa.array(query_ids[at + q]),
-                            pa.array(ids[v]), pa.array(scores[q, v]),
-                        ], names=["slice", "query_id", "vec_id", "part"])
-
-    small_batches(spark, 4)  # cells of at most ROW_BLOCK + QUERY_BLOCK vectors
-    out = stored(cells.select("slice", "ids", "parts", "query_ids", "query_parts", "cutoffs").mapInArrow(
-        meet, "slice int, query_id long, vec_id long, part long"), "local-entries")
-    small_batches(spark)
-    return out
-
-
-def _resolved(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """``pairs`` (query_id, vec_id) with their whole score."""
-    right = vectors.select("vec_id", F.col("q").alias("_v"))
-    left = vectors.select(F.col("vec_id").alias("query_id"), F.col("q").alias("_q"))
-    product = F.aggregate(
-        F.zip_with("_q", "_v", lambda a, b: F.coalesce(a * b, F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s + x)
-    return pairs.join(right, "vec_id").join(left, "query_id").select("query_id", "vec_id", product.alias("score"))
-
-
-def _best(scores: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
-def highest(vectors: DataFrame, k: int = 5, every: int = 50, gather: int = 10, query: Column | None = None) -> DataFrame:
+ENTRIES = "query_row long, query_id long, id long, row long, score long"
+
+
+class Cell:
+    """The k best entries of each query among those that a phase lets through."""
+
+    def __init__(self, queries: Tile, k: int):
+        self.queries, self.heaps = queries, Heaps(len(queries.rows), k)
+
+    def meet(self, tile: Tile) -> None:
+        a, b = exact(self.queries.values, tile.values)
+        cuts = np.linspace(0, a.shape[1], SLICES + 1).astype(int)
+        parts = [multiplied(a[:, i:j], b[:, i:j].T) for i, j in zip(cuts, cuts[1:])]
+        other = self.queries.rows[:, None] != tile.rows[None, :]
+        self.heaps.offer(sum(parts[1:], parts[0]), other & self.passing(parts, other), tile, range(len(self.queries.rows)))
+
+    def passing(self, parts: list[np.ndarray], other: np.ndarray) -> np.ndarray:
+        raise NotImplementedError
+
+    def result(self) -> tuple:
+        owner, ids, rows, scores = self.heaps.entries()
+        return self.queries.rows[owner], self.queries.ids[owner], ids, rows, scores
+
+
+class Gather(Cell):
+    """First phase: the best entries of every slice."""
+
+    def __init__(self, queries: Tile, k: int, gather: int):
+        super().__init__(queries, k)
+        self.gather = max(gather, k) + 1  # the query's own row may be one of them
+
+    def passing(self, parts: list[np.ndarray], other: np.ndarray) -> np.ndarray:
+        n = other.shape[1]
+        if n <= self.gather:
+            return np.ones(other.shape, bool)
+        out = np.zeros(other.shape, bool)
+        for part in parts:
+            np.put_along_axis(out, np.argpartition(part, n - self.gather, axis=1)[:, n - self.gather:], True, axis=1)
+        return out
+
+
+class Collect(Cell):
+    """Second and third phase: entries that reach the cutoff's share in a slice and the cutoff by their bound."""
+
+    def passing(self, parts: list[np.ndarray], other: np.ndarray) -> np.ndarray:
+        cutoffs = [int(c) for c in self.queries.numbers[:, 0]]
+        kind = parts[0].dtype
+        cutoff, share = (np.array(v, kind)[:, None] for v in (cutoffs, [-(-c // SLICES) for c in cutoffs]))
+        seen = [(part >= share).astype(bool) for part in parts]
+        bound = sum(np.where(s, part, share - 1) for s, part in zip(seen, parts))
+        return np.logical_or.reduce(seen) & (bound >= cutoff).astype(bool)
+
+
+def _best(entries: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "id", "row")
+    return entries.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def highest(vectors: DataFrame, k: int = 5, every: int = 50, gather: int = 10, query: Column | None = None, scale: int = 256) -> DataFrame:
     """The ``k`` highest scores of each query: query_id, rank, vec_id, score.
 
     Queries are the vectors that meet ``query``, by default those whose id is divisible by ``every``.
     """
-    spark = vectors.sparkSession
-    rows = stored(quantised(vectors), "quantised")
-    dims = rows.agg(F.max(F.size("q"))).first()[0] or 0
-    queries = rows.where(F.col("vec_id") % every == 0 if query is None else query)
-    small_batches(spark, ROW_BLOCK)
-    blocks = stored(_packed(rows.select("vec_id", "q", F.lit(0).cast("long").alias("none")), dims, "none"), "row-blocks").drop("none")
-
-    first = _entries(blocks, queries.select("vec_id", "q", F.lit(0).cast("long").alias("cutoff")), dims, max(gather, k))
-    local = Window.partitionBy("slice", "query_id").orderBy(F.desc("part"), "vec_id")
-    gathered = first.withColumn("_n", F.row_number().over(local)).where(F.col("_n") <= max(gather, k))
-    known = stored(_resolved(gathered.select("query_id", "vec_id").distinct(), rows), "known-scores")
-
-    # a query whose gathered entries are fewer than k has seen every other vector: nothing to collect
-    cutoffs = _best(known, k).groupBy("query_id").agg(F.min("score").alias("cutoff"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") == k)
-    asked = queries.join(cutoffs.select(F.col("query_id").alias("vec_id"), "cutoff"), "vec_id").select("vec_id", "q", "cutoff")
-    second = _entries(blocks, asked, dims, None)
-    seen = second.groupBy("query_id", "vec_id").agg(F.sum("part").alias("sum"), F.count(F.lit(1)).alias("slices"))
-    unseen_share = F.ceil(F.col("cutoff") / SLICES) - 1  # the most that an unseen slice can add
-    possible = seen.join(cutoffs.select("query_id", "cutoff"), "query_id").where(
-        F.col("sum") + (SLICES - F.col("slices")) * unseen_share >= F.col("cutoff"))
-    whole = possible.where(F.col("slices") == SLICES).select("query_id", "vec_id", F.col("sum").alias("score"))
-    open_pairs = possible.where(F.col("slices") < SLICES).select("query_id", "vec_id")
-    scores = whole.unionByName(_resolved(open_pairs, rows)).unionByName(known).distinct()
-    return _best(scores, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    asked = F.col("vec_id") % every == 0 if query is None else query
+    rows = stored(vectors.where(F.col("vec_id").isNotNull() & usable("embedding")).select(
+        F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("id"), F.lit(0).cast("long").alias("label"),
+        scaled("embedding", scale).alias("values"), F.coalesce(asked, F.lit(False)).alias("asked")), "scaled-vectors")
+    tiles = row_tiles(rows.drop("asked"))
+    queries = rows.where("asked").drop("asked")
+    gathered = streamed(
+        queries.withColumn("numbers", F.array().cast("array<long>")), tiles, lambda own: Gather(own, k, gather), ENTRIES)
+    known = stored(_best(gathered, k).drop("rank"), "gathered")
+
+    # a query with fewer than k gathered entries has seen every other vector: nothing to collect
+    cutoffs = known.groupBy("query_row").agg(F.min("score").alias("cutoff"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") == k)
+    open_queries = queries.join(cutoffs, queries["row"] == cutoffs["query_row"]).select(
+        "row", "id", "label", "values", F.array("cutoff").alias("numbers"))
+    collected = streamed(open_queries, tiles, lambda own: Collect(own, k), ENTRIES)
+    return _best(known.unionByName(collected).distinct(), k).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
