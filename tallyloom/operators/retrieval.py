@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.ordering import with_dense_rank
+from tallyloom.operators import nearest
 from tallyloom.operators.metrics import K_VALUES, hits_at, retrieval_report, top_k
 
-NORM_FLOOR = 1e-12  # fixed value
 METRICS = ("cosine", "dot")
-SCORE_PLACES = 9  # scores are rounded, so equal vectors tie whatever block they are scored in
 
 
 def _check(metric: str, temperature: float) -> None:
@@ -33,7 +32,7 @@ def dot(a: Column, b: Column) -> Column:
 def normalised(vector: Column) -> Column:
     """The vector at length 1; a zero vector stays zero."""
     values = vector.cast("array<double>")
-    norm = F.greatest(F.sqrt(dot(vector, vector)), F.lit(NORM_FLOOR))
+    norm = F.greatest(F.sqrt(dot(vector, vector)), F.lit(nearest.NORM_FLOOR))
     return F.transform(values, lambda x: x / norm)
 
 
@@ -46,7 +45,7 @@ def pair_similarity(
     q = queries.select("query_id", ready(F.col("vector")).alias("_q"))
     i = items.select("item_id", ready(F.col("vector")).alias("_i"))
     scored = pairs.join(q, "query_id").join(i, "item_id")
-    score = F.round(dot(F.col("_q"), F.col("_i")) / F.lit(float(temperature)), SCORE_PLACES)
+    score = F.round(dot(F.col("_q"), F.col("_i")) / F.lit(float(temperature)), nearest.SCORE_PLACES)
     return scored.withColumn("score", score).drop("_q", "_i")
 
 
@@ -56,29 +55,10 @@ def pair_similarity(
 def _matrix(vectors: pd.Series, metric: str) -> np.ndarray:
     matrix = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
     if metric == "cosine":
-        matrix /= np.maximum(np.sqrt((matrix * matrix).sum(axis=1, keepdims=True)), NORM_FLOOR)
+        matrix /= np.maximum(np.sqrt((matrix * matrix).sum(axis=1, keepdims=True)), nearest.NORM_FLOOR)
     return matrix
 
 
-def _rounded(scores: np.ndarray) -> np.ndarray:
-    return np.round(scores, SCORE_PLACES) + 0.0  # no negative zero
-
-
-def _best_columns(scores: np.ndarray, k: int) -> np.ndarray:
-    """Per row, the ``k`` columns of highest score in order; ties keep column order."""
-    width = scores.shape[1]
-    if k >= width:
-        return np.argsort(-scores, axis=1, kind="stable")
-    part = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-    kept = np.take_along_axis(scores, part, axis=1)
-    last = kept.min(axis=1)
-    out = np.take_along_axis(part, np.lexsort((part, -kept), axis=1), axis=1)
-    unclear = np.flatnonzero((scores >= last[:, None]).sum(axis=1) > k)  # ties across the cut
-    if unclear.size:
-        out[unclear] = np.argsort(-scores[unclear], axis=1, kind="stable")[:, :k]
-    return out
-
-
 # ---------------------------------------------------------------- top-k over two tables
 
 
@@ -89,55 +69,16 @@ def similar_items(
     k: int,
     metric: str = "cosine",
     temperature: float = 1.0,
-    block_rows: int = 16_384,
+    block_rows: int = 4096,
 ) -> DataFrame:
     """Exact best ``k`` items per query: (query_id, item_id, score, rank).
 
-    Both sides, (id, vector), are cut into blocks of about ``block_rows`` by id hash, so blocks are
-    even whatever the data. Each pair of blocks is one group: a matrix product that returns only its
-    best ``k`` per query. The scores of all pairs never exist as rows.
+    Both sides are (id, vector) with unique ids. Blocks of neighbouring vectors meet only where a bound on their scores
+    allows a better item (see ``nearest``); the scores of all pairs never exist as rows.
     """
     _check(metric, temperature)
-
-    def blocks(df: DataFrame) -> Column:
-        return df.agg(F.greatest(F.ceil(F.count("*") / block_rows), F.lit(1)).cast("int").alias("n")).scalar()
-
-    q_blocks, i_blocks = blocks(queries), blocks(items)
-    last_q, last_i = q_blocks - 1, i_blocks - 1
-    q = queries.select("query_id", F.col("vector").cast("array<double>").alias("vector")).select(
-        F.pmod(F.xxhash64("query_id"), q_blocks).cast("int").alias("qb"),
-        F.explode(F.sequence(F.lit(0), last_i)).alias("ib"), "query_id", "vector",
-    )
-    i = items.select("item_id", F.col("vector").cast("array<double>").alias("vector")).select(
-        F.explode(F.sequence(F.lit(0), last_q)).alias("qb"),
-        F.pmod(F.xxhash64("item_id"), i_blocks).cast("int").alias("ib"), "item_id", "vector",
-    )
-    schema = T.StructType([
-        T.StructField("query_id", queries.schema["query_id"].dataType),
-        T.StructField("item_id", items.schema["item_id"].dataType),
-        T.StructField("score", T.DoubleType()),
-    ])
-
-    def best_of_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "item_id": [], "score": []})
-        right = right.sort_values("item_id", ascending=False)
-        ids, candidates = right["item_id"].to_numpy(), _matrix(right["vector"], metric).T
-        wanted = _matrix(left["vector"], metric)
-        names, keep = left["query_id"].to_numpy(), min(k, len(ids))
-        parts = []
-        for start in range(0, len(names), 256):
-            scores = _rounded(wanted[start:start + 256] @ candidates / temperature)
-            best = _best_columns(scores, keep)
-            parts.append(pd.DataFrame({
-                "query_id": np.repeat(names[start:start + 256], keep),
-                "item_id": ids[best].ravel(),
-                "score": np.take_along_axis(scores, best, axis=1).ravel(),
-            }))
-        return pd.concat(parts, ignore_index=True)
-
-    found = q.groupBy("qb", "ib").cogroup(i.groupBy("qb", "ib")).applyInPandas(best_of_block, schema)
-    return top_k(found, k)
+    found = nearest.search(queries, items, k=k, metric=metric, temperature=temperature, block_rows=block_rows)
+    return top_k(found.best, k)
 
 
 def mark_truth(pairs: DataFrame, truth: DataFrame) -> DataFrame:
@@ -150,7 +91,7 @@ def mark_truth(pairs: DataFrame, truth: DataFrame) -> DataFrame:
 
 def evaluate_retrieval(
     queries: DataFrame, items: DataFrame, truth: DataFrame, *, ks: Sequence[int] = K_VALUES,
-    metric: str = "dot", prefix: str = "", block_rows: int = 16_384,
+    metric: str = "dot", prefix: str = "", block_rows: int = 4096,
 ) -> DataFrame:
     """Retrieval metrics of two embedding tables against true (query_id, item_id) pairs."""
     best = mark_truth(similar_items(queries, items, k=max(ks), metric=metric, block_rows=block_rows), truth)
@@ -208,7 +149,7 @@ def batch_similarity(batches: DataFrame, *, metric: str = "cosine", temperature:
             "batch": np.repeat(batch["batch"].to_numpy(), n),
             "query_id": np.repeat(batch["query_id"].to_numpy(), n),
             "item_id": np.tile(batch["item_id"].to_numpy(), n),
-            "score": _rounded(scores / temperature).ravel(),
+            "score": nearest.rounded(scores / temperature).ravel(),
             "label": (place[:, None] == place[None, :]).astype("int32").ravel(),
         })
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.operators import metrics as m
+from tallyloom.operators import nearest
 from tallyloom.operators import retrieval as r
 from tallyloom.plans.registry import query
 from tallyloom.sources import retail
@@ -123,6 +124,13 @@ def r4(spark, sf_dir):
     return r.similar_items(_vectors(spark, sf_dir, "query_id"), _vectors(spark, sf_dir, "item_id"), k=20)
 
 
+@query("r4_skipped_blocks", rounded=False)
+def r4_skipped(spark, sf_dir):
+    """How many pairs of blocks of the whole table a search for the best 20 leaves out."""
+    sides = _vectors(spark, sf_dir, "query_id"), _vectors(spark, sf_dir, "item_id")
+    return nearest.search(*sides, k=20, metric="cosine", temperature=1.0, block_rows=256).report()
+
+
 def _retrieval_sql(n_items: str = "(SELECT max(n) FROM totals)", prefix: str = "") -> str:
     """Needs ranked(query_id, label, rnk) and totals(query_id, n, rel)."""
     return f"""

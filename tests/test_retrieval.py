@@ -7,6 +7,8 @@ import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
+from tallyloom.operators import metrics as m
+from tallyloom.operators import nearest
 from tallyloom.operators import retrieval as r
 
 
@@ -50,8 +52,8 @@ def test_k_beyond_the_items(spark):
 
 def test_best_columns_handles_ties_across_the_cut():
     scores = np.array([[1.0, 2.0, 2.0, 2.0, 0.0], [5.0, 4.0, 3.0, 2.0, 1.0], [0.0, 0.0, 0.0, 0.0, 0.0]])
-    assert r._best_columns(scores, 2).tolist() == [[1, 2], [0, 1], [0, 1]]
-    assert r._best_columns(scores, 9).tolist()[0] == [1, 2, 3, 0, 4]
+    assert nearest.best_columns(scores, 2).tolist() == [[1, 2], [0, 1], [0, 1]]
+    assert nearest.best_columns(scores, 9).tolist()[0] == [1, 2, 3, 0, 4]
 
 
 def test_unknown_metric_and_temperature(spark):
@@ -101,3 +103,76 @@ def test_batch_pairs_with_a_short_last_batch(spark):
     got = r.batch_similarity(batches(spark, eye, eye, 2))
     assert got.count() == 4 + 4 + 1
     assert got.where("label = 1").count() == 5 and got.where("label = 1 and score = 1.0").count() == 5
+
+
+# ---------------------------------------------------------------- blocks and bounds
+
+
+def clustered(seed, n, width=8, clusters=6, spread=0.02):
+    rng = np.random.default_rng(seed)
+    centres = np.random.default_rng(1).normal(size=(clusters, width))
+    own = rng.integers(0, clusters, n)
+    return centres[own] * rng.uniform(0.8, 1.2, (n, 1)) + rng.normal(size=(n, width)) * spread
+
+
+def sides(spark, queries, items, kind="long"):
+    frame = lambda key, values: spark.createDataFrame(
+        [(i if kind == "long" else f"id {i:05}", None if v is None else [float(x) for x in v]) for i, v in enumerate(values)],
+        f"{key} {kind}, vector array<double>")
+    return frame("query_id", queries), frame("item_id", items)
+
+
+def best_by_sorting(queries, items, k, metric, temperature=1.0):
+    norm = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+    if metric == "cosine":
+        queries, items = norm(queries), norm(items)
+    scores = np.round(queries @ items.T / temperature, 9) + 0.0
+    out = []
+    for q, line in enumerate(scores):
+        order = sorted(range(len(line)), key=lambda i: (-line[i], -i))[:k]
+        out += [(q, i, rank, line[i]) for rank, i in enumerate(order, 1)]
+    return out
+
+
+@pytest.mark.parametrize("metric", ["dot", "cosine"])
+def test_bounds_lose_no_item_and_skip_far_blocks(spark, metric):
+    queries, items = clustered(2, 300), clustered(3, 1500)
+    items[100:500] = items[0]  # a hot vector
+    items[700] = 0
+    q, i = sides(spark, queries, items)
+    found = nearest.search(q, i, k=7, metric=metric, temperature=0.5, block_rows=64)
+    got = sorted((x.query_id, x.item_id, x.rank, x.score) for x in m.top_k(found.best, 7).collect())
+    assert [x[:3] for x in got] == [x[:3] for x in sorted(best_by_sorting(queries, items, 7, metric, 0.5), key=lambda x: x[:2])]
+    report = found.report().first()
+    assert report.block_pairs == found.query_blocks.count() * found.item_blocks.count() > 200
+    assert report.skipped_share > 0.6  # of six clusters most are too far
+    entries = found.best.groupBy("query_id").count().agg({"count": "max"}).first()[0]
+    assert entries <= 14
+
+
+def test_sent_vectors_do_not_grow_with_the_opposite_blocks(spark):
+    """More far blocks on the item side: no more blocks are sent."""
+    queries, near = clustered(2, 200, clusters=1), clustered(3, 300, clusters=1)
+    rng, sent = np.random.default_rng(9), []
+    for far in (600, 2400):
+        away = -near[rng.integers(0, 300, far)] + rng.normal(size=(far, 8)) * 0.02
+        q, i = sides(spark, queries, np.vstack([near, away]))
+        sent.append(nearest.search(q, i, k=5, metric="dot", temperature=1.0, block_rows=64).report().first())
+    assert sent[1].block_pairs > 2 * sent[0].block_pairs
+    assert sent[1].sent <= 1.5 * sent[0].sent
+
+
+def test_search_with_text_ids_nulls_and_few_items(spark):
+    queries, items = clustered(4, 40), clustered(5, 6)
+    items[3] = items[4]
+    q, i = sides(spark, [*queries, None], [*items, None], "string")
+    got = sorted((x.query_id, x.rank, x.item_id) for x in r.similar_items(q, i, k=10, metric="dot").collect())
+    want = sorted((f"id {a:05}", rank, f"id {b:05}") for a, b, rank, _ in best_by_sorting(queries, items, 10, "dot"))
+    assert got == want
+
+
+def test_search_over_empty_sides(spark):
+    full, nothing = clustered(4, 5), np.zeros((0, 8))
+    for queries, items in ((full, nothing), (nothing, full), (nothing, nothing)):
+        q, i = sides(spark, queries, items)
+        assert r.similar_items(q, i, k=3).collect() == []
