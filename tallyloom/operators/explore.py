@@ -7,11 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.functions import brackets
 from tallyloom.functions.counts import items_within_share, multiplicities
 from tallyloom.functions.expressions import bin_label, safe_ratio, text_columns
 from tallyloom.functions.ordering import exact_quantiles, named_column
 from tallyloom.operators.interactions import shared_keys
-from tallyloom.operators.quality import missing_by_column, moments, ranked_values, text_counts
+from tallyloom.operators.quality import missing_by_column, moments_of, ranked_values, text_counts
+from tallyloom.session import stored
 
 INF = float("inf")
 
@@ -98,10 +100,10 @@ def top_values(df: DataFrame, columns: Sequence[str], *, top: int, full_limit: i
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean, median, range, quartiles and missing share per numeric column."""
-    long = named_column(df, *columns)
-    quartiles = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    found = brackets.bracketed(df, columns)
+    quartiles = found.quantiles(brackets.QUARTILES, ["q1", "median", "q3"])
     holes = missing_by_column(df.select(*columns)).select("column", "total", "missing_count")
-    return moments(long).join(quartiles, "column").join(F.broadcast(holes), "column").select(
+    return moments_of(found).join(quartiles, "column").join(F.broadcast(holes), "column").select(
         "column", F.col("count").alias("valid"), percent(F.col("missing_count"), F.col("total")).alias("missing_pct"),
         "mean", "median", "min", "max", "q1", "q3",
     )
@@ -200,9 +202,10 @@ def article_sales(transactions: DataFrame, *, places: int = 2) -> DataFrame:
 
 def measure_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean, median and maximum per numeric column."""
-    long = named_column(df, *columns)
-    medians = exact_quantiles(long, ["column"], "value", [0.5], ["median"])
-    return moments(long).join(medians, "column").select("column", "mean", "median", "max")
+    # stored, as sketch and count read it: it is mostly an aggregate per key
+    found = brackets.bracketed(stored(df.select(*columns), "measures"), columns, [0.5])
+    medians = found.quantiles([0.5], ["median"])
+    return moments_of(found).join(medians, "column").select("column", "mean", "median", "max")
 
 
 def activity_segment() -> Column:
@@ -267,9 +270,9 @@ def sales_concentration(sales: DataFrame, count_col: str = "purchase_count") ->
 
 def price_description(transactions: DataFrame) -> DataFrame:
     """One row: count, mean, std, min, quartiles and max of the price."""
-    long = named_column(transactions, "price")
-    quartiles = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75], ["q25", "median", "q75"])
-    return moments(long).join(quartiles, "column").select("count", "mean", "std", "min", "q25", "median", "q75", "max")
+    found = brackets.bracketed(transactions, ["price"])
+    quartiles = found.quantiles(brackets.QUARTILES, ["q25", "median", "q75"])
+    return moments_of(found).join(quartiles, "column").select("count", "mean", "std", "min", "q25", "median", "q75", "max")
 
 
 def channel_statistics(transactions: DataFrame) -> DataFrame:

@@ -14,6 +14,10 @@ from tallyloom.operators.temporal import REFERENCE_DATE, Clock
 
 BESTSELLER_RANK = 100  # fixed value
 MATCH, OTHER = 1.0, 0.5  # fixed values: affinity of the favourite department, and of any other
+POPULARITY = (
+    "total_purchases", "unique_customers", "avg_selling_price", "price_volatility", "first_purchase_date",
+    "last_purchase_date", "repurchase_rate", "popularity_score", "popularity_rank", "is_bestseller",
+)
 FAVOURITES = {
     "department_name": ("favorite_department", "department_diversity"),
     "product_group_name": ("favorite_product_group", "product_group_diversity"),
@@ -146,12 +150,7 @@ def article_popularity(
     extra = [F.col(f"purchases_last_{d}_days") for d in lookbacks]
     if cold_start is not None:
         extra.append((F.col("total_purchases") < cold_start).alias("is_cold_start"))
-    return popular.select(
-        article_col,
-        "total_purchases", "unique_customers", "avg_selling_price", "price_volatility",
-        "first_purchase_date", "last_purchase_date", "repurchase_rate", "popularity_score",
-        "popularity_rank", "is_bestseller", *extra,
-    )
+    return popular.select(article_col, *POPULARITY, *extra)
 
 
 def monetary_percentiles(

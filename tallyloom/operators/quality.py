@@ -1,7 +1,7 @@
 """Data quality of any table: missing values, outliers, distributions, consistency, grades.
 
-Numeric columns are profiled together in long form (column, value): one aggregate for the moments
-and one (column, value) count, which serves distinct counts, exact quantiles and outlier counts.
+Numeric columns are profiled together: one aggregate for moments and sketches, one count inside the brackets that
+the sketches give, which serves exact quantiles and outlier counts.
 Per-column results have one row per schema column, so they are small and may be broadcast.
 """
 
@@ -12,8 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions import brackets
 from tallyloom.functions.expressions import missing, numeric_columns, safe_ratio, text_columns
-from tallyloom.functions.ordering import named_column, quantiles_of_counts, value_counts
+from tallyloom.functions.ordering import named_column, value_counts
 
 # Fixed values
 MAX_MISSING_RATE = 0.5
@@ -76,7 +77,7 @@ def missing_summary(by_column: DataFrame) -> DataFrame:
 def moments(long: DataFrame) -> DataFrame:
     """(column, count, mean, std, min, max, skewness, kurtosis), the last two bias-corrected."""
     value = F.col("value")
-    sums = long.where(value.isNotNull()).groupBy("column").agg(
+    return corrected(long.where(value.isNotNull()).groupBy("column").agg(
         F.count("*").alias("count"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
@@ -84,7 +85,11 @@ def moments(long: DataFrame) -> DataFrame:
         F.max(value).alias("max"),
         F.skewness(value).alias("_g1"),
         F.kurtosis(value).alias("_g2"),
-    )
+    ))
+
+
+def corrected(sums: DataFrame) -> DataFrame:
+    """``sums`` with the population's skewness ``_g1`` and kurtosis ``_g2`` corrected for the sample."""
     n = F.col("count").cast("double")
     skew = F.col("_g1") * F.try_divide(F.sqrt(n * (n - 1)), n - 2)
     kurt = F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("_g2") + 6)
@@ -96,29 +101,35 @@ def moments(long: DataFrame) -> DataFrame:
     )
 
 
-def _quartiles(counts: DataFrame) -> DataFrame:
-    return quantiles_of_counts(counts, ["column"], "value", [0.25, 0.5, 0.75], ["q25", "median", "q75"])
+def moments_of(found: brackets.Bracketed) -> DataFrame:
+    """(column, count, mean, std, min, max, _g1, _g2) of the sketched columns, one row each."""
+    schema = "column string, count long, mean double, std double, min double, max double, _g1 double, _g2 double"
+    return found.df.sparkSession.createDataFrame([tuple(r) for r in found.moments], schema)
 
 
 def outliers(
     df: DataFrame, columns: Sequence[str] | None = None, *, std_threshold: float = OUTLIER_STD,
     min_values: int = MIN_VALUES,
 ) -> DataFrame:
-    """IQR and z-score outliers per numeric column; columns with few values are left out."""
-    long = named_column(df, *(columns or numeric_columns(df)))
-    counts = value_counts(long, ["column"], "value")
+    """IQR and z-score outliers per numeric column; columns with few values are left out.
+
+    Two scans: moments and sketches, then the counts inside the brackets of the quartiles and of the outlier bounds,
+    whatever lies outside in one group per side (see ``brackets``).
+    """
+    found = brackets.bracketed(df, columns or numeric_columns(df), spread=IQR_FACTOR, mark_beyond=std_threshold)
+    quartiles = found.quantiles(brackets.QUARTILES, ["q25", "median", "q75"])
     stats = (
-        moments(long).where(F.col("count") >= min_values).join(_quartiles(counts), "column")
+        moments_of(found).where(F.col("count") >= min_values).join(quartiles, "column")
         .withColumn("lower_bound", F.col("q25") - IQR_FACTOR * (F.col("q75") - F.col("q25")))
         .withColumn("upper_bound", F.col("q75") + IQR_FACTOR * (F.col("q75") - F.col("q25")))
     )
     value = F.col("value")
     outside = (value < F.col("lower_bound")) | (value > F.col("upper_bound"))
-    distance = F.abs(F.try_divide(value - F.col("mean"), F.col("std")))
     carried = ("count", "lower_bound", "upper_bound", "mean", "std", "min", "max", "median")
+    counts = found.counts.select("column", "value", "marked", "n")
     tails = counts.join(F.broadcast(stats), "column").groupBy("column", *carried).agg(
         F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("iqr_count"),
-        F.coalesce(F.sum(F.when(distance > std_threshold, F.col("n"))), F.lit(0)).alias("zscore_count"),
+        F.coalesce(F.sum(F.when(F.col("marked"), F.col("n"))), F.lit(0)).alias("zscore_count"),
     )
     return tails.select(
         "column",
@@ -134,28 +145,47 @@ def outliers(
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, unique_values) of numeric columns, NULL and NaN left out."""
-    kinds = dict(df.dtypes)
-    present = [
-        F.nanvl(F.col(f"`{c}`"), F.lit(None).cast(kinds[c])) if kinds[c] in ("float", "double") else F.col(f"`{c}`")
-        for c in columns
-    ]
-    counts = df.agg(*[F.count_distinct(value).alias(c) for c, value in zip(columns, present)])
-    return counts.unpivot([], list(columns), "column", "unique_values")
-
+    """(column, unique_values) of numeric columns, NULL and NaN left out.
 
-def numeric_distributions(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    Columns of one type are counted together in long form: a row per distinct value is shuffled, no row is copied
+    per column beside it.
+    """
+    kinds = dict(df.dtypes)
+    families: dict[str, list[str]] = {}
+    for c in columns:
+        kind = kinds[c]
+        families.setdefault("double" if kind in ("float", "double") else kind if "decimal" in kind else "bigint", []).append(c)
+    out = None
+    for kind, names in families.items():
+        values = [F.col(f"`{c}`").cast(kind) for c in names]
+        if kind == "double":
+            values = [F.nanvl(v, F.lit(None).cast("double")) for v in values]
+        entries = [F.struct(F.lit(c).alias("column"), v.alias("v")) for c, v in zip(names, values)]
+        each = df.select(F.inline(F.array(*entries))).where(F.col("v").isNotNull()).distinct()
+        counted = each.groupBy("column").agg(F.count("*").alias("unique_values"))
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
+def numeric_distributions(
+    df: DataFrame, columns: Sequence[str] | None = None, *, approximate: bool = False
+) -> DataFrame:
     """Count, distinct values, moments and quartiles per numeric column with at least two values.
 
     Distinct values are counted in the column's own type: as doubles, large integers would fall together.
+    ``approximate`` takes the quartiles from the sketches alone.
     """
     names = list(columns or numeric_columns(df))
-    long = named_column(df, *names)
-    counts = value_counts(long, ["column"], "value")
-    unique = distinct_values(df, names)
+    q_names = ["q25", "median", "q75"]
+    if approximate:
+        sketches = brackets.sketched(df, names)
+        at = [F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(n) for p, n in zip(brackets.QUARTILES, q_names)]
+        joined = corrected(sketches).join(sketches.select("column", *at), "column")
+    else:
+        found = brackets.bracketed(df, names)
+        joined = corrected(moments_of(found)).join(found.quantiles(brackets.QUARTILES, q_names), "column")
     return (
-        moments(long).where(F.col("count") >= 2)
-        .join(unique, "column").join(_quartiles(counts), "column")
+        joined.where(F.col("count") >= 2).join(distinct_values(df, names), "column")
         .select("column", "count", "unique_values", "mean", "std", "min", "max", "median", "skewness",
                 "kurtosis", "q25", "q75")
     )

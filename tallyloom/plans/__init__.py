@@ -12,6 +12,7 @@ _MODULES = (
     "evaluation_queries",
     "quality_queries",
     "explore_queries",
+    "daily_queries",
 )
 
 

@@ -1 +1 @@
-"""Empty on purpose: every operator of this engine is a bounded batch job."""
+"""Features kept up to date day by day."""
