@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import numbered, small_batches, stored, text_or_empty
 
-BLOCK_WORDS = 1 << 21
-TEXTS_TOGETHER = 1 << 22  # characters that are cut into words at a time
+BLOCK_WORDS = 1 << 19
+TEXTS_TOGETHER = 1 << 20  # characters that are cut into words at a time
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 SCALE = 1_000_000
 RELATION = "block long, pieces binary, positions binary, items binary"
@@ -65,7 +65,7 @@ class Block:
         inside = kind == 0
         begin = inside.copy()
         begin[1:] &= ~inside[:-1]
-        piece = np.cumsum(kind == 2)[begin] + self.opened
+        piece = (np.cumsum(kind == 2, dtype=np.int32)[begin] + self.opened).astype(np.int32)
         self.opened += int((kind == 2).sum())
         at = np.flatnonzero(begin[inside])
         data = self.lower[raw[inside]].tobytes()
@@ -74,7 +74,7 @@ class Block:
         coded = words.dictionary_encode()
         numbers = self.numbers
         own = [numbers.setdefault(w, len(numbers)) for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
-        self.words.append(np.array(own, np.int64)[coded.indices.to_numpy()])
+        self.words.append(np.array(own, np.int32)[coded.indices.to_numpy()])
         self.pieces.append(piece)
         self.size += len(at)
 
