@@ -240,3 +240,54 @@ def test_sharding_of_texts_that_all_have_a_copy(spark):
 def test_isotonic_blocks_rise():
     blocks = quality_classifier.pooled(np.ones(6), np.array([0.1, 0.4, 0.2, 0.2, 0.9, 0.8]))
     assert [round(m, 6) for _, m, _, _ in blocks] == [0.1, 0.266667, 0.85]
+
+
+def test_granted_flows_leave_no_shard_overfull():
+    rng = random.Random(7)
+    for _ in range(200):
+        n = rng.randint(2, 6)
+        room = [rng.randint(0, 30) for _ in range(n)]
+        load = [rng.randint(0, r) for r in room]
+        wishes = {(a, b): rng.randint(1, 20) for a in range(n) for b in range(n) if a != b and rng.random() < 0.6}
+        wishes = {k: min(v, load[k[0]]) for k, v in wishes.items() if load[k[0]]}
+        given = sharding.granted(wishes, load, room)
+        for s in range(n):
+            out, into = (sum(v for k, v in given.items() if k[i] == s) for i in (0, 1))
+            assert load[s] + into - out <= room[s] or not into
+        assert all(0 < v <= wishes[k] for k, v in given.items())
+    assert sharding.granted({(0, 1): 5, (1, 0): 5}, [9, 9], [9, 9]) == {(0, 1): 5, (1, 0): 5}  # a full swap
+
+
+def test_labels_travel_from_hub_to_hub(spark):
+    """Chains of hubs that share documents, started at random: cut edges fall from round to round."""
+    rng, links = random.Random(5), []
+    for chain in range(30):
+        for hub in range(8):
+            members = [f"{chain}-{hub}-{i}" for i in range(6)] + [f"{chain}-{hub}-shared", f"{chain}-{hub + 1}-shared"]
+            links += [(m, f"{chain}/{hub}") for m in members]
+    nodes = {name: i for i, name in enumerate(sorted({m for m, _ in links}))}
+    frame = spark.createDataFrame([(nodes[m], h) for m, h in links], "node long, hub string")
+    start = spark.createDataFrame([(i, rng.randrange(4)) for i in nodes.values()], "node long, shard int")
+    room = [len(nodes) // 4 + 120] * 4
+    found = sharding.propagated(frame, start, room, 12)
+    cut = found.cut_edges
+    assert all(b <= a for a, b in zip(cut, cut[1:])) and cut[-1] < cut[0] / 4
+    load = found.labels.groupBy("shard").count().collect()
+    assert sum(r["count"] for r in load) == len(nodes) and max(r["count"] for r in load) <= room[0] + 60
+    # node 5 is in no hub with a document of shard 0, but its neighbours come to be there
+    links = [(n, h) for h, own in {"x": (1, 2, 3), "y": (2, 3, 6, 4, 7), "z": (4, 7, 5)}.items() for n in own]
+    start = [(1, 0), (2, 0), (3, 0), (6, 0), (4, 1), (7, 1), (5, 2)]
+    found = sharding.propagated(
+        spark.createDataFrame(links, "node long, hub string"), spark.createDataFrame(start, "node long, shard int"), [9, 9, 9], 9)
+    assert {r.node: r.shard for r in found.labels.collect()} == {n: 0 for n, _ in start}
+    assert found.cut_edges[-1] == 0 and len(found.cut_edges) == 3
+
+
+def test_propagation_without_links_or_room(spark):
+    nothing = spark.createDataFrame([], "node long, hub string")
+    found = sharding.propagated(nothing, spark.createDataFrame([], "node long, shard int"), [1, 1], 3)
+    assert found.cut_edges == [0] and found.labels.collect() == []
+    links = spark.createDataFrame([(0, "a"), (1, "a"), (2, "b"), (3, "b")], "node long, hub string")
+    start = spark.createDataFrame([(0, 0), (1, 1), (2, 0), (3, 1)], "node long, shard int")
+    found = sharding.propagated(links, start, [2, 2], 3)
+    assert found.cut_edges[0] == 2
