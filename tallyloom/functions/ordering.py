@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.session import stored
+
 SPLITS = 511
 
 
@@ -119,6 +121,23 @@ def with_dense_rank(df: DataFrame, col: str, out: str, *, descending: bool = Fal
     return df.join(ranks, col, "left")
 
 
+def with_place(df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+    """``df``, stored, plus the 1-based place of each row in its group by ``order``.
+
+    Rows are sorted by range, one partition a task; places inside a partition follow from the row numbers stored with
+    the rows, and offsets are cumulated over one row per group and partition.
+    """
+    keys = [F.col(c) for c in group]
+    sorted_rows = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    placed = stored(sorted_rows.withColumn("_at", F.monotonically_increasing_id()), "places").withColumn(
+        "_part", F.shiftright("_at", 33))
+    spans = placed.groupBy(*group, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    upto = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = spans.withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)) + 1 - F.col("_first"))
+    return placed.join(offsets.drop("_first", "_n"), [*group, "_part"]).withColumn(
+        out, F.col("_at") + F.col("_before")).drop("_at", "_part", "_before")
+
+
 def value_counts(long: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """(group, value, n) over the non-NULL values."""
     return long.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"))

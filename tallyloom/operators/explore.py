@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import brackets
 from tallyloom.functions.counts import items_within_share, multiplicities
 from tallyloom.functions.expressions import bin_label, safe_ratio, text_columns
-from tallyloom.functions.ordering import exact_quantiles, named_column
+from tallyloom.functions.ordering import exact_quantiles, named_column, with_place
 from tallyloom.operators.interactions import shared_keys
 from tallyloom.operators.quality import missing_by_column, moments_of, ranked_values, text_counts
 from tallyloom.session import stored
@@ -74,27 +74,27 @@ def overview(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def top_values(df: DataFrame, columns: Sequence[str], *, top: int, full_limit: int | None = None) -> DataFrame:
-    """Most frequent values per column with shares of all rows and of the known values.
+def top_values(df: DataFrame, columns: Sequence[str], *, top: int | None = None) -> DataFrame:
+    """Values per column by rank, with shares of all rows and of the known values; all of them, or the ``top`` first.
 
-    With ``full_limit``, a column of at most that many distinct values lists them all.
+    ``more`` is the number of values beyond those listed.
     """
     counts = text_counts(df, columns)
     distinct = counts.groupBy("column").agg(F.count("*").alias("distinct"), F.sum("n").alias("valid"))
     holes = missing_by_column(df.select(*columns)).select("column", "total", "missing_count")
     size = holes.join(distinct, "column", "left").fillna(0, ["distinct", "valid"])
-    shown = F.lit(top)
-    if full_limit is not None:
-        shown = F.when(F.col("distinct") <= full_limit, F.col("distinct")).otherwise(top)
-    ranked = ranked_values(counts, max(top, full_limit or 0))
-    listed = size.join(ranked, "column", "left").where(F.col("rank").isNull() | (F.col("rank") <= shown))
-    return listed.select(
+    if top is None:
+        ranked = with_place(counts, ["column"], [F.desc("n"), F.col("value")], "rank")
+        more = F.lit(0)
+    else:
+        ranked, more = ranked_values(counts, top), F.greatest(F.col("distinct") - top, F.lit(0))
+    return size.join(ranked, "column", "left").select(
         "column", "distinct", "valid", F.col("missing_count").alias("missing"),
         percent(F.col("missing_count"), F.col("total")).alias("missing_pct"),
         "rank", "value", "n",
         percent(F.col("n"), F.col("total")).alias("pct_of_rows"),
         percent(F.col("n"), F.col("valid")).alias("pct_of_valid"),
-        F.greatest(F.col("distinct") - shown, F.lit(0)).alias("more"),
+        more.alias("more"),
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import functions as F
 
+from tallyloom.functions import frequent
 from tallyloom.operators import explore as x
 from tallyloom.plans.quality_queries import CUSTOMER_COLUMNS, long_sql, missing_sql
 from tallyloom.plans.registry import query
@@ -54,16 +55,18 @@ def n1(spark, sf_dir):
     })
 
 
-def _top_sql(table: str, columns: Sequence[str], top: int, full: int | None = None) -> str:
-    shown = f"CASE WHEN d.distinct_n <= {full} THEN d.distinct_n ELSE {top} END" if full else str(top)
+def _top_sql(table: str, columns: Sequence[str], top: int | None = None) -> str:
+    """All values by rank, or the ``top`` first."""
+    shown = f"WHERE rank <= {top}" if top else ""
+    more = f"greatest(distinct_n - {top}, 0)" if top else "0"
     return f"""
 , long AS ({long_sql(table, columns, 'VARCHAR')})
 , counts AS (SELECT "column", value, count(*) AS n FROM long WHERE value IS NOT NULL GROUP BY ALL)
 , ranked AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS rank FROM counts)
 , d AS (SELECT "column", count(DISTINCT value) AS distinct_n, count(value) AS valid, count(*) AS total FROM long GROUP BY "column")
 SELECT "column", distinct_n AS "distinct", valid, total - valid AS missing, (total - valid) * 100.0 / total AS missing_pct, rank,
-  value, n, n * 100.0 / total AS pct_of_rows, n * 100.0 / valid AS pct_of_valid, greatest(distinct_n - {shown}, 0) AS more
-FROM d JOIN ranked USING ("column") WHERE rank <= {shown}"""
+  value, n, n * 100.0 / total AS pct_of_rows, n * 100.0 / valid AS pct_of_valid, {more} AS more
+FROM d JOIN ranked USING ("column") {shown}"""
 
 
 TOP_DOUBLES = ("missing_pct", "pct_of_rows", "pct_of_valid")
@@ -74,6 +77,26 @@ def n2(spark, sf_dir):
     return x.top_values(retail.customers(spark, sf_dir), CUSTOMER_TEXTS, top=3)
 
 
+LINE_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity")
+
+
+@query("n2_frequent_keys", f"""
+WITH long AS ({long_sql('lineitem', LINE_KEYS, 'VARCHAR')})
+, counts AS (SELECT "column", value, count(*) AS n FROM long WHERE value IS NOT NULL GROUP BY ALL)
+SELECT "column", row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS rank, value, n FROM counts
+QUALIFY rank <= 10""", views=False)
+def n2_keys(spark, sf_dir):
+    lines = retail.table(spark, sf_dir, "lineitem")
+    return frequent.frequent_values(_as_text(lines, LINE_KEYS), LINE_KEYS, 10)
+
+
+def _as_text(df, columns):
+    """Dates, times and numbers in the text form of the SQL they are compared with."""
+    kinds = dict(df.dtypes)
+    text = {"timestamp": "yyyy-MM-dd HH:mm:ss", "timestamp_ntz": "yyyy-MM-dd HH:mm:ss"}
+    return df.select(*(F.date_format(c, text[kinds[c]]).alias(c) if kinds[c] in text else F.col(c).cast("string").alias(c) for c in columns))
+
+
 @query("n3_numeric_summary", f"""
 , long AS ({long_sql('customers', CUSTOMER_NUMBERS)})
 SELECT "column", count(value) AS valid, (count(*) - count(value)) * 100.0 / count(*) AS missing_pct, avg(value) AS mean,
@@ -103,14 +126,14 @@ def n4(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-@query("n5_hierarchy_profile", _top_sql("articles", HIERARCHY, 5, 15), doubles=TOP_DOUBLES)
+@query("n5_hierarchy_profile", _top_sql("articles", HIERARCHY), doubles=TOP_DOUBLES)
 def n5(spark, sf_dir):
-    return x.top_values(retail.articles(spark, sf_dir), HIERARCHY, top=5, full_limit=15)
+    return x.top_values(retail.articles(spark, sf_dir), HIERARCHY)
 
 
-@query("n6_visual_profile", _top_sql("articles", VISUALS, 5, 10), doubles=TOP_DOUBLES)
+@query("n6_visual_profile", _top_sql("articles", VISUALS), doubles=TOP_DOUBLES)
 def n6(spark, sf_dir):
-    return x.top_values(retail.articles(spark, sf_dir), VISUALS, top=5, full_limit=10)
+    return x.top_values(retail.articles(spark, sf_dir), VISUALS)
 
 
 TEXTS = ("prod_name", "product_type_name", "detail_desc")

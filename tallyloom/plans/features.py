@@ -35,19 +35,10 @@ FEATURE_GROUPS = {
         "total_purchases", "unique_customers", "repurchase_rate", "popularity_score", "is_bestseller",
     ),
 }
-CUSTOMER_CATEGORICAL = {
-    "age_group": 10, "club_member_status": 2, "fashion_news_active": 2,
-    "customer_lifecycle_stage": 5, "favorite_department": 20, "favorite_color": 50,
-}
 CUSTOMER_NUMERICAL = {
     "days_since_last_purchase": 365, "purchase_frequency": 0, "avg_purchase_price": 0.05,
     "total_transactions": 0,
 }
-ARTICLE_CATEGORICAL = {
-    "department_name": 20, "product_group_name": 50, "garment_group_name": 30,
-    "colour_group_name": 50, "perceived_colour_value_name": 20, "index_name": 10,
-    "section_name": 50, "graphical_appearance_name": 30,
-}
 ARTICLE_NUMERICAL = {
     "popularity_score": 0, "avg_selling_price": 0.05, "sales_velocity": 0,
     "days_since_first_sale": 365,

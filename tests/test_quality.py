@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
+from tallyloom.functions import frequent
 from tallyloom.operators import explore as x
 from tallyloom.operators import quality as q
 
@@ -90,11 +94,42 @@ def test_mean_score_is_never_graded_d(spark):
     assert got == [("average", "C"), ("bad", "D")]
 
 
-def test_top_values_limits(spark):
-    df = spark.createDataFrame([(str(i % 7), str(i % 3)) for i in range(21)], "many string, few string")
-    got = x.top_values(df, ["many", "few"], top=2, full_limit=5)
-    assert got.where("column = 'many'").count() == 2 and got.where("column = 'few'").count() == 3
-    assert {r["more"] for r in got.where("column = 'many'").collect()} == {5}
+def test_top_values_and_all_values(spark):
+    df = spark.createDataFrame([(str(i % 7), str(i % 3)) for i in range(21)], "many string, few string").repartition(5)
+    got = x.top_values(df, ["many", "few"], top=2)
+    assert got.where("column = 'many'").count() == 2 and {r["more"] for r in got.collect()} == {5, 1}
+    every = x.top_values(df, ["many", "few"])
+    listed = {c: [r["value"] for r in every.where(F.col("column") == c).orderBy("rank").collect()] for c in ("many", "few")}
+    assert listed == {"many": [str(i) for i in range(7)], "few": ["0", "1", "2"]}
+    assert every.agg(F.max("more"), F.max("rank")).first()[:] == (0, 7)
+
+
+@pytest.mark.parametrize("buckets", [16, 1 << 16])
+def test_frequent_values_equal_counting(spark, buckets):
+    rng = random.Random(3)
+    hot = ["hot"] * 500 + ["warm"] * 90
+    skewed = [rng.choice(hot) if rng.random() < 0.5 else f"v{rng.randrange(400)}" for _ in range(3000)]
+    even = [f"k{i % 1000}" for i in range(3000)]  # every value three times: ties alone decide
+    few = ["a", None, "b", "b"] + [None] * 2996
+    df = spark.createDataFrame(list(zip(skewed, even, few)), "skewed string, even string, few string").repartition(4)
+    got = rows(frequent.frequent_values(df, ["skewed", "even", "few"], 5, buckets=buckets), "column", "rank")
+    want = []
+    for name, values in (("even", even), ("few", few), ("skewed", skewed)):
+        best = sorted((-n, v) for v, n in Counter(v for v in values if v is not None).items())[:5]
+        want += [(name, rank, v, -n) for rank, (n, v) in enumerate(best, 1)]
+    assert got == want
+    assert frequent.frequent_values(df.limit(0), ["even"], 5).collect() == []
+
+
+def test_only_candidate_values_are_counted(spark, monkeypatch):
+    """With some hot values nearly all others stay uncounted."""
+    counted = {}
+    keep = frequent.stored
+    monkeypatch.setattr(frequent, "stored", lambda df, label: counted.setdefault(label, keep(df, label)))
+    rng = random.Random(4)
+    values = [(f"hot{rng.randrange(5)}" if rng.random() < 0.3 else f"v{rng.randrange(10**9)}",) for _ in range(20_000)]
+    frequent.frequent_values(spark.createDataFrame(values, "v string"), ["v"], 5).collect()
+    assert counted["first-candidates"].count() + counted["further-candidates"].count() < 200
 
 
 def test_relations_of_constants(spark):
