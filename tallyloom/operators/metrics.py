@@ -4,8 +4,8 @@ A list is ranked by score, equal scores by item id descending. A cut-off ``k`` b
 list is left out of the report. Labels are 0 or 1.
 
 Skew: one query may own any share of the rows. Top-k ranks are limited before the shuffle, tie
-groups are counted before it, and the running counts of a list longer than ``LONG_LIST`` are made in
-score slices (see ``ladder``), so no task needs a whole list.
+groups are counted before it, and running counts are made in score slices (see ``ladder``), so no
+task needs a whole list.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from tallyloom.session import stored
 
 K_VALUES = (1, 5, 10, 20, 50, 100)  # fixed values
 DIVERSITY_K = 10  # fixed value
-LONG_LIST = 4_000_000
+SLICE_ROWS = 1_000_000
 LIST_SPLITS = 16_383
 
 
@@ -33,9 +33,10 @@ def top_k(scored: DataFrame, k: int) -> DataFrame:
     return known.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def list_totals(ties: DataFrame) -> DataFrame:
+def list_totals(scored: DataFrame) -> DataFrame:
     """(query_id, n, rel): list length and number of relevant items."""
-    return ties.groupBy("query_id").agg(F.sum("n").alias("n"), F.sum("rel").alias("rel"))
+    return scored.where(F.col("query_id").isNotNull()).groupBy("query_id").agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(F.col("label").cast("long")), F.lit(0)).alias("rel"))
 
 
 def tie_groups(scored: DataFrame) -> DataFrame:
@@ -46,44 +47,22 @@ def tie_groups(scored: DataFrame) -> DataFrame:
     )
 
 
-def ladder(ties: DataFrame, *, long_list: int = LONG_LIST, splits: int = LIST_SPLITS) -> DataFrame:
-    """Tie groups with ``n_before`` and ``rel_before``, the counts at higher scores of the query.
+def ladder(ties: DataFrame, *, slice_rows: int = SLICE_ROWS, splits: int = LIST_SPLITS) -> DataFrame:
+    """Tie groups, stored, with ``n_before`` and ``rel_before``, the counts at higher scores of the query.
 
-    Lists of at most ``long_list`` tie groups are cumulated in one window each. The others (at most
-    rows / ``long_list`` queries, hence the broadcast) are cut into score slices at points drawn
-    from their own rows, so a list gets slices in proportion to its length; slice totals are
-    cumulated first, then each slice is a window of its own.
+    Scores are cut into slices at points drawn from all tie groups, one point per ``slice_rows`` of them. Totals per query
+    and slice are cumulated first, then each (query, slice) is a window of its own, however long the list.
     """
-    # true for every tie group; naming both counts lets all branches share one aggregate
-    counted = (F.col("n") > 0) & (F.col("rel") >= 0)
-    long = F.broadcast(
-        ties.groupBy("query_id").agg(F.count_if(counted).alias("_groups"))
-        .where(F.col("_groups") > long_list).select("query_id")
-    )
-
-    def cumulated(rows: DataFrame, *keys: str) -> DataFrame:
-        above = (
-            Window.partitionBy(*keys).orderBy(F.col("score").desc())
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        return rows.select(
-            "*",
-            F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_before"),
-            F.coalesce(F.sum("rel").over(above), F.lit(0)).alias("rel_before"),
-        )
-
-    short_lists = cumulated(ties.join(long, "query_id", "left_anti"), "query_id")
-
-    of_long = ties.join(long, "query_id", "left_semi")
+    ties = stored(ties, "tie-groups")
+    wanted = min(splits, ties.count() // slice_rows)
     points = (
-        of_long.where(counted).select("query_id", "score")
-        .orderBy(F.xxhash64("query_id", "score"), "query_id", "score")
-        .limit(splits)
-        .agg(F.array_sort(F.collect_list("score")).alias("points"))
+        ties.where(F.col("score").isNotNull()).select("query_id", "score").orderBy(F.xxhash64("query_id", "score"), "query_id", "score")
+        .limit(wanted).agg(F.array_sort(F.collect_list("score")).alias("points"))
     )
-    sliced = of_long.withColumn("_points", points.scalar()).withColumn(
-        "_slice", points_below("_points", "score", splits)
-    ).drop("_points")
+    # without points all scores are one slice; a missing score is the lowest
+    cut = F.lit(0) if not wanted else F.when(F.col("score").isNull(), -1).otherwise(points_below("_points", "score", wanted))
+    sliced = ties.withColumn("_points", points.scalar()) if wanted else ties
+    sliced = sliced.withColumn("_slice", cut).drop("_points")
     higher = (
         Window.partitionBy("query_id").orderBy(F.col("_slice").desc())
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -97,12 +76,22 @@ def ladder(ties: DataFrame, *, long_list: int = LONG_LIST, splits: int = LIST_SP
             F.coalesce(F.sum("_rel").over(higher), F.lit(0)).alias("_rel_off"),
         )
     )
-    long_lists = cumulated(sliced, "query_id", "_slice").join(offsets, ["query_id", "_slice"]).select(
+    above = (
+        Window.partitionBy("query_id", "_slice").orderBy(F.col("score").desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    inside = sliced.select(
+        "*",
+        F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n_before"),
+        F.coalesce(F.sum("rel").over(above), F.lit(0)).alias("rel_before"),
+    )
+    if not wanted:
+        return inside.drop("_slice")
+    return inside.join(offsets, ["query_id", "_slice"]).select(
         "query_id", "score", "n", "rel",
         (F.col("n_before") + F.col("_n_off")).alias("n_before"),
         (F.col("rel_before") + F.col("_rel_off")).alias("rel_before"),
     )
-    return short_lists.unionByName(long_lists)
 
 
 # ---------------------------------------------------------------- per query
@@ -225,7 +214,7 @@ def retrieval_report(hits: DataFrame, ks: Sequence[int], longest: Column) -> Dat
 
 def retrieval_metrics(scored: DataFrame, ks: Sequence[int] = K_VALUES) -> DataFrame:
     """Precision, recall, hit rate and F1 at every k, averaged over all queries."""
-    hits = list_totals(tie_groups(scored)).join(hits_at(top_k(scored, max(ks)), ks), "query_id", "left")
+    hits = list_totals(scored).join(hits_at(top_k(scored, max(ks)), ks), "query_id", "left")
     return retrieval_report(hits, ks, F.col("n"))
 
 

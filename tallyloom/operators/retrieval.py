@@ -156,17 +156,41 @@ def batch_similarity(batches: DataFrame, *, metric: str = "cosine", temperature:
     return batches.groupBy("batch").applyInPandas(score, schema)
 
 
-def batch_loss(batches: DataFrame, *, metric: str = "cosine", temperature: float = 1.0) -> DataFrame:
-    """In-batch softmax loss: (rows, loss), the mean cross-entropy of each row against its own item."""
-    _check(metric, temperature)
+def batch_loss(
+    batches: DataFrame, *, metric: str = "cosine", temperature: float = 1.0, tile: int = 1024
+) -> DataFrame:
+    """In-batch softmax loss: (rows, loss), the mean cross-entropy of each row against its own item.
 
-    def losses(batch: pd.DataFrame) -> pd.DataFrame:
-        scores = _matrix(batch["query_vector"], metric) @ _matrix(batch["item_vector"], metric).T / temperature
+    Rows and columns of a batch are cut into tiles of ``tile`` places. A pair of tiles gives each row the logarithm of
+    its sum of exponentials there, and these are merged around their maximum, so a task holds two tiles, whatever the
+    size of a batch.
+    """
+    _check(metric, temperature)
+    own = F.floor(F.col("place") / tile).cast("int")
+    last = batches.groupBy("batch").agg(F.max(own).alias("_last"))
+    tiled = batches.withColumn("_own", own).join(last, "batch")
+    others = F.explode(F.sequence(F.lit(0), F.col("_last")))
+    named = [F.col("batch").alias("batch"), F.col("place").alias("place")]  # both sides come from one table
+    rows = tiled.select(*named, F.col("_own").alias("row_tile"), others.alias("column_tile"), F.col("query_vector").alias("vector"))
+    columns = tiled.select(*named, others.alias("row_tile"), F.col("_own").alias("column_tile"), F.col("item_vector").alias("vector"))
+
+    def part(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        scores = _matrix(left["vector"], metric) @ _matrix(right["vector"], metric).T / temperature
         peak = scores.max(axis=1)
-        log_sum = np.log(np.exp(scores - peak[:, None]).sum(axis=1)) + peak
-        return pd.DataFrame({"rows": [len(batch)], "total": [float((log_sum - np.diag(scores)).sum())]})
+        places, listed = left["place"].to_numpy(), right["place"].to_numpy()
+        own_score = np.where(places[:, None] == listed[None, :], scores, 0.0).sum(axis=1)
+        found = np.isin(places, listed)
+        return pd.DataFrame({
+            "batch": left["batch"].to_numpy(), "place": places,
+            "log_sum": np.log(np.exp(scores - peak[:, None]).sum(axis=1)) + peak, "own": np.where(found, own_score, np.nan),
+        })
 
-    sums = batches.groupBy("batch").applyInPandas(losses, "rows long, total double")
-    return sums.agg(
-        F.sum("rows").alias("rows"), F.try_divide(F.sum("total"), F.sum("rows").cast("double")).alias("loss")
+    key = ["batch", "row_tile", "column_tile"]
+    parts = rows.groupBy(*key).cogroup(columns.groupBy(*key)).applyInPandas(part, "batch long, place int, log_sum double, own double")
+    merged = parts.groupBy("batch", "place").agg(  # one number per tile of the batch
+        F.collect_list("log_sum").alias("sums"), F.max(F.nanvl("own", F.lit(None).cast("double"))).alias("own"))
+    top = F.array_max("sums")
+    whole = top + F.log(F.aggregate("sums", F.lit(0.0), lambda total, x: total + F.exp(x - top)))
+    return merged.agg(
+        F.count("*").alias("rows"), F.try_divide(F.sum(whole - F.col("own")), F.count("*").cast("double")).alias("loss")
     )

@@ -176,6 +176,16 @@ def r6(spark, sf_dir):
     return r.batch_loss(_batches(spark, sf_dir), temperature=0.1)
 
 
+@query("r6_whole_batch_loss", f"""{VECTOR_SQL}
+, s AS (SELECT a.vec_id AS i, b.vec_id AS j, {_cosine_sql('a.q', 'b.i')} / 0.1 AS x FROM vecs a, vecs b)
+, per_row AS (SELECT i, ln(sum(exp(x))) - max(x) FILTER (i = j) AS l FROM s GROUP BY i)
+SELECT count(*) AS "rows", avg(l) AS loss FROM per_row""", doubles=("loss",), views=False)
+def r6_whole(spark, sf_dir):
+    """The whole table as one batch, in tiles."""
+    batches = r.with_batches(_towers(spark, sf_dir), "query_id", 1 << 30)
+    return r.batch_loss(batches, temperature=0.1, tile=256)
+
+
 # ---------------------------------------------------------------- ranking metrics in SQL
 
 RANKING_SQL = """

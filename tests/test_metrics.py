@@ -86,7 +86,7 @@ def test_long_lists_are_cumulated_in_slices(spark):
     ties = m.tie_groups(frame(spark, lists))
     plain = sorted(map(tuple, m.ladder(ties).collect()))
     for splits in (1, 5, 64):
-        assert sorted(map(tuple, m.ladder(ties, long_list=10, splits=splits).collect())) == plain
+        assert sorted(map(tuple, m.ladder(ties, slice_rows=2, splits=splits).collect())) == plain
 
 
 def test_worked_values_with_ties(spark):

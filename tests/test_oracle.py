@@ -12,6 +12,7 @@ QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
 PYTHON_QUERIES = {  # the block products
     "r1_batch_similarity", "r3_block_scores", "r4_top_candidates", "r5_retrieval_evaluation", "r6_batch_loss",
+    "r6_whole_batch_loss",
 }
 
 

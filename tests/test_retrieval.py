@@ -98,6 +98,19 @@ def test_batch_loss(spark):
     assert got["rows"] == 2 and got["loss"] == pytest.approx(0.313262, abs=1e-6)
 
 
+@pytest.mark.parametrize("tile", [1, 3, 1024])
+def test_batch_loss_does_not_depend_on_tiles(spark, tile):
+    rng = np.random.default_rng(8)
+    q, i = rng.normal(size=(23, 6)) * 9, rng.normal(size=(23, 6)) * 9
+    total = 0.0
+    for at in range(0, 23, 10):
+        scores = q[at:at + 10] @ i[at:at + 10].T / 0.05  # far beyond what exp holds
+        total += sum(np.logaddexp.reduce(line) - line[n] for n, line in enumerate(scores))
+    got = r.batch_loss(batches(spark, q.tolist(), i.tolist(), 10), metric="dot", temperature=0.05, tile=tile).first()
+    assert got["rows"] == 23 and got["loss"] == pytest.approx(total / 23)
+    assert tuple(r.batch_loss(batches(spark, q.tolist(), i.tolist(), 10).limit(0), tile=tile).first()) == (0, None)
+
+
 def test_batch_pairs_with_a_short_last_batch(spark):
     eye = np.eye(5).tolist()
     got = r.batch_similarity(batches(spark, eye, eye, 2))
