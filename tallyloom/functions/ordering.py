@@ -220,10 +220,14 @@ def named_column(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*doubles).unpivot([], list(columns), "column", "value")
 
 
+SMALL_STEP = 1_000_000  # rows below one boundary whose keys a single task may put in order
+
+
 @dataclass(frozen=True)
 class Cut:
-    """A key of an ordered table: its levels as literals, the rows before it, and its own rows."""
+    """A key of an ordered table: its levels, their literals, the rows before it, and its own rows."""
 
+    levels: tuple[Column, ...]
     keys: tuple[Column, ...]
     values: tuple
     position: int
@@ -231,45 +235,53 @@ class Cut:
     size: int
 
 
-def cut_point(df: DataFrame, levels: Sequence[Column], position: Callable[[Column], Column]) -> Cut | None:
-    """The key at a 0-based position of a table ordered by ``levels``, found without sorting it.
+def cut_point(
+    df: DataFrame, chains: Sequence[Sequence[Column]], position: Callable[[Column], Column], *, small: int = SMALL_STEP
+) -> Cut | None:
+    """The key at a 0-based position of a table ordered by the last level of each chain, found without sorting it.
 
-    ``levels`` are order keys, each refining the one before (day, then key prefix, then key); none is
+    In a chain each level refines the one before (day, hour, moment; key prefix, key); none is
     NULL. Level by level the rows of the boundary key are counted per next key and the counts
     cumulated, so a window only ever sees the distinct keys of one level below one boundary. Each
     level is one job that returns one row, and filters the next one by a literal, which prunes the
-    scan. ``position`` maps the row count to the wanted position; None if that is past the end.
+    scan. Where at most ``small`` rows are left, a chain goes to its last level at once; a single row needs no further
+    level. ``position`` maps the row count
+    to the wanted position; None if that is past the end.
     """
-    rows, keys, values = df, [], []
+    rows, levels, keys, values = df, [], [], []
     at, before, size = None, 0, 0
-    for level in levels:
-        counts = rows.groupBy(level.alias("_key")).agg(F.count("*").alias("_n"))
-        upto = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
-        wanted = position(F.sum("_n").over(Window.partitionBy())).cast("long") if at is None else F.lit(at)
-        placed = counts.select(
-            "_key", "_n",
-            (F.lit(before) + F.coalesce(F.sum("_n").over(upto), F.lit(0))).alias("_before"),
-            wanted.alias("_at"),
-        )
-        found = placed.where(
-            (F.col("_before") <= F.col("_at")) & (F.col("_at") < F.col("_before") + F.col("_n"))
-        ).withColumn("_text", F.col("_key").cast("string")).first()
-        if found is None:
-            return None
-        at, before, size = found["_at"], found["_before"], found["_n"]
-        # as text, so that no date or time passes through the time zone of this machine
-        key = F.lit(found["_text"]).cast(counts.schema["_key"].dataType)
-        keys.append(key)
-        values.append(found["_key"])
-        rows = rows.where(level == key)
-    return Cut(tuple(keys), tuple(values), at, before, size)
-
-
-def before_cut(levels: Sequence[Column], cut: Cut) -> tuple[Column, Column]:
+    for chain in chains:
+        for place, level in enumerate(chain):
+            if at is not None and (size == 1 or size <= small and place < len(chain) - 1):
+                continue
+            counts = rows.groupBy(level.alias("_key")).agg(F.count("*").alias("_n"))
+            upto = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+            wanted = position(F.sum("_n").over(Window.partitionBy())).cast("long") if at is None else F.lit(at)
+            placed = counts.select(
+                "_key", "_n",
+                (F.lit(before) + F.coalesce(F.sum("_n").over(upto), F.lit(0))).alias("_before"),
+                wanted.alias("_at"),
+            )
+            found = placed.where(
+                (F.col("_before") <= F.col("_at")) & (F.col("_at") < F.col("_before") + F.col("_n"))
+            ).withColumn("_text", F.col("_key").cast("string")).first()
+            if found is None:
+                return None
+            at, before, size = found["_at"], found["_before"], found["_n"]
+            # as text, so that no date or time passes through the time zone of this machine
+            key = F.lit(found["_text"]).cast(counts.schema["_key"].dataType)
+            levels.append(level)
+            keys.append(key)
+            values.append(found["_key"])
+            rows = rows.where(level == key)
+    return Cut(tuple(levels), tuple(keys), tuple(values), at, before, size)
+
+
+def before_cut(cut: Cut) -> tuple[Column, Column]:
     """(key is before the cut, key is the cut), compared level by level: a later level is only
     evaluated where all earlier ones are equal."""
     before, same = F.lit(False), F.lit(True)
-    for level, at in reversed(list(zip(levels, cut.keys))):
+    for level, at in reversed(list(zip(cut.levels, cut.keys))):
         before = (level < at) | ((level == at) & before)
         same = (level == at) & same
     return before, same

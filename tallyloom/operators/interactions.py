@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.expressions import safe_ratio
 from tallyloom.functions.ordering import dense_rank_of_values, exact_quantiles, named_column
 from tallyloom.operators.articles import is_kidswear, is_menswear
 from tallyloom.operators.temporal import REFERENCE_DATE, Clock
+from tallyloom.session import stored
 
 BESTSELLER_RANK = 100  # fixed value
 MATCH, OTHER = 1.0, 0.5  # fixed values: affinity of the favourite department, and of any other
@@ -26,7 +27,7 @@ FAVOURITES = {
 
 
 def with_article_attributes(transactions: DataFrame, articles: DataFrame) -> DataFrame:
-    """Every transaction with the preference attributes of its article (NULL if unknown).
+    """Every transaction or pair with the preference attributes of its article (NULL if unknown).
 
     No broadcast hint: a small catalogue is broadcast once its size is known, a large one is
     sort-merge joined, where a hot article is split by the adaptive skew join.
@@ -35,18 +36,46 @@ def with_article_attributes(transactions: DataFrame, articles: DataFrame) -> Dat
     return transactions.join(attributes, "article_id", "left")
 
 
+def pair_counts(transactions: DataFrame, *aggregates: Column, customer_col: str = "customer_id") -> DataFrame:
+    """(customer, article, n, prices, price_sum, squares, price_min, price_max, further aggregates), stored.
+
+    The one pass over the transactions that preferences, diversity, popularity and shared keys are made from. Of
+    ``squares``, the squared distances from the pair's mean, sums over pairs follow (see ``price_statistics``).
+    """
+    price = F.col("price").cast("double")
+    return stored(transactions.groupBy(customer_col, "article_id").agg(
+        F.count("*").alias("n"), F.count(price).alias("prices"), F.sum(price).alias("price_sum"),
+        (F.var_pop(price) * F.count(price)).alias("squares"), F.min(price).alias("price_min"), F.max(price).alias("price_max"),
+        *aggregates,
+    ), "pair-counts")
+
+
+def price_statistics(mean: str, std: str, least: str, most: str) -> tuple[list[Column], list[Column]]:
+    """(aggregates over pairs, columns over them): mean, sample deviation, minimum and maximum of the prices."""
+    shift = F.col("price_sum") * F.col("price_sum") / F.col("prices")
+    aggregates = [
+        F.sum("prices").alias("_prices"), F.sum("price_sum").alias("_price_sum"), F.sum(F.col("squares") + shift).alias("_raw"),
+        F.min("price_min").alias(least), F.max("price_max").alias(most),
+    ]
+    n, total = F.col("_prices").cast("double"), F.col("_price_sum")
+    variance = F.greatest(F.col("_raw") - total * total / n, F.lit(0.0)) / F.when(n > 1, n - 1)
+    # one price, or equal ones: no rounding error of the difference may stay
+    spread = F.when((n > 1) & (F.col(least) == F.col(most)), 0.0).otherwise(F.sqrt(variance))
+    return aggregates, [F.try_divide(total, n).alias(mean), F.when(n > 0, spread).alias(std), F.col(least), F.col(most)]
+
+
 def favourites(attributed: DataFrame, customer_col: str = "customer_id") -> DataFrame:
-    """Most frequent value and number of values per customer and attribute.
+    """Most frequent value and number of values per customer and attribute, from pairs with their counts ``n``.
 
     Ties go to the alphabetically first value. Rows collapse to (customer, attribute, value) counts
     before the shuffle, so a customer with very many rows is spread over its values.
     """
     counts = (
-        attributed.select(customer_col, *FAVOURITES)
-        .unpivot([customer_col], list(FAVOURITES), "attribute", "value")
+        attributed.select(customer_col, "n", *FAVOURITES)
+        .unpivot([customer_col, "n"], list(FAVOURITES), "attribute", "value")
         .where(F.col("value").isNotNull() & F.col(customer_col).isNotNull())
         .groupBy(customer_col, "attribute", "value")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     aggregates = []
     for attribute, (favourite, diversity) in FAVOURITES.items():
@@ -58,15 +87,14 @@ def favourites(attributed: DataFrame, customer_col: str = "customer_id") -> Data
 
 
 def preference_aggregates() -> list[Column]:
-    price, index = F.col("price"), F.col("index_name")
+    """Over pairs with their counts and article attributes."""
+    index, n = F.col("index_name"), F.col("n")
+    prices, _ = price_statistics("avg_purchase_price", "price_std", "min_purchase_price", "max_purchase_price")
     return [
-        F.count("*").alias("_rows"),
-        F.avg(price).alias("avg_purchase_price"),
-        F.stddev_samp(price).alias("price_std"),
-        F.min(price).alias("min_purchase_price"),
-        F.max(price).alias("max_purchase_price"),
-        F.avg(F.when(is_menswear(index), 1.0).otherwise(0.0)).alias("menswear_ratio"),
-        F.avg(F.when(is_kidswear(index), 1.0).otherwise(0.0)).alias("kidswear_ratio"),
+        F.sum(n).alias("_rows"),
+        *prices,
+        (F.sum(F.when(is_menswear(index), n).otherwise(0)) / F.sum(n)).alias("menswear_ratio"),
+        (F.sum(F.when(is_kidswear(index), n).otherwise(0)) / F.sum(n)).alias("kidswear_ratio"),
     ]
 
 
@@ -84,10 +112,7 @@ def preference_columns() -> list[Column]:
             "department_concentration"
         ),
         F.coalesce(F.col("favorite_color") == "Black", F.lit(False)).alias("prefers_black"),
-        F.col("avg_purchase_price"),
-        F.col("price_std"),
-        F.col("min_purchase_price"),
-        F.col("max_purchase_price"),
+        *price_statistics("avg_purchase_price", "price_std", "min_purchase_price", "max_purchase_price")[1],
         (F.col("max_purchase_price") - F.col("min_purchase_price")).alias("price_range"),
         F.col("menswear_ratio"),
         F.col("kidswear_ratio"),
@@ -98,10 +123,9 @@ def preference_columns() -> list[Column]:
 def customer_preferences(
     transactions: DataFrame, articles: DataFrame, *, customer_col: str = "customer_id"
 ) -> DataFrame:
-    """One row per customer with favourites, diversity, price and gender preferences."""
-    attributed = with_article_attributes(
-        transactions.select(customer_col, "article_id", "price"), articles
-    ).where(F.col(customer_col).isNotNull())
+    """One row per customer with favourites, diversity, price and gender preferences, from one pass over the transactions."""
+    pairs = pair_counts(transactions.where(F.col(customer_col).isNotNull()), customer_col=customer_col)
+    attributed = with_article_attributes(pairs, articles)
     grouped = attributed.groupBy(customer_col).agg(*preference_aggregates())
     joined = grouped.join(favourites(attributed, customer_col), customer_col, "left")
     return joined.select(customer_col, *preference_columns())
@@ -119,7 +143,9 @@ def popularity_aggregates(date_col: str = "t_dat", customer_col: str = "customer
 
 
 def with_popularity(grouped: DataFrame) -> DataFrame:
-    """Repurchase rate, score, dense rank and bestseller mark over ``popularity_aggregates``."""
+    """Repurchase rate, score, dense rank and bestseller mark over ``popularity_aggregates``, which are stored: the
+    ranks read them twice."""
+    grouped = stored(grouped, "popularity")
     total, unique = F.col("total_purchases").cast("double"), F.col("unique_customers").cast("double")
     scored = grouped.withColumn("repurchase_rate", safe_ratio(total, unique)).withColumn(
         "popularity_score", F.sqrt(total * unique)
@@ -133,12 +159,13 @@ def with_popularity(grouped: DataFrame) -> DataFrame:
 def article_popularity(
     transactions: DataFrame, *, article_col: str = "article_id", customer_col: str = "customer_id",
     date_col: str = "t_dat", lookbacks: Sequence[int] = (), reference_date: str = REFERENCE_DATE,
-    cold_start: int | None = None,
+    cold_start: int | None = None, trending: int | None = None,
 ) -> DataFrame:
     """One row per sold article with its popularity and dense rank (best score is rank 1).
 
     ``lookbacks`` adds purchase counts of the last days before the reference date, ``cold_start`` a
-    mark for articles with fewer purchases than that.
+    mark for articles with fewer purchases than that, ``trending`` one for those with at least as many in the shortest
+    lookback.
     """
     known = transactions.where(F.col(article_col).isNotNull())
     recent = []
@@ -150,9 +177,86 @@ def article_popularity(
     extra = [F.col(f"purchases_last_{d}_days") for d in lookbacks]
     if cold_start is not None:
         extra.append((F.col("total_purchases") < cold_start).alias("is_cold_start"))
+    if trending is not None:
+        extra.append((F.col(f"purchases_last_{min(lookbacks)}_days") >= trending).alias("is_trending"))
     return popular.select(article_col, *POPULARITY, *extra)
 
 
+def best_articles(
+    preferences: DataFrame, articles: DataFrame, transactions: DataFrame, *, k: int = 10
+) -> DataFrame:
+    """The ``k`` sold articles of highest affinity per customer: (customer_id, article_id, department_affinity, rank).
+
+    Articles of equal affinity are ordered by purchases, then id. The affinity matrix stays sparse: only cells of the
+    favourite department differ from the default, so a customer's list is the department's best articles, filled up
+    from the best of all others. Lists are made per department, at most ``k`` + ``k`` rows each, and joined.
+    """
+    sales = transactions.groupBy("article_id").agg(F.count("*").alias("_sales"))
+    sold = articles.select("article_id", "department_name").join(sales, "article_id")
+    order = [F.desc("_sales"), F.col("article_id")]
+    inside = Window.partitionBy("department_name").orderBy(*order)
+    own = stored(sold.withColumn("_place", F.row_number().over(inside)).where(F.col("_place") <= k), "department-best")
+    # with at most k of each department, the k best outside any one are among the first 2 k
+    departments = preferences.select("favorite_department").distinct()
+    best = F.array_sort(F.collect_list(F.struct((-F.col("_sales")).alias("s"), "article_id", "department_name")))
+    everything = own.orderBy(*order).limit(2 * k).agg(best.alias("all")).select(F.col("all")).scalar()
+    match = own.groupBy(F.col("department_name").alias("favorite_department")).agg(
+        F.array_sort(F.collect_list(F.struct("_place", "article_id"))).alias("_own"))
+    lists = departments.join(match, "favorite_department", "left").withColumn("_all", everything)
+    others = F.filter("_all", lambda a: ~F.coalesce(a["department_name"] == F.col("favorite_department"), F.lit(False)))
+    entry = lambda a, value: F.struct(a["article_id"].alias("article_id"), F.lit(value).alias("department_affinity"))
+    listed = F.concat(
+        F.transform(F.coalesce("_own", F.array().cast("array<struct<_place:int,article_id:bigint>>")), lambda a: entry(a, MATCH)),
+        F.transform(others, lambda a: entry(a, OTHER)))
+    lists = lists.select(F.col("favorite_department").alias("_department"), F.slice(listed, 1, k).alias("_list"))
+    joined = preferences.join(lists, F.col("favorite_department").eqNullSafe(F.col("_department")))
+    return joined.select("customer_id", F.posexplode("_list").alias("_at", "_entry")).select(
+        "customer_id", "_entry.article_id", "_entry.department_affinity", (F.col("_at") + 1).alias("rank"))
+
+
+def article_affinity(preferences: DataFrame, articles: DataFrame) -> DataFrame:
+    """The affinity matrix summed over customers, per article, from its sparse form: matches count 1.0, all others 0.5."""
+    customers = preferences.agg(F.count("*").alias("n")).scalar()
+    fans = preferences.groupBy(F.col("favorite_department").alias("department_name")).agg(F.count("*").alias("matching_customers"))
+    matches = F.coalesce(F.col("matching_customers"), F.lit(0))
+    return articles.select("article_id", "department_name").join(fans, "department_name", "left").select(
+        "article_id", matches.alias("matching_customers"),
+        (matches * F.lit(MATCH) + (customers - matches) * F.lit(OTHER)).alias("total_affinity"))
+
+
+SKETCH_ENTRIES = 12  # of two: counts up to about 4,096 are exact, larger ones within some three percent
+
+
+def monthly_sketches(transactions: DataFrame, *, key: str = "article_id", other: str = "customer_id", date_col: str = "t_dat") -> DataFrame:
+    """(key, month, sketch): the distinct ``other`` of each key and month as a theta sketch of bounded size."""
+    month = F.date_format(date_col, "yyyy-MM").alias("month")
+    known = transactions.where(F.col(key).isNotNull() & F.col(date_col).isNotNull() & F.col(other).isNotNull())
+    return known.groupBy(key, month).agg(F.theta_sketch_agg(other, SKETCH_ENTRIES).alias("sketch"))
+
+
+def distinct_in_windows(sketches: DataFrame, windows: Mapping[str, tuple[str, str]], *, key: str = "article_id") -> DataFrame:
+    """(key, distinct count per window); a window is (first month, last month), both included."""
+    return _in_windows(sketches, windows, key).select(
+        key, *(F.coalesce(F.theta_sketch_estimate(name), F.lit(0)).alias(name) for name in windows))
+
+
+def retained(sketches: DataFrame, before: tuple[str, str], after: tuple[str, str], *, key: str = "article_id") -> DataFrame:
+    """(key, retained, lost): how many of the earlier window come back in the later one, and how many do not."""
+    found = _in_windows(sketches, {"a": before, "b": after}, key)
+    both = F.theta_intersection("a", "b")
+    return found.select(
+        key, F.when(F.col("b").isNull(), 0).otherwise(F.coalesce(F.theta_sketch_estimate(both), F.lit(0))).alias("retained"),
+        F.coalesce(F.when(F.col("b").isNull(), F.theta_sketch_estimate("a")).otherwise(
+            F.theta_sketch_estimate(F.theta_difference("a", "b"))), F.lit(0)).alias("lost"))
+
+
+def _in_windows(sketches: DataFrame, windows: Mapping[str, tuple[str, str]], key: str) -> DataFrame:
+    month = F.col("month")
+    inside = lambda w: (month >= w[0]) & (month <= w[1])
+    return sketches.groupBy(key).agg(*(
+        F.theta_union_agg(F.when(inside(w), F.col("sketch")), SKETCH_ENTRIES).alias(name) for name, w in windows.items()))
+
+
 def monetary_percentiles(
     transactions: DataFrame, percentiles: Sequence[int] = (25, 50, 75, 90, 95), *,
     customer_col: str = "customer_id",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.hashing import key_modulo, key_number, text_key
 from tallyloom.functions.ordering import before_cut, cut_point, dense_rank_of_values
 from tallyloom.session import stored
+from tallyloom.sources.feature_store import FeatureTable
 
 # Fixed values
 MAX_INTERACTIONS = 50
@@ -73,31 +74,34 @@ def temporal_split(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, validation): the first ``floor(rows * (1 - validation))`` rows by date, and the rest.
 
-    Rows without a date come last, rows of one date are ordered by the md5 of ``tie_cols`` (default: all columns). The cut is
-    located first, by counting (day, of timestamps also hour, minute and second, then key prefixes, then key),
-    and both halves are plain filters on the table. If the cut falls among equal rows, their copies are divided
-    by number.
+    Rows without a date come last, rows of one date are ordered by the md5 of ``tie_cols`` (default: all columns), rows
+    equal in those by the md5 of all columns. The cut is located first, by counting (day, of timestamps also hour, minute
+    and second, then key prefixes, then key, then the same of the row), and both halves are plain filters on the table.
+    If the cut falls among equal rows, their copies are divided by number.
     """
     ties = list(tie_cols or transactions.columns)
     key = text_key(*[F.col(c) for c in ties])
     moment = F.coalesce(date_col, F.lit(LAST_DATE).cast(transactions.schema[date_col].dataType))
-    levels = [moment, F.substring(key, 1, 4), F.substring(key, 1, 8), key]
     kind = transactions.schema[date_col].dataType.typeName()
+    times: list[Column] = []
     if kind == "timestamp":
-        levels = [F.to_date(moment), *(F.date_trunc(unit, moment) for unit in ("hour", "minute", "second")), *levels]
+        times = [F.to_date(moment), *(F.date_trunc(unit, moment) for unit in ("hour", "minute", "second"))]
     elif kind == "timestamp_ntz":  # without a zone: date_trunc would shift hours that a zone skips
-        levels = [F.to_date(moment), F.hour(moment), F.minute(moment), F.second(moment), *levels]
+        times = [F.to_date(moment), F.hour(moment), F.minute(moment), F.second(moment)]
     elif kind != "date":
-        levels = [F.to_date(moment), *levels]
-    cut = cut_point(transactions, levels, lambda rows: F.floor(rows * F.lit(1.0 - validation)))
+        times = [F.to_date(moment)]
+    prefixes = lambda text: [F.substring(text, 1, 4), F.substring(text, 1, 8), text]
+    chains = [[*times, moment], prefixes(key)]
+    if set(ties) != set(transactions.columns):  # rows may be equal in the tie columns and differ elsewhere
+        chains.append(prefixes(text_key(*[F.col(c) for c in transactions.columns])))
+    cut = cut_point(transactions, chains, lambda rows: F.floor(rows * F.lit(1.0 - validation)))
     if cut is None:  # nothing to validate on
         return transactions, transactions.where(F.lit(False))
-    before, same = before_cut(levels, cut)
+    before, same = before_cut(cut)
     copies = cut.position - cut.before
     if copies == 0:
         return transactions.where(before), transactions.where(~before)
-    # The cut falls among equal rows: count them out. Tie columns may leave out other columns, so
-    # the few distinct rows are put in order first.
+    # The cut falls among equal rows: count them out. They are one row, or a few whose text form is the same.
     columns = transactions.columns
     ordered = Window.orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
     equal = (
@@ -187,8 +191,8 @@ def negative_samples(
     taken = known.join(customer_index, "customer_id").join(article_index, "article_id").select("_c", "_a")
     unknown = stored(drawn.join(taken, ["_c", "_a"], "left_anti"), "unknown-cells")
     levels = [F.shiftright("_j", 26), F.shiftright("_j", 13), F.col("_j")]
-    cut = cut_point(unknown, levels, lambda rows: F.lit(target))
-    kept = unknown if cut is None else unknown.where(before_cut(levels, cut)[0])
+    cut = cut_point(unknown, [levels], lambda rows: F.lit(target))
+    kept = unknown if cut is None else unknown.where(before_cut(cut)[0])
     kept = kept.join(customer_index, "_c").join(article_index, "_a")
     return kept.select("customer_id", "article_id", F.lit(0).alias("label"))
 
@@ -285,17 +289,23 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str] | None = None
 
 
 def attach_features(
-    samples: DataFrame, customer_features: DataFrame, article_features: DataFrame
+    samples: DataFrame, customer_features: DataFrame | FeatureTable, article_features: DataFrame | FeatureTable
 ) -> DataFrame:
     """Samples with the features of their customer and article; an unknown key is an error.
 
     Customer columns get the prefix ``customer_``, article columns ``article_``. Of several feature
-    rows of a key the first by its other columns counts, so samples are never multiplied.
+    rows of a key the first by its other columns counts, so samples are never multiplied. Tables of the feature
+    store have one row per key and are joined bucket by bucket.
     """
     out = samples
     for key, features in (("customer_id", customer_features), ("article_id", article_features)):
         prefix = key.removesuffix("id")
-        side = first_per_key(features.where(F.col(key).isNotNull()), key)
+        if isinstance(features, FeatureTable):
+            side = features.read()
+        else:
+            known = features.where(F.col(key).isNotNull())
+            repeated = known.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+            side = known if repeated.isEmpty() else first_per_key(known, key)
         renamed = side.select(
             key, *[F.col(c).alias(c if c.startswith(prefix) else prefix + c) for c in side.columns if c != key],
             F.lit(True).alias("_found"),

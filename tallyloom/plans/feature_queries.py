@@ -413,13 +413,13 @@ _temporal_query("i7_popularity_rank", "article_popularity", POPULARITY_SQL, arti
 SELECT article_id, count(*) FILTER (t_dat >= DATE '{REF}' - 7) AS purchases_last_7_days,
   count(*) FILTER (t_dat >= DATE '{REF}' - 30) AS purchases_last_30_days,
   count(*) FILTER (t_dat >= DATE '{REF}' - 90) AS purchases_last_90_days,
-  count(*) FILTER (t_dat >= DATE '{REF}' - 365) AS purchases_last_365_days, count(*) < 25 AS is_cold_start
-FROM tx GROUP BY article_id""")
+  count(*) FILTER (t_dat >= DATE '{REF}' - 365) AS purchases_last_365_days, count(*) < 25 AS is_cold_start,
+  count(*) FILTER (t_dat >= DATE '{REF}' - 7) >= 3 AS is_trending FROM tx GROUP BY article_id""")
 def i6_windows(spark, sf_dir):
     days = (7, 30, 90, 365)
     return inter.article_popularity(
-        retail.transactions(spark, sf_dir), lookbacks=days, reference_date=REF, cold_start=25
-    ).select("article_id", *[f"purchases_last_{d}_days" for d in days], "is_cold_start")
+        retail.transactions(spark, sf_dir), lookbacks=days, reference_date=REF, cold_start=25, trending=3
+    ).select("article_id", *[f"purchases_last_{d}_days" for d in days], "is_cold_start", "is_trending")
 
 
 @query("i4_monetary_percentiles", """
@@ -519,6 +519,50 @@ def j5_grid(spark, sf_dir):
     )
 
 
+@query("j5_best_articles", f"""{PREFERENCE_SQL}
+, sold AS (SELECT article_id, any_value(department_name) AS department_name, count(*) AS sales
+  FROM tx JOIN articles USING (article_id) GROUP BY article_id)
+SELECT customer_id, article_id, CASE WHEN favorite_department = department_name THEN CAST(1 AS DOUBLE)
+  ELSE CAST(0.5 AS DOUBLE) END AS department_affinity,
+  row_number() OVER (PARTITION BY customer_id ORDER BY favorite_department IS NOT DISTINCT FROM department_name DESC,
+    sales DESC, article_id) AS rank
+FROM customer_preferences CROSS JOIN sold QUALIFY rank <= 20""", doubles=("department_affinity",))
+def j5_best(spark, sf_dir):
+    transactions, articles = retail.transactions(spark, sf_dir), retail.articles(spark, sf_dir)
+    return inter.best_articles(_preferences(spark, sf_dir), articles, transactions, k=20)
+
+
+@query("j5_article_affinity", f"""{PREFERENCE_SQL}
+SELECT article_id, count(*) FILTER (favorite_department = department_name) AS matching_customers,
+  sum(CASE WHEN favorite_department = department_name THEN 1.0 ELSE 0.5 END) AS total_affinity
+FROM customer_preferences CROSS JOIN articles GROUP BY article_id""", doubles=("total_affinity",))
+def j5_articles(spark, sf_dir):
+    return inter.article_affinity(_preferences(spark, sf_dir), retail.articles(spark, sf_dir))
+
+
+SALES_WINDOWS = {"last_year": ("2000-08", "2001-07"), "spring_2000": ("2000-03", "2000-05"), "ever": ("0000-00", "9999-99")}
+
+
+def _sketches(spark, sf_dir):
+    return inter.monthly_sketches(retail.transactions(spark, sf_dir))
+
+
+@query("i6_distinct_windows", "SELECT article_id, " + ", ".join(
+    f"count(DISTINCT customer_id) FILTER (strftime(t_dat, '%Y-%m') BETWEEN '{a}' AND '{b}') AS {name}"
+    for name, (a, b) in SALES_WINDOWS.items()) + " FROM tx GROUP BY article_id")
+def i6_distinct(spark, sf_dir):
+    return inter.distinct_in_windows(_sketches(spark, sf_dir), SALES_WINDOWS)
+
+
+@query("i6_retention", """
+, seen AS (SELECT DISTINCT article_id, customer_id, year(t_dat) AS y FROM tx WHERE year(t_dat) IN (1999, 2000))
+, pairs AS (SELECT article_id, customer_id, count(*) = 2 AS again, min(y) AS first FROM seen GROUP BY ALL)
+SELECT article_id, count(*) FILTER (again) AS retained, count(*) FILTER (NOT again AND first = 1999) AS lost
+FROM (SELECT DISTINCT article_id FROM tx) LEFT JOIN pairs USING (article_id) GROUP BY article_id""")
+def i6_retained(spark, sf_dir):
+    return inter.retained(_sketches(spark, sf_dir), ("1999-01", "1999-12"), ("2000-01", "2000-12"))
+
+
 query("p1_training_features_customers", J2_SQL, doubles=J2_DOUBLES)(
     lambda spark, sf_dir: features.training_features(
         retail.customers(spark, sf_dir), retail.articles(spark, sf_dir), retail.transactions(spark, sf_dir),

@@ -54,15 +54,15 @@ def customer_table(
 ) -> DataFrame:
     """Customer features, history and preferences; customers without purchases keep NULLs.
 
-    History and preferences group by the same key, so both sets of aggregates run in one hash
-    aggregate over the transactions. ``article_id`` must be unique in ``articles``.
+    The transactions are read once, into (customer, article) pairs with mergeable aggregates, from which history,
+    preferences and favourites are made. ``article_id`` must be unique in ``articles``.
     """
-    attributed = inter.with_article_attributes(
-        transactions.select("customer_id", "article_id", "t_dat", "price"), articles
-    ).where(F.col("customer_id").isNotNull())
-    clock = temp.Clock(attributed, "t_dat", reference_date)
+    clock = temp.Clock(transactions, "t_dat", reference_date)
+    known = transactions.where(F.col("customer_id").isNotNull())
+    pairs = inter.pair_counts(known, *temp.pair_aggregates(clock))
+    attributed = inter.with_article_attributes(pairs, articles)
     grouped = attributed.groupBy("customer_id").agg(
-        *temp.customer_aggregates(clock), *inter.preference_aggregates()
+        *temp.merged_aggregates(), *inter.preference_aggregates()
     )
     history = grouped.join(inter.favourites(attributed), "customer_id", "left").select(
         "customer_id", *temp.customer_columns(clock), *inter.preference_columns()

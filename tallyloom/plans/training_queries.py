@@ -16,6 +16,7 @@ from tallyloom.plans.feature_queries import (
 )
 from tallyloom.plans.registry import query
 from tallyloom.sources import retail
+from tallyloom.sources.feature_store import write_bucketed
 
 # together unique per transaction, all integers
 TIES = ("order_id", "line_no", "supplier_id", "amount_cents")
@@ -138,6 +139,35 @@ def d5(spark, sf_dir):
     return both.select(*TIES, "customer_id", "article_id", "t_dat", "part")
 
 
+HOT_COLUMNS = ("t_dat", "hot", "customer_id", "order_id", "line_no")
+
+
+@query("d5_split_among_ties", f"""
+, rows_ AS (SELECT t_dat, article_id % 2 AS hot, customer_id, order_id, line_no FROM tx WHERE t_dat >= DATE '1996-01-01')
+, numbered AS (SELECT *, row_number() OVER (ORDER BY date_trunc('year', t_dat), md5(CAST(hot AS VARCHAR)),
+  md5({" || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in ("year", *HOT_COLUMNS[1:]))})) AS place, count(*) OVER () AS n
+  FROM (SELECT *, CAST(date_trunc('year', t_dat) AS DATE) AS year FROM rows_))
+SELECT year, hot, customer_id, order_id, line_no, CASE WHEN place <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'validation' END AS part
+FROM numbered""")
+def d5_ties(spark, sf_dir):
+    """By year, ties by one of two values: the cut falls among rows that only their other columns tell apart."""
+    tx = retail.transactions(spark, sf_dir).where("t_dat >= '1996-01-01'").select(
+        F.trunc("t_dat", "year").alias("year"), (F.col("article_id") % 2).alias("hot"), "customer_id", "order_id", "line_no")
+    halves = tr.temporal_split(tx, date_col="year", tie_cols=["hot"])
+    return halves[0].withColumn("part", F.lit("train")).unionByName(halves[1].withColumn("part", F.lit("validation")))
+
+
+@query("d5_events_by_time", """
+SELECT event_id, user_id, event_type, CASE WHEN row_number() OVER (ORDER BY ts, md5(CAST(user_id AS VARCHAR)),
+  md5(event_id || '|' || user_id || '|' || event_type)) <= floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) THEN 'train'
+  ELSE 'validation' END AS part FROM events""", views=False)
+def d5_events(spark, sf_dir):
+    events = retail.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    halves = tr.temporal_split(events, date_col="ts", tie_cols=["user_id"])
+    both = halves[0].withColumn("part", F.lit("train")).unionByName(halves[1].withColumn("part", F.lit("validation")))
+    return both.drop("ts")
+
+
 @query("d5_split_by_date", """
 SELECT CASE WHEN t_dat <= DATE '2000-12-31' THEN 'train' ELSE 'validation' END AS part, count(*) AS n,
   min(t_dat) AS first_date, max(t_dat) AS last_date
@@ -250,6 +280,23 @@ def j7(spark, sf_dir):
     return tr.attach_features(samples, customers, styled)
 
 
+@query("j7_bucketed_features", f"""{POSITIVES_SQL}{CUSTOMER_SQL}{ARTICLE_SQL}
+SELECT customer_id, article_id, recency, age_group AS customer_age_group, lifecycle_stage AS customer_lifecycle_stage,
+  age_filled AS customer_age_filled, department_name AS article_department_name, is_black AS article_is_black,
+  description_length AS article_description_length
+FROM positives JOIN customer_basic USING (customer_id) JOIN article_basic USING (article_id)""",
+       doubles=("customer_age_filled",))
+def j7_bucketed(spark, sf_dir):
+    """As j7, from feature tables that are written bucketed by their key."""
+    customers = cust.customer_features(retail.customers(spark, sf_dir)).select("customer_id", *CF)
+    articles = retail.articles(spark, sf_dir)
+    styled = articles.select("*", *art.style_columns()).select("article_id", *AF)
+    samples = positives(spark, sf_dir).select("customer_id", "article_id", "recency")
+    return tr.attach_features(
+        samples, write_bucketed(customers, "customer_features", "customer_id", buckets=8),
+        write_bucketed(styled, "article_features", "article_id", buckets=8))
+
+
 @query("j8_first_match_lookup", f"""{POSITIVES_SQL}
 , first_sale AS (SELECT article_id, t_dat AS article_first_sold, customer_id AS article_first_buyer FROM tx
   QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY t_dat, {', '.join(TIES)}) = 1)

@@ -205,5 +205,4 @@ def article_popularity(state: State) -> DataFrame:
         F.try_divide("price_sum", F.col("prices").cast("double")).alias("avg_selling_price"),
         F.sqrt(F.try_divide("squares", (F.when(F.col("prices") > 1, F.col("prices") - 1)).cast("double"))).alias("price_volatility"),
         F.col("first").alias("first_purchase_date"), F.col("last").alias("last_purchase_date"))
-    # the score is needed twice, for the ranks and for the rows
-    return interactions.with_popularity(stored(grouped, "popularity")).select(state.key, *interactions.POPULARITY)
+    return interactions.with_popularity(grouped).select(state.key, *interactions.POPULARITY)

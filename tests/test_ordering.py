@@ -63,13 +63,26 @@ def test_cut_point_finds_key_and_copies(spark):
     df = spark.createDataFrame(keys, "d int, k string")
     ordered = sorted(keys)
     for at in range(len(ordered)):
-        levels = [F.col("d"), F.col("k")]
-        cut = cut_point(df, levels, lambda n, at=at: F.lit(at))
+        cut = cut_point(df, [[F.col("d")], [F.col("k")]], lambda n, at=at: F.lit(at))
         key = ordered[at]
-        assert (cut.values, cut.before, cut.size, cut.position) == (key, ordered.index(key), ordered.count(key), at)
-        before, same = before_cut(levels, cut)
+        assert (cut.before, cut.size, cut.position) == (ordered.index(key), ordered.count(key), at)
+        assert cut.values == key[:len(cut.values)] and (cut.values == key or cut.size == 1)
+        before, same = before_cut(cut)
         assert df.where(before).count() == cut.before and df.where(same).count() == cut.size
-    assert cut_point(df, [F.col("d"), F.col("k")], lambda n: n) is None
+    assert cut_point(df, [[F.col("d")], [F.col("k")]], lambda n: n) is None
+
+
+@pytest.mark.parametrize("small", [0, 3, 1000])
+def test_chains_skip_levels_where_few_rows_are_left(spark, small):
+    numbers = [random.Random(5).randrange(64) for _ in range(40)] + [7] * 9
+    df = spark.createDataFrame([(n,) for n in numbers], "n int")
+    chain = [F.shiftright("n", 4), F.shiftright("n", 2), F.col("n")]
+    for at in (0, 11, 48):
+        cut = cut_point(df, [chain], lambda n, at=at: F.lit(at), small=small)
+        key = sorted(numbers)[at]
+        assert (cut.values[-1], cut.before, cut.size) == (key, sorted(numbers).index(key), numbers.count(key))
+        assert len(cut.levels) == (3 if small == 0 else 2 if small == 1000 else len(cut.levels))
+        assert df.where(before_cut(cut)[0]).count() == cut.before
 
 
 @pytest.mark.parametrize("seed", range(3))
