@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import numbered, small_batches, stored, text_or_empty
@@ -263,6 +263,10 @@ def mined(docs: DataFrame, max_words: int = 3, least: int = 10, inside_percent:
     all_lengths = parts[0]
     for part in parts[1:]:
         all_lengths = all_lengths.unionByName(part)
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = all_lengths.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    # ranks by range: the candidates of a language spread over tasks
+    keyed = stored(all_lengths.withColumns({"_score": -F.col("score"), "_a": -F.col("a")}), "candidates")
+    placed = numbered(keyed, ["lang", "_score", "_a", "phrase"], label="ranked-candidates")
+    counts = keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    first = numbered(counts, ["lang"], ["_n"], "ranked-languages").select("lang", F.col("_n_before").alias("_first"))
+    best = placed.join(first, "lang").withColumn("rank", F.col("position") - F.col("_first") + 1).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

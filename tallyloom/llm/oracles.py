@@ -41,7 +41,7 @@ def _rules_sql() -> str:
     grid = ", ".join(f"('{r}', {c})" for r, (_, _, cuts) in RULES.items() for c in cuts)
     tests = sum(len(cuts) for _, _, cuts in RULES.values())
     over = " UNION ALL ".join(
-        f"SELECT doc_id, lang, '{r}' AS rule, {n} AS num, {d} AS den FROM measures WHERE NOT base_failed"
+        f"SELECT doc_id, lang, text, '{r}' AS rule, {n} AS num, {d} AS den FROM measures WHERE NOT base_failed"
         for r, (n, d, _) in RULES.items())
     return f"""
 WITH docs AS (
@@ -57,18 +57,21 @@ repeated AS (
   FROM (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, content) > 1), range(0, 8) AS t(o)
   GROUP BY doc_id),
 counted AS (
-  SELECT d.doc_id, lang, len(words) AS n_words, length(regexp_replace(text, '{_SPACE}', '', 'g')) AS word_chars,
+  SELECT d.doc_id, lang, text, len(words) AS n_words, length(regexp_replace(text, '{_SPACE}', '', 'g')) AS word_chars,
     length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
   FROM docs d LEFT JOIN repeated r ON r.doc_id = d.doc_id),
 measures AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted),
 ratios AS ({over}),
-judged AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+judged AS (SELECT doc_id, min(quality) AS label FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+texts AS (
+  SELECT lang, text, rule, any_value(num) AS num, any_value(den) AS den, min(label) AS good
+  FROM ratios JOIN judged USING (doc_id) GROUP BY lang, text, rule),
 tests AS (
   SELECT lang, rule, cutoff, count(*) FILTER (good = 1) AS n_good,
     count(*) FILTER (good = 1 AND 1000 * num > cutoff * den) AS lost,
     count(*) FILTER (good = 0 AND 1000 * num > cutoff * den) AS caught
-  FROM ratios JOIN judged USING (doc_id) JOIN (VALUES {grid}) AS g(rule, cutoff) USING (rule)
+  FROM texts JOIN (VALUES {grid}) AS g(rule, cutoff) USING (rule)
   GROUP BY lang, rule, cutoff),
 tails AS (
   SELECT *, CASE WHEN lost > n_good * {share} THEN 1 ELSE list_sum(list_transform(range(0, lost + 1), lambda i:

@@ -9,9 +9,11 @@ most ``max_false_rejection`` of their good documents. Of the admissible cutoffs,
 bad documents, good ones subtracted, is taken; none, if none catches more bad than good ones.
 
 Defined results: a null text has no words and fails the base rules; a null language is a stratum of its
-own; labels other than 0 and 1 and labels without document count for nothing; a document labelled twice
-counts as bad if any label says so; documents without an id are measured and judged, but have no label.
-Equal rows give equal results. An empty table gives an empty result.
+own; labels other than 0 and 1 and labels without document count for nothing; a document labelled twice, or one
+of several with the same text, counts as bad if any label says so, and its text as one trial; documents without an id are
+measured and judged, but have no label. Equal rows give equal results, texts of any length are measured whole; of equally
+good cutoffs the largest is taken; columns besides doc_id, text and lang are passed on or left out, not read. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -122,8 +124,10 @@ def binomial_tail(seen: Column, trials: Column, share: float) -> Column:
 def cutoffs(measures: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
     """Chosen cutoffs: stratum -> map of rule to cutoff (thousandths).
 
-    ``measures``: doc_id, stratum, measures. ``labels``: doc_id, quality. Counts are taken per stratum
-    before anything is compared, so the test works on a few rows per stratum, however many labels exist.
+    ``measures``: doc_id, stratum, text_hash, measures. ``labels``: doc_id, quality. A text is one trial of its stratum,
+    however many documents have it, as copies are no independent trials; it is good if no label of it says otherwise.
+    Counts are taken per stratum before anything is compared, so the test works on a few rows per stratum, however many
+    labels exist.
     """
     judged = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
@@ -132,7 +136,8 @@ def cutoffs(measures: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> Data
     grid = [(rule, cut) for rule, (_, _, cuts) in RULES.items() for cut in cuts]
     good = F.col("_good") == 1
     m = F.col("measures")
-    holdout = measures.join(judged, "doc_id").where(~base_failed(m))
+    holdout = measures.join(judged, "doc_id").groupBy("stratum", "text_hash").agg(
+        F.min("_good").alias("_good"), F.first("measures").alias("measures")).where(~base_failed(m))
     counts = holdout.groupBy("stratum").agg(
         F.count_if(good).alias("n_good"),
         *(F.count_if(fails(m, r, F.lit(c)) & good).alias(f"g_{r}_{c}") for r, c in grid),
@@ -157,6 +162,10 @@ def cutoffs(measures: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> Data
     )
 
 
+def _text_hash() -> Column:
+    return F.unhex(F.md5(text_or_empty()))
+
+
 def stratum_of(lang: str = "lang") -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(lang)), F.lit(""))
 
@@ -175,7 +184,7 @@ def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
 
     Texts are read once; their measures are stored in the shared folder, then judged.
     """
-    rows = measured(docs.select("doc_id", stratum_of().alias("stratum"), "text")).drop("text")
+    rows = measured(docs.select("doc_id", stratum_of().alias("stratum"), "text")).withColumn("text_hash", _text_hash()).drop("text")
     rows = stored(rows, "measures")
     chosen = cutoffs(rows, labels.select("doc_id", "quality"), risk)
     m = F.col("measures")
@@ -186,11 +195,10 @@ def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns. Measures are computed where the text is, twice,
-    so that no text is shuffled."""
-    rows = docs.select(F.struct("*").alias("row"))
-    keyed = rows.select("row", stratum_of("row.lang").alias("stratum"), F.col("row.text").alias("text"))
-    narrow = measured(keyed.select(F.col("row.doc_id").alias("doc_id"), "stratum", "text")).drop("text")
-    chosen = stored(cutoffs(narrow, labels.select("doc_id", "quality"), risk), "cutoffs")
-    judged = measured(keyed).join(chosen, "stratum", "left")
+    """The rows of ``docs`` that pass, with all their columns. Rows are stored with their measures, so texts are measured
+    once and not shuffled."""
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id"), stratum_of().alias("stratum"), F.col("text"))
+    rows = stored(measured(keyed).withColumn("text_hash", _text_hash()).drop("text"), "measured-rows")
+    chosen = stored(cutoffs(rows.drop("row"), labels.select("doc_id", "quality"), risk), "cutoffs")
+    judged = rows.join(chosen, "stratum", "left")
     return judged.where(verdict(F.col("measures"), F.col("cutoffs"))).select("row.*")

@@ -36,6 +36,9 @@ from tallyloom.llm.common import scratch_path, small_batches, stored, text_or_em
 
 MIN_REVISIT = 100
 RECORDS_PER_ARCHIVE = 20_000
+#: Largest payload bytes of a size class: an archive holds RECORDS_PER_ARCHIVE of the smallest class, and of a larger one so
+#: many fewer that it stays below the 2 GB that a row of ``binaryFile`` can have.
+SIZE_CLASSES = (1 << 16, 1 << 20, 1 << 24)
 BLOCK_ENTRIES = 1024
 RANGE_ENTRIES = 100_000
 MAX_RANGES = 4096  # more entries make longer ranges; a range is merged as a stream
@@ -90,12 +93,20 @@ def records(captures: DataFrame) -> DataFrame:
         F.lit("\r\nContent-Type: application/http;msgtype=response\r\nContent-Length: "),
         F.octet_length(block).cast("string"), F.lit("\r\n\r\n"),
     )
-    return marked.select(F.concat(header, block).alias("value"))
+    return marked.select(F.concat(header, block).alias("value"), "bytes")
 
 
 def write_archives(captures: DataFrame, path: str) -> None:
-    writer = records(captures).write.option("lineSep", END).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path)
+    """Archives of about the same size below ``path``: records of one size class together, as many as fit."""
+    size = F.octet_length(text_or_empty("payload"))
+    size_class = lambda n: F.size(F.filter(F.array(*map(F.lit, SIZE_CLASSES)), lambda most: most < n))
+    present = sorted(r[0] for r in captures.select(size_class(size)).distinct().collect())  # one row per class
+    made = records(captures)
+    for number in present or [0]:
+        most = RECORDS_PER_ARCHIVE * SIZE_CLASSES[0] // SIZE_CLASSES[number] if number < len(SIZE_CLASSES) else 1
+        own = made.where(size_class(F.col("bytes")) == number) if len(present) > 1 else made
+        own.select("value").write.mode("append").option("lineSep", END).option("compression", "gzip").option(
+            "maxRecordsPerFile", most).text(path)
 
 
 def parsed(archive: io.BufferedIOBase) -> Iterator[dict]:
