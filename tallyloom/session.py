@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_SCRATCH: list[str] = []  # folders that this process has named
+
 
 def local_session(cores: int | str = 8, memory: str = "16g", **extra: str) -> SparkSession:
     """Single-machine session for tests and the benchmark."""
@@ -47,7 +49,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
         root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this process has stored in the shared folder; the number of folders that were there.
+
+    For the end of a job, when its results are written: frames that were built on stored tables cannot be read any more.
+    """
+    deleted = 0
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    while _SCRATCH:
+        path = hadoop.Path(_SCRATCH.pop())
+        deleted += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return deleted
 
 
 def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:

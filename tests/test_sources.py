@@ -113,3 +113,15 @@ def test_files_with_another_column_order_are_rejected(spark, tmp_path):
     path = _parts(tmp_path / "parts", "article_id,product_code\n9,1\n", "product_code,article_id\n1,8\n")
     with pytest.raises(Exception, match="(?i)header"):
         readers.load_articles(spark, path).collect()
+
+
+def test_scratch_is_cleared(spark, monkeypatch):
+    import os
+
+    from tallyloom import session
+
+    monkeypatch.setattr(session, "_SCRATCH", [])  # other tests still read theirs
+    table = session.stored(spark.range(5), "cleared")
+    path = session._SCRATCH[0].removeprefix("file:")
+    assert table.count() == 5 and os.path.isdir(path)
+    assert session.clear_scratch(spark) == 1 and not os.path.exists(path) and session.clear_scratch(spark) == 0
