@@ -4,18 +4,18 @@ Sources get word targets by weight, none above ``limit`` times its own size; wha
 among the others by weight. With the sources in the order of the ratio of limit and weight, the full ones come
 first, so prefix sums over that order find where filling up ends.
 
-Every document of a source is expected as often as the target exceeds the source's size, its rate. Documents lie
-in the order of their size, the largest first, then of a seeded hash; a document's expected copies reach from
-rank * rate to (rank + 1) * rate, moved by one random offset per source, and it is taken once per whole number
-passed. So the words taken differ from the target by less than the largest document of the source, and no
-document is taken more often than its rate rounded up. Ranks, prefix sums and rates are exact numbers (rates in
-units of 2^-40).
+Every document of a source is expected as often as the target exceeds the source's size, its rate. A hash parts the
+documents into two halves: the first lies in rising, the second in falling order of size, so that neighbours are
+alike and both ends are small. A document's expected copies reach from rank * rate to (rank + 1) * rate, moved by one
+random offset per source, and it is taken once per whole number passed. So the words taken differ from the target
+by less than twice the largest document of the source (mostly far less), and no document is taken more often than its
+rate rounded up. Ranks, prefix sums and rates are exact numbers (rates in units of 2^-40).
 
 Ranks come from a range partitioning by all keys down to the stored row's number, so a source with a third of all
 rows, or one row repeated that often, spreads over tasks; the driver sees a few totals only.
 
 Defined results: null text has size 0 and is taken 0 words; a null source is a source of its own, the last; a null
-doc_id sorts like an empty one; repeated rows are taken separately; documents of one size and hash are ordered by
+doc_id sorts like an empty one; repeated rows are taken separately; documents of one half, size and hash are ordered by
 id; columns besides doc_id, text and source are not read; texts of any length count whole; an empty table gives no row.
 """
 
@@ -84,7 +84,9 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, limit: int = 3, see
     """Per row of ``docs``: doc_id, size, source_size, target, copies, taken (copies times size)."""
     rows = sizes(docs)
     per_source = stored(targets(rows, weights, limit), "mix-targets")
-    ranked = numbered(rows.withColumn("smaller", -F.col("size")), ["source", "smaller", "hash", "doc_id", "row"], label="mix-documents")
+    half = F.conv(F.substring(F.hex("hash"), 1, 1), 16, 10).cast("int") % 2
+    piled = rows.withColumn("half", half).withColumn("height", F.when(F.col("half") == 0, F.col("size")).otherwise(-F.col("size")))
+    ranked = numbered(piled, ["source", "half", "height", "hash", "doc_id", "row"], label="mix-documents")
     drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce("source", F.lit("")))), 1, 10), 16, 10)
     right = per_source.withColumn("offset", drawn.cast("decimal(38,0)")).withColumnRenamed("source", "_source")
     rank = (F.col("position") - F.col("first")).cast("decimal(38,0)")

@@ -139,8 +139,10 @@ targets AS (
       ELSE (weight::HUGEINT * b.rest::HUGEINT * {_RATE}::HUGEINT) // (f.source_size::HUGEINT * b.among::HUGEINT) END AS rate,
     ('0x' || substr(md5('mix|' || coalesce(f.source, '')), 1, 10))::BIGINT::HUGEINT AS drawn
   FROM filling f, border b),
+halves AS (SELECT *, substr(hash, 1, 1) IN ('1', '3', '5', '7', '9', 'b', 'd', 'f') AS falling FROM docs),
 ranked AS (
-  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY size DESC, hash, doc_id NULLS LAST) - 1)::HUGEINT AS rank FROM docs)
+  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY falling, CASE WHEN falling THEN -size ELSE size END, hash, doc_id NULLS LAST) - 1)::HUGEINT AS rank
+  FROM halves)
 SELECT doc_id, size, source_size, target,
   CAST(((rank + 1) * rate + drawn) // {_RATE}::HUGEINT - (rank * rate + drawn) // {_RATE}::HUGEINT AS BIGINT) AS copies, copies * size AS taken
 FROM ranked r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source
