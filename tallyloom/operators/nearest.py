@@ -29,6 +29,7 @@ from tallyloom.session import stored
 
 PIVOTS = 256
 CHUNK = 4096  # centres that a query block looks at together
+SALTED = 16  # query blocks that look at a chunk in one task
 NORM_FLOOR = 1e-12  # fixed value
 SCORE_PLACES = 9  # scores are rounded, so equal vectors tie whatever block they are scored in
 SLACK = 1e-6  # bounds are computed in floats: relative room above them
@@ -206,8 +207,11 @@ class Search:
 def _looked_at(queries: DataFrame, chunks: DataFrame, choose: Callable, schema: str) -> DataFrame:
     """Rows of ``choose(query block, floors, centres, radii, sizes)`` for every query block and chunk of centres."""
     n = chunks.agg(F.max("chunk")).scalar()
-    asked = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(0)))))
-    joined = asked.join(chunks, "chunk")
+    # few chunks, many query blocks: both are dealt by a salt as well, so that no task gets all query blocks
+    salts = max(1, -(-queries.count() // SALTED))
+    asked = queries.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(0))))).withColumn(
+        "salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
+    joined = asked.join(chunks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["chunk", "salt"])
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -281,6 +281,12 @@ def preview(df: DataFrame, n: int, *, order_by: Sequence[Column | str]) -> DataF
     return df.orderBy(*order_by).limit(n)
 
 
+def unseen_pairs(later: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Distinct (customer_id, article_id) of ``later`` that do not occur in ``earlier``."""
+    key = ["customer_id", "article_id"]
+    return later.select(*key).distinct().join(earlier.select(*key), key, "left_anti")
+
+
 def first_per_key(df: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the first by ``order_by`` (default: all other columns)."""
     order = list(order_by or [c for c in df.columns if c != key]) or [key]

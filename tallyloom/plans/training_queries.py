@@ -258,8 +258,8 @@ def d10(spark, sf_dir):
 SELECT DISTINCT customer_id, article_id FROM split WHERE part = 'validation'
 EXCEPT SELECT customer_id, article_id FROM split WHERE part = 'train'""")
 def j6(spark, sf_dir):
-    train, validation = (half.select("customer_id", "article_id").distinct() for half in _halves(spark, sf_dir))
-    return validation.join(train, ["customer_id", "article_id"], "left_anti")
+    train, validation = _halves(spark, sf_dir)
+    return tr.unseen_pairs(validation, train)
 
 
 CF = ("age_group", "lifecycle_stage", "age_filled")
