@@ -12,7 +12,8 @@ the stage of the pipeline, takes the long windows too.
 
 Defined results: null text stays null, without lines; documents without id come after the others; lines
 without a word form no window and stay, unless nothing else is left: then the text is empty. Rows equal in id
-and text are one document to the windows and get the same result. Other columns don't matter.
+and text are one document to the windows and get the same result. Texts of any length are cut whole. Other columns
+don't matter. An empty table gives an empty result.
 """
 
 from __future__ import annotations

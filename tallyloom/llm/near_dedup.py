@@ -23,7 +23,8 @@ Exact copies are one text from the start. Every table between the steps is store
 Defined results: equal texts share a class, also the empty ones and null, which counts as empty; texts with
 one to four words have one shingle, all their words; texts without words are like equal texts only. A class is
 known by its smallest doc_id; rows without id take part, and a class of such rows only has a null class id.
-Repeated rows are copies. An empty table gives an empty result.
+Repeated rows are copies. Texts of any length are compared whole. Columns besides doc_id and text are passed on or left
+out, not read. An empty table gives an empty result. Similarity is that of shingle sets, so all darts have weight 1.
 """
 
 from __future__ import annotations

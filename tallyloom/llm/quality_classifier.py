@@ -13,7 +13,9 @@ change the cost of fitting); everything else covers all rows.
 Defined results: null text is scored as the empty text; rows without doc_id are scored and not held out;
 labels other than 0 and 1 are ignored; a document labelled twice counts as bad if any label says so. With no
 usable label of one of the two classes there is nothing to learn: every score is the share of good labels
-(1 if there are no labels). Equal texts get equal scores.
+(1 if there are no labels). Equal texts get equal scores, repeated rows too. Texts of any length count whole; columns
+besides doc_id and text, and of labels besides doc_id and quality, are passed on or left out, not read. An empty table
+gives no row.
 """
 
 from __future__ import annotations

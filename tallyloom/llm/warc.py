@@ -14,7 +14,8 @@ one order over all captures by (URL key, time, key), with gapless positions.
 Defined results: null payload is empty; null url gives no target and the empty URL key, which sorts first; a
 null key is written as ``none``, never becomes the response of others while a keyed capture has the payload,
 and sorts last; rows with the same smallest key and payload are all responses. Line breaks in a url are
-percent-encoded. An empty table gives an empty archive.
+percent-encoded. Payloads of any length that a string holds are written whole, large ones in archives of fewer records.
+Columns besides the four named are not read. An empty table gives an empty archive.
 """
 
 from __future__ import annotations

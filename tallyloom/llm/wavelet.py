@@ -10,7 +10,7 @@ lookup from that one file; ``ids()`` restores the whole sequence.
 
 Defined results: null text is empty and holds only the end id; documents without id come last; rows with
 equal ids follow each other in the order of their text's hash; texts longer than a shard make a shard of
-their own. An empty table gives no file.
+their own. Columns besides doc_id and text are not read. An empty table gives no file.
 """
 
 from __future__ import annotations
