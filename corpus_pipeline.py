@@ -4,6 +4,11 @@ Quality rules and the quality classifier drop documents, line dedup removes repe
 of which nothing is left), near-duplicate classes keep one document each, and what remains is packed into
 sequences. Every stage works on all rows that its predecessor kept and, but for the last, returns them with
 the columns of documents.
+
+Defined results: a null or empty text has too few words and goes with the first stage, as do all texts under twenty
+words; documents without id or language stay like others; of rows equal in id and text one stays; texts of any length
+are worked on whole; ties go as the stages say; further columns, whatever their names, are kept until the last stage; an
+empty table gives no row.
 """
 
 from __future__ import annotations
