@@ -9,8 +9,11 @@
 3. Only item blocks whose bound reaches that score for some query are sent to a query block, and its task takes them in
    falling order of their bounds: a block that no running k-th score leaves possible any more is skipped.
 
-A task holds one query block, one item block and k entries per query, and k rows per query leave it. Vectors move in
-blocks, as often as bounds ask for them; centres and radii (one per block) are what every query block sees.
+An item block travels once to each group of neighbouring query blocks, whatever number of them ask for it. Groups grow
+with the queries up to ``GROUP_ROWS``, so that what is sent grows with the items, and beyond that with their product over
+``GROUP_ROWS``, also where no bound excludes anything. A task holds one group, one item block and k entries per query, and k
+rows per query leave it. Vectors move in their own width and are scaled where they are read; centres and radii (one per
+block) are what every query block sees.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tallyloom.session import stored
 
 PIVOTS = 256
+GROUP_ROWS = 32_768  # queries that a task holds at most
 CHUNK = 4096  # centres that a query block looks at together
 SALTED = 16  # query blocks that look at a chunk in one task
 NORM_FLOOR = 1e-12  # fixed value
@@ -40,7 +44,11 @@ def matrix_of(vectors: pa.ListArray, metric: str) -> np.ndarray:
     lengths = np.diff(vectors.offsets.to_numpy())
     if len(lengths) and (lengths != lengths[0]).any():
         raise ValueError("vectors differ in length")
-    values = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lengths), -1)
+    return scaled(vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(lengths), -1), metric)
+
+
+def scaled(values: np.ndarray, metric: str) -> np.ndarray:
+    values = values.astype(np.float64)
     if metric == "cosine":
         values = values / np.maximum(np.sqrt((values * values).sum(axis=1, keepdims=True)), NORM_FLOOR)
     return values
@@ -61,10 +69,11 @@ class Block:
     radius: float
 
     @staticmethod
-    def read(row: dict) -> Block:
+    def read(row: dict, metric: str) -> Block:
         ids = row["ids"]
         plain = all(isinstance(i, int) for i in ids)
-        values = np.frombuffer(row["parts"], np.float64).reshape(len(ids), -1)
+        raw = np.frombuffer(row["parts"], np.float32 if row["narrow"] else np.float64)
+        values = scaled(raw.reshape(len(ids), -1), metric)
         return Block(row["block"], np.array(ids, np.int64 if plain else object), values, np.array(row["centre"]), row["radius"])
 
 
@@ -96,7 +105,11 @@ class Best:
             self.ids = np.zeros((q, self.k), items.ids.dtype)
         for at in range(0, len(rows), 512):
             some = rows[at:at + 512]
-            scores = rounded(self.queries.values[some] @ items.values.T / self.temperature)
+            scores = self.queries.values[some] @ items.values.T / self.temperature
+            hopeful = rounded(scores.max(axis=1)) >= self.floors[some]  # the others gain nothing here
+            some, scores = some[hopeful], rounded(scores[hopeful])
+            if not len(some):
+                continue
             ids = np.broadcast_to(items.ids, scores.shape)
             if self.k < n:  # ids of a block fall, so ties beyond the cut are the smaller ids
                 kept = best_columns(scores, self.k)
@@ -135,13 +148,17 @@ def best_columns(scores: np.ndarray, k: int) -> np.ndarray:
 def _block_schema(id_type: T.DataType) -> T.StructType:
     return T.StructType([
         T.StructField("n", T.IntegerType()), T.StructField("ids", T.ArrayType(id_type)), T.StructField("parts", T.BinaryType()),
-        T.StructField("centre", T.ArrayType(T.DoubleType())), T.StructField("radius", T.DoubleType()),
+        T.StructField("narrow", T.BooleanType()), T.StructField("centre", T.ArrayType(T.DoubleType())), T.StructField("radius", T.DoubleType()),
     ])
 
 
 def blocks(side: DataFrame, key: str, pivots: np.ndarray, metric: str, rows: int, label: str) -> DataFrame:
-    """Stored blocks (block, n, ids, parts, centre, radius) of (key, vector); ids of a block fall."""
-    id_type = side.schema[key].dataType
+    """Stored blocks (block, n, ids, parts, narrow, centre, radius) of (key, vector); ids of a block fall.
+
+    ``parts`` are the vectors as given, floats where they are ``narrow``.
+    """
+    id_type, kind = side.schema[key].dataType, side.schema["vector"].dataType.elementType
+    narrow = isinstance(kind, T.FloatType)
     arrow_id = to_arrow_type(id_type)
     half = (pivots * pivots).sum(axis=1) / 2
 
@@ -158,10 +175,11 @@ def blocks(side: DataFrame, key: str, pivots: np.ndarray, metric: str, rows: int
             centre = values.mean(axis=0)
             radius = float(np.sqrt(((values - centre) ** 2).sum(axis=1).max()))
             ids = pa.array([table.column(key).to_pylist()], pa.list_(arrow_id))
+            given = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
             return pa.RecordBatch.from_arrays([
-                pa.array([len(values)], pa.int32()), ids, pa.array([values.tobytes()], pa.binary()),
+                pa.array([len(values)], pa.int32()), ids, pa.array([given.tobytes()], pa.binary()), pa.array([narrow]),
                 pa.array([centre.tolist()], pa.list_(pa.float64())), pa.array([radius], pa.float64()),
-            ], names=["n", "ids", "parts", "centre", "radius"])
+            ], names=["n", "ids", "parts", "narrow", "centre", "radius"])
 
         waiting: pa.Table | None = None
         for batch in batches:
@@ -177,7 +195,8 @@ def blocks(side: DataFrame, key: str, pivots: np.ndarray, metric: str, rows: int
         if waiting is not None and waiting.num_rows:
             yield record(waiting)
 
-    vectors = side.where(F.col("vector").isNotNull() & F.col(key).isNotNull()).select(key, F.col("vector").cast("array<double>").alias("vector"))
+    vectors = side.where(F.col("vector").isNotNull() & F.col(key).isNotNull()).select(
+        key, F.col("vector").cast("array<float>" if narrow else "array<double>").alias("vector"))
     placed = vectors.mapInArrow(place, T.StructType([*vectors.schema.fields, T.StructField("pivot", T.IntegerType())]))
     order = ["pivot", F.xxhash64(key)]
     packed = placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(pack, _block_schema(id_type))
@@ -204,7 +223,7 @@ class Search:
         return counts.withColumn("skipped_share", 1 - F.try_divide(F.col("sent").cast("double"), F.col("block_pairs").cast("double")))
 
 
-def _looked_at(queries: DataFrame, chunks: DataFrame, choose: Callable, schema: str) -> DataFrame:
+def _looked_at(queries: DataFrame, chunks: DataFrame, choose: Callable, schema: str, metric: str) -> DataFrame:
     """Rows of ``choose(query block, floors, centres, radii, sizes)`` for every query block and chunk of centres."""
     n = chunks.agg(F.max("chunk")).scalar()
     # few chunks, many query blocks: both are dealt by a salt as well, so that no task gets all query blocks
@@ -218,7 +237,7 @@ def _looked_at(queries: DataFrame, chunks: DataFrame, choose: Callable, schema:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                block = Block.read(row)
+                block = Block.read(row, metric)
                 floors = np.array(row["floors"]) if row["floors"] else np.full(len(block.ids), -np.inf)
                 parts = row["summaries"]
                 centres, radii = np.array([p["centre"] for p in parts]), np.array([p["radius"] for p in parts])
@@ -231,24 +250,40 @@ def _looked_at(queries: DataFrame, chunks: DataFrame, choose: Callable, schema:
     return joined.mapInArrow(run, schema)
 
 
-def _met(queries: DataFrame, items: DataFrame, cells: DataFrame, k: int, temperature: float, label: str) -> DataFrame:
+def grouped(queries: DataFrame, rows: int) -> DataFrame:
+    """(block, query_group): neighbouring blocks of ``queries``, ``rows`` queries to a group, give or take a block."""
+    sizes = queries.select("block", "n", F.shiftright("block", 33).alias("_part"))
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = sizes.groupBy("_part").agg(F.sum("n").alias("n"))  # one row per partition of the stored blocks
+    starts = parts.select("_part", before(Window.orderBy("_part")).alias("_start"))
+    own = sizes.select("block", "_part", before(Window.partitionBy("_part").orderBy("block")).alias("_before"))
+    return own.join(starts, "_part").select("block", F.floor((F.col("_start") + F.col("_before")) / rows).alias("query_group"))
+
+
+def _met(
+    queries: DataFrame, items: DataFrame, cells: DataFrame, groups: DataFrame, k: int, metric: str, temperature: float, label: str,
+) -> DataFrame:
     """(query_block, query_id, item_id, score): the best of the item blocks that ``cells`` (.., priority) name, by query block."""
     query_type, item_type = (df.schema["ids"].dataType.elementType for df in (queries, items))
     schema = T.StructType([
         T.StructField("query_block", T.LongType()), T.StructField("query_id", query_type), T.StructField("item_id", item_type),
         T.StructField("score", T.DoubleType()),
     ])
-    body = ["block", "parts", "centre", "radius"]
+    body = ["block", "parts", "narrow", "centre", "radius"]
     none = lambda kind: F.lit(None).cast(T.ArrayType(kind))
-    asked = queries.select(
-        F.col("block").alias("query_block"), F.lit(None).cast("double").alias("priority"), *body, F.col("ids").alias("query_ids"),
-        none(item_type).alias("item_ids"), "floors")
-    sent = cells.join(items, cells["item_block"] == items["block"]).select(
-        "query_block", "priority", *body, none(query_type).alias("query_ids"), F.col("ids").alias("item_ids"),
-        F.lit(None).cast("array<double>").alias("floors"))
-    mine = asked.join(cells.select("query_block").distinct(), "query_block", "left_semi")
-    order = [F.col("query_block"), F.col("priority").desc_nulls_first(), F.col("block")]
-    stream = mine.unionByName(sent).repartition("query_block").sortWithinPartitions(*order)
+    asked = queries.join(groups, "block").select(
+        "query_group", F.lit(None).cast("double").alias("priority"), *body, F.col("ids").alias("query_ids"),
+        none(item_type).alias("item_ids"), "floors", none(T.LongType()).alias("wanted_by"))
+    wanted = cells.join(groups.withColumnRenamed("block", "query_block"), "query_block").groupBy("query_group", "item_block").agg(
+        F.max("priority").alias("priority"), F.collect_list("query_block").alias("wanted_by"))
+    sent = wanted.join(items, wanted["item_block"] == items["block"]).select(
+        "query_group", "priority", *body, none(query_type).alias("query_ids"), F.col("ids").alias("item_ids"),
+        F.lit(None).cast("array<double>").alias("floors"), "wanted_by")
+    mine = asked.join(cells.select(F.col("query_block").alias("block")).distinct(), "block", "left_semi").select(*sent.columns)
+    order = [F.col("query_group"), F.col("priority").desc_nulls_first(), F.col("block")]
+    # groups are few and heavy: more partitions than groups, so that few share one
+    n = 4 * (1 + (groups.agg(F.max("query_group")).first()[0] or 0))
+    stream = mine.unionByName(sent).repartition(n, "query_group").sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(best: Best) -> pa.RecordBatch:
@@ -257,19 +292,25 @@ def _met(queries: DataFrame, items: DataFrame, cells: DataFrame, k: int, tempera
                 pa.array(np.full(len(scores), best.queries.name, np.int64)), pa.array(query_ids.tolist(), to_arrow_type(query_type)),
                 pa.array(item_ids.tolist(), to_arrow_type(item_type)), pa.array(scores)], names=schema.names)
 
-        best = None
+        found: dict[int, Best] = {}
+        group = None
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
+                if row["query_group"] != group:
+                    group = row["query_group"]
+                    while found:
+                        yield out(found.popitem()[1])
                 if row["item_ids"] is None:
-                    if best is not None:
-                        yield out(best)
-                    block = Block.read(row | {"ids": row["query_ids"]})
-                    best = Best(block, k, temperature, np.array(row["floors"]) if row["floors"] else np.full(len(block.ids), -np.inf))
+                    block = Block.read(row | {"ids": row["query_ids"]}, metric)
+                    floors = np.array(row["floors"]) if row["floors"] else np.full(len(block.ids), -np.inf)
+                    found[block.name] = Best(block, k, temperature, floors)
                 else:
-                    best.meet(Block.read(row | {"ids": row["item_ids"]}))
-        if best is not None:
-            yield out(best)
+                    items = Block.read(row | {"ids": row["item_ids"]}, metric)
+                    for name in row["wanted_by"]:
+                        found[name].meet(items)
+        while found:
+            yield out(found.popitem()[1])
 
     return stored(stream.mapInArrow(run, schema), label)
 
@@ -282,9 +323,11 @@ def search(queries: DataFrame, items: DataFrame, *, k: int, metric: str, tempera
         max(1, min(PIVOTS, -(-n_items // block_rows)))).select(F.col("vector").cast("array<double>").alias("v")).collect()
     pivots = matrix_of(pa.array([r["v"] for r in drawn], pa.list_(pa.float64())), metric) if drawn else np.zeros((1, 0))
     # smaller query blocks where there are few queries, so that all cores have one
-    query_rows = max(64, min(block_rows, -(-n_queries // (2 * spark.sparkContext.defaultParallelism))))
+    share = -(-n_queries // (2 * spark.sparkContext.defaultParallelism))
+    query_rows = max(64, min(block_rows, share))
     item_blocks = blocks(items, "item_id", pivots, metric, block_rows, "item-blocks")
     query_blocks = blocks(queries, "query_id", pivots, metric, query_rows, "query-blocks")
+    groups = stored(grouped(query_blocks, max(query_rows, min(GROUP_ROWS, share))), "query-groups")
     start = query_blocks.withColumn("floors", F.lit(None).cast("array<double>"))
 
     summary = item_blocks.select("block", "n", "centre", "radius")
@@ -299,11 +342,11 @@ def search(queries: DataFrame, items: DataFrame, *, k: int, metric: str, tempera
         kept = order[before < k]
         return kept, near[kept], sizes[kept].astype(np.int64)
 
-    near = _looked_at(start, chunks, nearest_first, "query_block long, item_block long, priority double, n long")
+    near = _looked_at(start, chunks, nearest_first, "query_block long, item_block long, priority double, n long", metric)
     upto = Window.partitionBy("query_block").orderBy(F.desc("priority"), "item_block").rowsBetween(Window.unboundedPreceding, -1)
     seeds = stored(near.withColumn("_before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where(F.col("_before") < k)
                    .select("query_block", "item_block", "priority"), "first-cells")
-    first = _met(start, item_blocks, seeds, k, temperature, "first-scores")
+    first = _met(start, item_blocks, seeds, groups, k, metric, temperature, "first-scores")
 
     # a query's floor: its k-th best so far; those with fewer than k entries have none
     ranked = first.groupBy("query_block", "query_id").agg(F.count("*").alias("_n"), F.min("score").alias("_low"))
@@ -311,7 +354,7 @@ def search(queries: DataFrame, items: DataFrame, *, k: int, metric: str, tempera
         F.map_from_entries(F.collect_list(F.struct("query_id", F.when(F.col("_n") >= k, F.col("_low"))))).alias("_floors"))
     left = query_blocks.join(floors, query_blocks["block"] == floors["query_block"], "left")
     lowest = F.lit(float("-inf"))
-    known = stored(left.select("block", "n", "ids", "parts", "centre", "radius", F.transform(
+    known = stored(left.select(*query_blocks.columns, F.transform(
         "ids", lambda i: F.coalesce(F.col("_floors")[i], lowest)).alias("floors")), "floors")
 
     def possible(block, floors, centres, radii, sizes):
@@ -319,8 +362,8 @@ def search(queries: DataFrame, items: DataFrame, *, k: int, metric: str, tempera
         kept = np.flatnonzero((bounds >= floors[:, None]).any(axis=0))
         return kept, bounds[:, kept].max(axis=0)
 
-    wanted = _looked_at(known, chunks, possible, "query_block long, item_block long, priority double")
+    wanted = _looked_at(known, chunks, possible, "query_block long, item_block long, priority double", metric)
     cells = stored(wanted.join(seeds.select("query_block", "item_block"), ["query_block", "item_block"], "left_anti"), "further-cells")
-    second = _met(known, item_blocks, cells, k, temperature, "further-scores")
+    second = _met(known, item_blocks, cells, groups, k, metric, temperature, "further-scores")
     best = first.unionByName(second).drop("query_block")
     return Search(best, seeds.drop("priority").unionByName(cells.drop("priority")), query_blocks, item_blocks)

@@ -189,3 +189,22 @@ def test_search_over_empty_sides(spark):
     for queries, items in ((full, nothing), (nothing, full), (nothing, nothing)):
         q, i = sides(spark, queries, items)
         assert r.similar_items(q, i, k=3).collect() == []
+
+
+def test_item_blocks_travel_once_to_a_group_of_query_blocks(spark):
+    """Vectors of one length in all directions: no bound excludes a block, and many query blocks ask for each."""
+    rng = np.random.default_rng(12)
+    values = rng.normal(size=(3000, 16))
+    queries, items = (table(spark, values, name) for name in ("query_id", "item_id"))
+    found = nearest.search(queries, items, k=4, metric="dot", temperature=1.0, block_rows=64)
+    report = found.report().first()
+    assert report.skipped_share < 0.2 and report.block_pairs > 2000
+    groups = nearest.grouped(found.query_blocks, 1000)
+    assert groups.select("query_group").distinct().count() in (3, 4)
+    assert groups.select("block").distinct().count() == groups.count() == found.query_blocks.count()
+    # vectors are kept in their own width
+    blocks = found.item_blocks.selectExpr("sum(length(parts))", "sum(n)").first()
+    assert blocks[0] == 3000 * 16 * 4 and blocks[1] == 3000
+    got = sorted((x.query_id, x.rank, x.item_id) for x in m.top_k(found.best, 4).collect())
+    want = best_by_sorting(values.astype("float32").astype(float), values.astype("float32").astype(float), 4, "dot")
+    assert got == [(q, rank, i) for q, i, rank, _ in sorted(want, key=lambda x: (x[0], x[2]))]
