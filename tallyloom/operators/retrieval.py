@@ -15,6 +15,7 @@ from tallyloom.operators import nearest
 from tallyloom.operators.metrics import K_VALUES, hits_at, retrieval_report, top_k
 
 METRICS = ("cosine", "dot")
+BAND_ROWS = 16_384  # rows of a batch that a task holds twice, about
 
 
 def _check(metric: str, temperature: float) -> None:
@@ -156,38 +157,53 @@ def batch_similarity(batches: DataFrame, *, metric: str = "cosine", temperature:
     return batches.groupBy("batch").applyInPandas(score, schema)
 
 
-def batch_loss(
-    batches: DataFrame, *, metric: str = "cosine", temperature: float = 1.0, tile: int = 1024
-) -> DataFrame:
-    """In-batch softmax loss: (rows, loss), the mean cross-entropy of each row against its own item.
+def batch_parts(batches: DataFrame, *, metric: str, temperature: float, tile: int) -> DataFrame:
+    """(batch, place, log_sum, own): per row and band of its batch, the logarithm of its sum of exponentials there.
 
-    Rows and columns of a batch are cut into tiles of ``tile`` places. A pair of tiles gives each row the logarithm of
-    its sum of exponentials there, and these are merged around their maximum, so a task holds two tiles, whatever the
-    size of a batch.
+    Rows and columns of a batch are cut into bands of about ``BAND_ROWS`` places, these into tiles of ``tile``. A task meets
+    two bands, tile by tile, and holds those and the scores of two tiles, whatever the size of a batch. A vector is sent as
+    often as its batch has bands.
     """
-    _check(metric, temperature)
-    own = F.floor(F.col("place") / tile).cast("int")
+    band = tile * max(1, BAND_ROWS // tile)
+    own = F.floor(F.col("place") / band).cast("int")
     last = batches.groupBy("batch").agg(F.max(own).alias("_last"))
-    tiled = batches.withColumn("_own", own).join(last, "batch")
+    banded = batches.withColumn("_own", own).join(last, "batch")
     others = F.explode(F.sequence(F.lit(0), F.col("_last")))
     named = [F.col("batch").alias("batch"), F.col("place").alias("place")]  # both sides come from one table
-    rows = tiled.select(*named, F.col("_own").alias("row_tile"), others.alias("column_tile"), F.col("query_vector").alias("vector"))
-    columns = tiled.select(*named, others.alias("row_tile"), F.col("_own").alias("column_tile"), F.col("item_vector").alias("vector"))
+    rows = banded.select(*named, F.col("_own").alias("row_band"), others.alias("column_band"), F.col("query_vector").alias("vector"))
+    columns = banded.select(*named, others.alias("row_band"), F.col("_own").alias("column_band"), F.col("item_vector").alias("vector"))
 
     def part(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        scores = _matrix(left["vector"], metric) @ _matrix(right["vector"], metric).T / temperature
-        peak = scores.max(axis=1)
         places, listed = left["place"].to_numpy(), right["place"].to_numpy()
-        own_score = np.where(places[:, None] == listed[None, :], scores, 0.0).sum(axis=1)
-        found = np.isin(places, listed)
-        return pd.DataFrame({
-            "batch": left["batch"].to_numpy(), "place": places,
-            "log_sum": np.log(np.exp(scores - peak[:, None]).sum(axis=1)) + peak, "own": np.where(found, own_score, np.nan),
-        })
+        queries, items = _matrix(left["vector"], metric) / temperature, _matrix(right["vector"], metric)
+        peak, sums = np.full(len(places), -np.inf), np.zeros(len(places))
+        for at in range(0, len(places), tile):
+            some = slice(at, at + tile)
+            for start in range(0, len(listed), tile):
+                scores = queries[some] @ items[start:start + tile].T
+                top = np.maximum(peak[some], scores.max(axis=1))
+                scores -= top[:, None]
+                sums[some] = sums[some] * np.exp(peak[some] - top) + np.exp(scores, out=scores).sum(axis=1)
+                peak[some] = top
+        order = np.argsort(listed, kind="stable")
+        nearest_place = order[np.minimum(np.searchsorted(listed[order], places), len(listed) - 1)]
+        own_score = np.where(listed[nearest_place] == places, np.einsum("ij,ij->i", queries, items[nearest_place]), np.nan)
+        return pd.DataFrame({"batch": left["batch"].to_numpy(), "place": places, "log_sum": np.log(sums) + peak, "own": own_score})
+
+    key = ["batch", "row_band", "column_band"]
+    return rows.groupBy(*key).cogroup(columns.groupBy(*key)).applyInPandas(part, "batch long, place int, log_sum double, own double")
+
 
-    key = ["batch", "row_tile", "column_tile"]
-    parts = rows.groupBy(*key).cogroup(columns.groupBy(*key)).applyInPandas(part, "batch long, place int, log_sum double, own double")
-    merged = parts.groupBy("batch", "place").agg(  # one number per tile of the batch
+def batch_loss(
+    batches: DataFrame, *, metric: str = "cosine", temperature: float = 1.0, tile: int = 1024
+) -> DataFrame:
+    """In-batch softmax loss: (rows, loss), the mean cross-entropy of each row against its own item.
+
+    The sums of a row over the bands of its batch (see ``batch_parts``) are merged around their maximum.
+    """
+    _check(metric, temperature)
+    parts = batch_parts(batches, metric=metric, temperature=temperature, tile=tile)
+    merged = parts.groupBy("batch", "place").agg(  # one number per band of the batch
         F.collect_list("log_sum").alias("sums"), F.max(F.nanvl("own", F.lit(None).cast("double"))).alias("own"))
     top = F.array_max("sums")
     whole = top + F.log(F.aggregate("sums", F.lit(0.0), lambda total, x: total + F.exp(x - top)))

@@ -111,6 +111,21 @@ def test_batch_loss_does_not_depend_on_tiles(spark, tile):
     assert tuple(r.batch_loss(batches(spark, q.tolist(), i.tolist(), 10).limit(0), tile=tile).first()) == (0, None)
 
 
+def test_vectors_of_a_batch_are_sent_by_band_not_by_tile(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    q, i = rng.normal(size=(300, 6)), rng.normal(size=(300, 6))
+    scores = q @ i.T / 0.1
+    want = (np.logaddexp.reduce(scores, axis=1) - np.diagonal(scores)).mean()
+    sent = []
+    for rows in (1 << 14, 100):  # one band; three of 100 places
+        monkeypatch.setattr(r, "BAND_ROWS", rows)
+        loss = r.batch_loss(batches(spark, q.tolist(), i.tolist(), 300), metric="dot", temperature=0.1, tile=4)
+        got = loss.first()
+        assert got["rows"] == 300 and got["loss"] == pytest.approx(want)
+        sent.append(r.batch_parts(batches(spark, q.tolist(), i.tolist(), 300), metric="dot", temperature=0.1, tile=4).count())
+    assert sent == [300, 3 * 300]  # with a part per pair of tiles there were 75 * 300
+
+
 def test_batch_pairs_with_a_short_last_batch(spark):
     eye = np.eye(5).tolist()
     got = r.batch_similarity(batches(spark, eye, eye, 2))
