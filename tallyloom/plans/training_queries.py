@@ -309,12 +309,13 @@ def j7_bucketed(spark, sf_dir):
 SELECT customer_id, article_id, recency, article_first_sold, article_first_buyer
 FROM positives JOIN first_sale USING (article_id)""")
 def j8(spark, sf_dir):
-    tx = retail.transactions(spark, sf_dir)
-    first = tr.first_per_key(tx, "article_id", ["t_dat", *TIES]).select(
+    # read for the samples and for the first sales, which are looked at twice
+    tx = stored(retail.transactions(spark, sf_dir).select(*TIES, "customer_id", "article_id", "t_dat", "price"), "transactions")
+    first = stored(tr.first_per_key(tx, "article_id", ["t_dat", *TIES]).select(
         "article_id", F.col("t_dat").alias("first_sold"), F.col("customer_id").alias("first_buyer")
-    )
+    ), "first-sales")
     customers = retail.customers(spark, sf_dir).select("customer_id")
-    samples = positives(spark, sf_dir).select("customer_id", "article_id", "recency")
+    samples = tr.last_interactions(tx).select("customer_id", "article_id", "recency")
     return tr.attach_features(samples, customers, first)
 
 
