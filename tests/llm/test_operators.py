@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import heapq
+import itertools
 import random
 
 import numpy as np
 import public_tokenizers
+import pytest
 from helpers import empty_documents, labels, odd_documents, words
+from pyspark.sql import functions as F
 
 from tallyloom.llm import (
     line_dedup, merge_replay, near_dedup, packing, quality_classifier, quality_rules, sharding, topk, warc, wavelet,
@@ -291,3 +294,39 @@ def test_propagation_without_links_or_room(spark):
     start = spark.createDataFrame([(0, 0), (1, 1), (2, 0), (3, 1)], "node long, shard int")
     found = sharding.propagated(links, start, [2, 2], 3)
     assert found.cut_edges[0] == 2
+
+
+def test_granted_flows_gain_most():
+    """Against all flows of small cases."""
+    rng = random.Random(11)
+    for _ in range(60):
+        n = rng.randint(2, 3)
+        room = [rng.randint(0, 6) for _ in range(n)]
+        load = [rng.randint(0, r) for r in room]
+        keys = [(a, b, c) for a in range(n) for b in range(n) if a != b and load[a] for c in (1, 2) if rng.random() < 0.6][:5]
+        wishes, gain = {k: rng.randint(1, 3) for k in keys}, {k: rng.randint(1, 9) for k in keys}
+        best = 0
+        for flow in itertools.product(*(range(wishes[k] + 1) for k in keys)):
+            held = load[:]
+            for (a, b, _), x in zip(keys, flow):
+                held[a] -= x
+                held[b] += x
+            if all(h <= r for h, r in zip(held, room)):
+                best = max(best, sum(gain[k] * x for k, x in zip(keys, flow)))
+        given = sharding.granted(wishes, load, room, gain)
+        assert sum(gain[k] * x for k, x in given.items()) == best
+
+
+def test_propagation_brings_copies_together(spark):
+    """Copies start apart, the rounds unite them, and no group is left cut though every shard is full."""
+    rows = spark.createDataFrame([(i, f"text {i // 4}") for i in range(800)], "doc_id long, text string")
+    nodes = sharding.stored(sharding.nodes(rows).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    seen, real = [], sharding.propagated
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sharding, "propagated", lambda *a: seen.append(real(*a)) or seen[-1])
+        out = sharding.sharded(rows, sharding.Settings(shards=5)).toPandas()
+    cut = seen[0].cut_edges
+    assert cut[0] > 800 and cut[-1] < cut[0] / 8  # 1,200 edges; laid hub after hub, none was cut
+    assert (out.groupby(out.doc_id // 4).shard.nunique() == 1).all() and set(out.groupby("shard").size()) == {160}
+    start = sharding.started(nodes, ["hub"], [160] * 5)
+    assert real(nodes, start, [160] * 5, 3).cut_edges[0] < 20
