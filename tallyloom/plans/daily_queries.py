@@ -15,8 +15,8 @@ from tallyloom.streaming import daily
 
 
 def _state(spark: SparkSession, sf_dir: str, key: str, other: str) -> daily.State:
-    """Two merges: the history, then the last day."""
-    transactions = retail.transactions(spark, sf_dir).select("customer_id", "article_id", "t_dat", "price")
+    """Two merges: the history, then the last day. The transactions are a join, so they are stored first."""
+    transactions = daily.by_key(retail.transactions(spark, sf_dir).select("customer_id", "article_id", "t_dat", "price"), key)
     last = transactions.agg(F.max("t_dat")).first()[0]
     state = daily.open_state(spark, scratch_path(spark, "daily-state"), transactions, key=key, other=other)
     state = daily.merge(state, transactions.where(F.col("t_dat") < F.lit(last)), other=other)

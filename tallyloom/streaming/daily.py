@@ -10,8 +10,9 @@ A state is a folder of tables about one key (customers or articles), written bat
 * ``manifest``: one row per committed batch. It is written last, and readers go by it, so a merge that dies half way has
   changed nothing and is written over by its repetition.
 
-Days of a batch come after those of the batches before. Rows collapse to (key, day) before anything else, so a key with
-a third of all rows has as many rows as it has days.
+Days of a batch come after those of the batches before. Aggregates by key, by (key, day) and by pair start inside the
+tasks that read the rows, so a key with a third of all rows is a row per task, or as many rows as it has days. Where a
+batch lies by key (``by_key``), what leaves these tasks is about one wide row per key, and narrow rows per day and pair.
 """
 
 from __future__ import annotations
@@ -87,11 +88,13 @@ def open_state(spark: SparkSession, path: str, transactions: DataFrame, *, key:
 
 
 def _partials(rows: DataFrame, key: str, date: str, price: str) -> DataFrame:
-    """(key, day) with the partial aggregates of the day's rows."""
+    """One row per key with the partial aggregates of its rows; ``others`` is still missing."""
     day = F.col(date)
-    return rows.groupBy(key, day.alias("day")).agg(
-        F.count("*").alias("n"), F.count("_other").alias("known"), F.count(price).alias("prices"),
-        F.coalesce(F.sum(price), F.lit(0.0)).alias("price_sum"), F.min(price).alias("price_min"), F.max(price).alias("price_max"),
+    return rows.groupBy(key).agg(
+        F.count("*").alias("n"), F.count("_other").alias("known"), F.count_if(F.weekday(day).isin(5, 6)).alias("weekend"),
+        F.count(price).alias("prices"), F.coalesce(F.sum(price), F.lit(0.0)).alias("price_sum"),
+        *(F.count_if(F.month(day) == m).alias(f"month_{m}") for m in range(1, 13)),
+        F.min(day).alias("first"), F.max(day).alias("last"), F.min(price).alias("price_min"), F.max(price).alias("price_max"),
         F.coalesce(F.var_pop(price) * F.count(price), F.lit(0.0)).alias("squares"),
     )
 
@@ -107,14 +110,21 @@ def _merged(parts: DataFrame, key: str) -> DataFrame:
         F.col("prices") > 0, F.col("price_sum") * F.col("price_sum") / F.col("prices")).otherwise(0.0), F.lit(0.0))).drop("_raw")
 
 
+def by_key(transactions: DataFrame, key: str) -> DataFrame:
+    """``transactions``, stored with the rows of a key side by side; a key of very many rows is split over several files."""
+    return stored(transactions.hint("rebalance", F.col(key)), "rows-by-key")
+
+
 def merge(state: State, batch: DataFrame, *, other: str, date: str = "t_dat", price: str = "price") -> State:
-    """The state with the days of ``batch``, all of them after its last day; rows without key or date are left out."""
+    """The state with the days of ``batch``, all of them after its last day; rows without key or date are left out.
+
+    ``batch`` is read four times, a few columns each: give a stored one (``by_key``) if it is the result of joins.
+    """
     if batch.schema[date].dataType != T.DateType():
         raise TypeError(f"{date} must be a date: days are the unit of the state")
     key, spark, number = state.key, state.spark, state.batches
     rows = batch.where(F.col(key).isNotNull() & F.col(date).isNotNull()).select(key, F.col(other).alias("_other"), date, F.col(price).cast("double").alias(price))
-    days = stored(_partials(rows, key, date, price), "day-partials")
-    first, last = days.agg(F.min("day"), F.max("day")).first()
+    first, last = rows.agg(F.min(date), F.max(date)).first()
     if first is None:
         return state
     if state.last_day is not None and first <= state.last_day:
@@ -126,23 +136,18 @@ def merge(state: State, batch: DataFrame, *, other: str, date: str = "t_dat", pr
     new_pairs.write.mode("overwrite").parquet(f"{state.path}/pairs/batch={number}")
     new_pairs = spark.read.schema(new_pairs.schema).parquet(f"{state.path}/pairs/batch={number}")
 
+    # pairs are counted for themselves: their rows carry a key and a number, not the width of the totals
     zero = F.lit(0).cast("long")
-    spread = days.select(
-        key, "n", "known", F.when(F.weekday(day).isin(5, 6), F.col("n")).otherwise(zero).alias("weekend"), "prices", "price_sum",
-        *(F.when(F.month(day) == m, F.col("n")).otherwise(zero).alias(f"month_{m}") for m in range(1, 13)),
-        day.alias("first"), day.alias("last"), "price_min", "price_max", "squares", zero.alias("others"))
-    nothing = {c: F.lit(0.0) if c == "price_sum" else zero for c in SUMS}
-    counted = new_pairs.groupBy(key).agg(F.count("*").alias("others")).select(
-        key, *(v.alias(c) for c, v in nothing.items()), F.lit(None).cast("date").alias("first"), F.lit(None).cast("date").alias("last"),
-        F.lit(None).cast("double").alias("price_min"), F.lit(None).cast("double").alias("price_max"), F.lit(0.0).alias("squares"), "others")
-    before = state.totals()
-    parts = spread.unionByName(counted)
-    parts = parts.unionByName(before) if number else parts
+    counted = new_pairs.groupBy(key).agg(F.count("*").alias("others"))
     names = state._totals_schema().fieldNames()
-    _merged(parts, key).select(*names).write.mode("overwrite").parquet(f"{state.path}/totals/batch={number}")
+    parts = _partials(rows, key, date, price).join(counted, key, "left").withColumn("others", F.coalesce("others", zero)).select(*names)
+    before = state.totals()
+    totals = _merged(parts.unionByName(before), key).select(*names) if number else parts
+    totals.write.mode("overwrite").parquet(f"{state.path}/totals/batch={number}")
 
+    days = rows.groupBy(key, F.col(date).alias("day")).agg(F.count("*").alias("n"))
     upto = Window.partitionBy(key).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)  # the days of a key in one batch
-    running = days.select(key, "day", "n").withColumn("n_before", F.coalesce(F.sum("n").over(upto), zero))
+    running = days.withColumn("n_before", F.coalesce(F.sum("n").over(upto), zero))
     if number:
         running = running.join(before.select(key, F.col("n").alias("_earlier")), key, "left").withColumn(
             "n_before", F.col("n_before") + F.coalesce("_earlier", zero)).drop("_earlier")

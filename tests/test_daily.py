@@ -11,6 +11,7 @@ from frames import rows
 from pyspark.sql import functions as F
 
 from tallyloom.operators import interactions, temporal
+from tallyloom.plans import daily_queries
 from tallyloom.streaming import daily
 
 REF = "2024-03-01"
@@ -121,3 +122,14 @@ def test_late_days_and_times_are_refused_and_nothing_is_nothing(spark, tmp_path)
         daily.merge(state, table.limit(3), other="article_id")
     with pytest.raises(TypeError, match="must be a date"):
         daily.merge(state, table.withColumn("t_dat", F.col("t_dat").cast("timestamp")), other="article_id")
+
+
+def test_registered_state_merges_stored_rows(spark, monkeypatch):
+    """The merges of the registered queries read rows that lie by key, not the join of the tables again."""
+    seen, real = [], daily.merge
+    monkeypatch.setattr(daily, "merge", lambda state, batch, **kw: seen.append(batch) or real(state, batch, **kw))
+    state = daily_queries._state(spark, "/root/testdata/sf0.001", "article_id", "customer_id")
+    assert len(seen) == 2 and all("Join" not in b._jdf.queryExecution().optimizedPlan().toString() for b in seen)
+    files = seen[0].withColumn("file", F.input_file_name()).groupBy("article_id").agg(F.count_distinct("file").alias("n"))
+    assert files.where("n > 1").count() == 0
+    assert state.totals().agg(F.sum("n")).first()[0] == sum(b.count() for b in seen)
