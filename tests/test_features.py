@@ -212,3 +212,18 @@ def test_shared_aggregates_equal_separate_ones(customers, articles, transactions
     preferences = inter.customer_preferences(transactions, articles)
     for part in (history, preferences):
         assert rows(table.select(part.columns), "customer_id") == rows(part, "customer_id")
+
+
+def test_training_features_read_the_transactions_once(customers, articles, transactions, monkeypatch):
+    """Both tables come from the same stored pairs and equal the separate ones, also with rows without customer or article."""
+    odd = [transactions.withColumn(c, F.lit(None).cast(transactions.schema[c].dataType)) for c in ("customer_id", "article_id")]
+    more = transactions.unionByName(odd[0]).unionByName(odd[1])
+    seen, real = [], inter.with_popularity
+    monkeypatch.setattr(inter, "with_popularity", lambda grouped: seen.append(grouped) or real(grouped))
+    c, a = features.training_features(customers, articles, more, reference_date="2023-01-31")
+    assert seen[0].inputFiles() and all("pair-counts" in f for f in seen[0].inputFiles())
+    for got, alone, key in ((c, features.customer_table(customers, more, articles, reference_date="2023-01-31"), "customer_id"),
+                            (a, features.article_table(articles, more, reference_date="2023-01-31"), "article_id")):
+        assert got.columns == alone.columns and got.dtypes == alone.dtypes
+        rounded = [[tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows(t, key)] for t in (got, alone)]
+        assert rounded[0] == rounded[1]
