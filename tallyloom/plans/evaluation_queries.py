@@ -8,6 +8,7 @@ from tallyloom.operators import metrics as m
 from tallyloom.operators import nearest
 from tallyloom.operators import retrieval as r
 from tallyloom.plans.registry import query
+from tallyloom.session import stored
 from tallyloom.sources import retail
 
 BATCH = 32
@@ -267,12 +268,13 @@ def m6(spark, sf_dir):
 @query("m7_reciprocal_rank", f"""{SCORED_SQL}
 SELECT query_id, min(rnk) FILTER (label = 1) AS first_rank FROM ranked GROUP BY query_id HAVING max(label) = 1""")
 def m7(spark, sf_dir):
-    return m.first_hit_rank(scored(spark, sf_dir), _profile(spark, sf_dir))
+    pairs = stored(scored(spark, sf_dir), "scored-pairs")  # the ladder and the tie groups read them
+    return m.first_hit_rank(pairs, stored(m.query_profile(m.ladder(m.tie_groups(pairs))), "query-profile"))
 
 
 @query("m5_m7_ranking_report", f"{SCORED_SQL}{RANKING_SQL} SELECT * FROM ranking", doubles=("value",))
 def ranking(spark, sf_dir):
-    return m.ranking_metrics(scored(spark, sf_dir))
+    return m.ranking_metrics(stored(scored(spark, sf_dir), "scored-pairs"))
 
 
 def _item_vectors(spark, sf_dir):

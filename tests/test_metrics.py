@@ -147,3 +147,14 @@ def test_catalogue_counts_items_that_no_list_holds(spark):
     catalogue = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "item_id string")
     report = m.all_metrics(scored, catalogue=catalogue, retrieval=False, ranking=False)
     assert {r["metric"]: r["value"] for r in report.collect()}["coverage"] == 0.5
+
+
+def test_registered_rank_reads_stored_pairs(spark, monkeypatch):
+    """The join of the tables is made once, not once per use of the scored pairs."""
+    from tallyloom.operators import metrics
+    from tallyloom.plans import evaluation_queries
+
+    seen, real = [], metrics.first_hit_rank
+    monkeypatch.setattr(metrics, "first_hit_rank", lambda *frames: seen.extend(frames) or real(*frames))
+    assert evaluation_queries.m7(spark, "/root/testdata/sf0.001").count() > 0
+    assert "scored-pairs" in seen[0].inputFiles()[0] and "query-profile" in seen[1].inputFiles()[0]
