@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import brackets
 from tallyloom.functions.expressions import missing, numeric_columns, safe_ratio, text_columns
 from tallyloom.functions.ordering import named_column, value_counts
+from tallyloom.session import stored
 
 # Fixed values
 MAX_MISSING_RATE = 0.5
@@ -173,9 +174,11 @@ def numeric_distributions(
     """Count, distinct values, moments and quartiles per numeric column with at least two values.
 
     Distinct values are counted in the column's own type: as doubles, large integers would fall together.
-    ``approximate`` takes the quartiles from the sketches alone.
+    ``approximate`` takes the quartiles from the sketches alone. The columns are stored: several scans read them.
     """
     names = list(columns or numeric_columns(df))
+    if names:
+        df = stored(df.select(*(F.col(f"`{n}`") for n in names)), "numeric-columns")
     q_names = ["q25", "median", "q75"]
     if approximate:
         sketches = brackets.sketched(df, names)

@@ -165,3 +165,13 @@ def test_text_profile(spark):
 def test_large_integers_stay_distinct(spark):
     wide = spark.createDataFrame([(2**53 + i,) for i in range(4)] + [(None,)], "code long")
     assert q.numeric_distributions(wide).first()["unique_values"] == 4
+
+
+def test_numeric_distributions_read_their_input_once(spark, monkeypatch):
+    """All scans of the profile read the stored columns."""
+    seen, sketched, distinct = [], q.brackets.sketched, q.distinct_values
+    monkeypatch.setattr(q.brackets, "sketched", lambda df, *a: seen.append(df) or sketched(df, *a))
+    monkeypatch.setattr(q, "distinct_values", lambda df, *a: seen.append(df) or distinct(df, *a))
+    got = q.numeric_distributions(numbers(spark, [1, 2, 4, 9])).first()
+    assert got["count"] == 4 and got["unique_values"] == 4
+    assert len(seen) == 2 and all(any("numeric-columns" in f for f in df.inputFiles()) for df in seen)
