@@ -53,28 +53,6 @@ def customer_aggregates(clock: Clock, lookbacks: Sequence[int] = (30, 90)) -> li
     ]
 
 
-def pair_aggregates(clock: Clock, lookbacks: Sequence[int] = (30, 90)) -> list[Column]:
-    """``customer_aggregates`` as parts that ``merged_aggregates`` puts together; rows are counted as ``n``."""
-    return [
-        F.min(clock.col).alias("_first"),
-        F.max(clock.col).alias("_last"),
-        F.count_if(F.weekday(clock.col).isin(5, 6)).alias("_weekend"),
-        *[F.count_if(F.month(clock.col) == m).alias(f"_month_{m}") for m in range(1, 13)],
-        *[F.count_if(clock.within(d)).alias(f"purchases_last_{d}_days") for d in lookbacks],
-    ]
-
-
-def merged_aggregates(lookbacks: Sequence[int] = (30, 90)) -> list[Column]:
-    sums = [*(f"_month_{m}" for m in range(1, 13)), *(f"purchases_last_{d}_days" for d in lookbacks)]
-    return [
-        F.min("_first").alias("_first"),
-        F.max("_last").alias("_last"),
-        F.sum("n").alias("total_transactions"),
-        (F.sum("_weekend") / F.sum("n")).alias("weekend_purchase_ratio"),
-        *[F.sum(c).alias(c) for c in sums],
-    ]
-
-
 def customer_columns(clock: Clock, lookbacks: Sequence[int] = (30, 90)) -> list[Column]:
     first, last, rows = F.col("_first"), F.col("_last"), F.col("total_transactions")
     months = F.array(*[F.col(f"_month_{m}") for m in range(1, 13)])
@@ -113,16 +91,23 @@ def distinct_count(col: str, approximate: bool) -> Column:
     return F.approx_count_distinct(col) if approximate else F.count_distinct(col)
 
 
+def sales_aggregates(clock: Clock, lookbacks: Sequence[int] = (7, 30)) -> list[Column]:
+    """First, last and number of sales, and those of the last days."""
+    return [
+        F.min(clock.col).alias("_first"),
+        F.max(clock.col).alias("_last"),
+        F.count("*").alias("total_sales"),
+        *[F.count_if(clock.within(d)).alias(f"sales_last_{d}_days") for d in lookbacks],
+    ]
+
+
 def article_aggregates(
     clock: Clock, customer_col: str = "customer_id", lookbacks: Sequence[int] = (7, 30), *,
     approximate: bool = False,
 ) -> list[Column]:
     return [
-        F.min(clock.col).alias("_first"),
-        F.max(clock.col).alias("_last"),
-        F.count("*").alias("total_sales"),
+        *sales_aggregates(clock, lookbacks),
         distinct_count(customer_col, approximate).alias("unique_customers"),
-        *[F.count_if(clock.within(d)).alias(f"sales_last_{d}_days") for d in lookbacks],
     ]
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.expressions import missing
+from tallyloom.functions.hashing import together
 from tallyloom.operators import articles as art
 from tallyloom.operators import customers as cust
 from tallyloom.operators import interactions as inter
@@ -51,69 +52,56 @@ def customer_table(
     articles: DataFrame,
     *,
     reference_date: str = temp.REFERENCE_DATE,
-    pairs: DataFrame | None = None,
+    sales: DataFrame | None = None,
 ) -> DataFrame:
     """Customer features, history and preferences; customers without purchases keep NULLs.
 
-    The transactions are read once, into (customer, article) pairs with mergeable aggregates, from which history,
-    preferences and favourites are made; ``pairs`` are those of ``transactions`` if they are stored already.
-    ``article_id`` must be unique in ``articles``.
+    The transactions are read once and stored as narrow rows, from which history, preferences and favourites are made;
+    ``sales`` are those of ``transactions`` if they are stored already. ``article_id`` must be unique in ``articles``.
     """
     clock = temp.Clock(transactions, "t_dat", reference_date)
     known = F.col("customer_id").isNotNull()
-    if pairs is None:
-        pairs = inter.pair_counts(transactions.where(known), *temp.pair_aggregates(clock))
-    attributed = inter.with_article_attributes(pairs.where(known), articles)
-    grouped = attributed.groupBy("customer_id").agg(
-        *temp.merged_aggregates(), *inter.preference_aggregates()
+    sales = inter.sale_rows(transactions.where(known), "t_dat") if sales is None else sales.where(known)
+    grouped = together(sales.select("customer_id", "t_dat", "price"), "customer_id").groupBy("customer_id").agg(
+        *temp.customer_aggregates(clock), *inter.preference_aggregates()
     )
-    history = grouped.join(inter.favourites(attributed), "customer_id", "left").select(
+    history = grouped.join(inter.favourites(sales, articles), "customer_id", "left").select(
         "customer_id", *temp.customer_columns(clock), *inter.preference_columns()
     )
     return cust.customer_features(customers).join(history, "customer_id", "left")
 
 
-def _articles_of_pairs(pairs: DataFrame, lookbacks: tuple[int, ...] = (7, 30)) -> DataFrame:
-    """Trend, popularity and prices by article; an article has one pair per customer, and one of its rows without."""
-    customer, n = F.col("customer_id").isNotNull(), F.col("n")
-    sums, statistics = inter.price_statistics("avg_selling_price", "price_volatility", "min_price", "max_price")
-    merged = pairs.groupBy("article_id").agg(
-        F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum(n).alias("total_sales"),
-        F.count("customer_id").alias("unique_customers"), F.sum(F.when(customer, n).otherwise(0)).alias("total_purchases"),
-        *[F.sum(f"purchases_last_{d}_days").alias(f"sales_last_{d}_days") for d in lookbacks], *sums)
-    return merged.select(
-        "article_id", "_first", "_last", "total_sales", "unique_customers", "total_purchases",
-        *[f"sales_last_{d}_days" for d in lookbacks], *statistics,
-        F.col("_first").alias("first_purchase_date"), F.col("_last").alias("last_purchase_date"))
-
-
 def article_table(
     articles: DataFrame,
     transactions: DataFrame,
     *,
     reference_date: str = temp.REFERENCE_DATE,
     prices: bool = False,
-    pairs: DataFrame | None = None,
+    sales: DataFrame | None = None,
 ) -> DataFrame:
     """Article features, sales trend and popularity; unsold articles keep NULLs.
 
-    Trend and popularity share one aggregate by article, over the transactions or over their stored ``pairs``. With
-    ``prices`` the table also gets the selling-price spread (``price_std``, ``min_price``, ``max_price``) and price bin.
+    Trend and popularity share one aggregate by article, over the transactions or over their stored rows, ``sales``: there
+    the distinct customers are counted for themselves, in rows of two columns. With ``prices`` the table also gets the
+    selling-price spread (``price_std``, ``min_price``, ``max_price``) and price bin.
     """
     known = F.col("article_id").isNotNull()
     clock = temp.Clock(transactions, "t_dat", reference_date)
-    if pairs is None:
-        trend = temp.article_aggregates(clock)
-        popularity = [F.count("customer_id").alias("total_purchases")] + [
-            F.avg("price").alias("avg_selling_price"),
-            F.stddev_samp("price").alias("price_volatility"),
-            F.min("t_dat").alias("first_purchase_date"),
-            F.max("t_dat").alias("last_purchase_date"),
-        ]
-        extra = [F.min("price").alias("min_price"), F.max("price").alias("max_price")] if prices else []
-        grouped = transactions.where(known).groupBy("article_id").agg(*trend, *popularity, *extra)
-    else:
-        grouped = _articles_of_pairs(pairs.where(known))
+    trend = temp.article_aggregates(clock) if sales is None else temp.sales_aggregates(clock)
+    popularity = [F.count("customer_id").alias("total_purchases")] + [
+        F.avg("price").alias("avg_selling_price"),
+        F.stddev_samp("price").alias("price_volatility"),
+        F.min("t_dat").alias("first_purchase_date"),
+        F.max("t_dat").alias("last_purchase_date"),
+    ]
+    extra = [F.min("price").alias("min_price"), F.max("price").alias("max_price")] if prices else []
+    rows = transactions if sales is None else together(sales, "article_id")
+    grouped = rows.where(known).groupBy("article_id").agg(*trend, *popularity, *extra)
+    if sales is not None:
+        pairs = sales.where(known & F.col("customer_id").isNotNull()).select("article_id", "customer_id").distinct()
+        unique = pairs.groupBy("article_id").agg(F.count("*").alias("_unique"))
+        grouped = grouped.join(unique, "article_id", "left").withColumn(
+            "unique_customers", F.coalesce("_unique", F.lit(0))).drop("_unique")
     popular = inter.with_popularity(grouped)
     columns = [
         *temp.article_columns(clock),
@@ -140,13 +128,12 @@ def training_features(
     *,
     reference_date: str = temp.REFERENCE_DATE,
 ) -> tuple[DataFrame, DataFrame]:
-    """(customer table, article table), made from the same (customer, article) pairs: the transactions are read once."""
-    clock = temp.Clock(transactions, "t_dat", reference_date)
+    """(customer table, article table), made from the same stored rows: the transactions are read once."""
     some = F.col("customer_id").isNotNull() | F.col("article_id").isNotNull()
-    pairs = inter.pair_counts(transactions.where(some), *temp.pair_aggregates(clock, (7, 30, 90)))
+    sales = inter.sale_rows(transactions.where(some), "t_dat")
     return (
-        customer_table(customers, transactions, articles, reference_date=reference_date, pairs=pairs),
-        article_table(articles, transactions, reference_date=reference_date, pairs=pairs),
+        customer_table(customers, transactions, articles, reference_date=reference_date, sales=sales),
+        article_table(articles, transactions, reference_date=reference_date, sales=sales),
     )
 
 
