@@ -7,9 +7,12 @@ k + 1 words. Its groups are counted over all data, and the occurrences are semi-
 they are persisted and extended further.
 
 Pieces never leave their block (the texts of one language that a task reads together, up to ``BLOCK_WORDS`` words or
-one longer text), so relations are stored as one row per block with sorted arrays: the merge join is array work inside
-a block. Groups are counted per block first and then by Spark, so a phrase with a third of all occurrences adds one row
-per block; frequent groups come back to the blocks by equi-joins. Items are numbered over all languages and blocks.
+one longer text). A block has a vocabulary and a relation, both stored as rows of at most ``CHUNK_WORDS`` words, so no row,
+page or batch grows with the block. A chunk of the relation also holds the ``max_words - 1`` words after it, so that the
+merge join is array work inside a chunk; an occurrence is counted in the chunk that it begins in. Groups are counted for
+about a block's words first and then by Spark, so a phrase with a third of all occurrences adds one row for each; frequent
+groups come back to the blocks by equi-joins, and meet the chunks sorted by block. Items are numbered over all languages
+and blocks.
 
 Defined results: a null text has no words, a null language is ``und``; texts of any length count whole; repeated rows
 count repeatedly; doc_id and further columns are not read; phrases equal in score and count are ordered by their bytes;
@@ -19,19 +22,38 @@ an empty table gives no row. Counts, products and scores are exact (38 decimal d
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import numbered, small_batches, stored, text_or_empty
 
 BLOCK_WORDS = 1 << 19
+CHUNK_WORDS = 1 << 15  # words, or list entries, of one stored row
 TEXTS_TOGETHER = 1 << 20  # characters that are cut into words at a time
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 SCALE = 1_000_000
-RELATION = "block long, pieces binary, positions binary, items binary"
+RELATION = "block long, chunk int, until int, pieces binary, positions binary, items binary"
+# a row has up to three arrays of CHUNK_WORDS numbers: pages, row groups and batches of few rows
+WIDE = {"parquet.block.size": str(32 << 20), "parquet.page.size.row.check.min": "4", "parquet.page.size.row.check.max": "64"}
+SCAN_ROWS = 16
+
+
+@contextmanager
+def _wide_rows(spark: SparkSession) -> Iterator[None]:
+    """Scans hold ``SCAN_ROWS`` rows at a time, Python batches about 4 MB."""
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(SCAN_ROWS))
+    small_batches(spark, 1 << 16, 4 << 20)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+        small_batches(spark)
 
 
 def _steps(values: np.ndarray) -> bytes:
@@ -78,24 +100,40 @@ class Block:
         self.pieces.append(piece)
         self.size += len(at)
 
-    def record(self) -> tuple:
+    def records(self, number: int, chunk: int, ahead: int) -> Iterator[tuple]:
+        """Rows of the block: parts of its vocabulary, then chunks of its relation with ``ahead`` words of the next one."""
         words, pieces = np.concatenate(self.words), np.concatenate(self.pieces)
         counts = np.bincount(words, minlength=len(self.numbers))
+        names = list(self.numbers)
+        for at in range(0, len(names), chunk):
+            some = slice(at, at + chunk)
+            yield (number, self.lang, at, [w.decode() for w in names[some]], counts[some], *[None] * 5)
         # a piece of one word has no neighbours, but its number parts the pieces beside it
-        return (self.lang, [w.decode() for w in self.numbers], counts, _steps(pieces), _steps(np.arange(len(words))),
-                words.astype("<i4").tobytes())
+        for i, at in enumerate(range(0, len(words), chunk)):
+            end = min(at + chunk, len(words))
+            some = slice(at, min(end + ahead, len(words)))
+            yield (number, self.lang, *[None] * 3, i, end, _steps(pieces[some]), _steps(np.arange(some.start, some.stop)),
+                   words[some].astype("<i4").tobytes())
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """Stored blocks (block, lang, words, counts, pieces, positions, items) of all words; an item is a place in ``words``."""
-    schema = "lang string, words array<string>, counts array<long>, pieces binary, positions binary, items binary"
-    types = [pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
+def occurrences(docs: DataFrame, max_words: int = 3) -> DataFrame:
+    """Stored blocks of all words: rows (block, lang, first, words, counts) and (block, lang, chunk, until, pieces, positions, items).
+
+    An item is a place in the words of its block; ``first`` is the place of a row's first word. Occurrences from position
+    ``until`` on are those of the next chunk.
+    """
+    schema = RELATION.replace(",", ", lang string, first int, words array<string>, counts array<long>,", 1)
+    types = [pa.int64(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.int32(), pa.int32(), *[pa.binary()] * 3]
+    names = ["block", "lang", "first", "words", "counts", "chunk", "until", "pieces", "positions", "items"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(block: Block) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([v], t) for v, t in zip(block.record(), types)],
-                names=["lang", "words", "counts", "pieces", "positions", "items"])
+        made = 0
+
+        def out(block: Block) -> Iterator[pa.RecordBatch]:
+            nonlocal made
+            for row in block.records(made, CHUNK_WORDS, max_words - 1):
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
+            made += 1
 
         blocks: dict[str, Block] = {}
         for batch in batches:
@@ -109,52 +147,94 @@ def occurrences(docs: DataFrame) -> DataFrame:
                         block = blocks.setdefault(lang, Block(lang))
                         block.add(texts[start:i])
                         if block.size > BLOCK_WORDS:
-                            yield out(blocks.pop(lang))
+                            yield from out(blocks.pop(lang))
                         start, size = i, 0
                     size += len(text or "")
         for block in blocks.values():
             if block.size:
-                yield out(block)
+                yield from out(block)
 
     small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), text_or_empty().alias("text"))
-    return stored(rows.mapInArrow(cut, schema).withColumn("block", F.monotonically_increasing_id()), "word-blocks", "zstd")
+    # blocks are numbered inside their task
+    numbers = F.shiftleft(F.spark_partition_id().cast("long"), 33) + F.col("block")
+    return stored(rows.mapInArrow(cut, schema).withColumn("block", numbers), "word-blocks", "zstd", **WIDE)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+    for batch in batches:
+        for r in range(batch.num_rows):
+            yield [column[r] for column in batch.columns]
+
+
+def _lists(frequent: DataFrame) -> DataFrame:
+    """(block, codes, ids), codes as steps, of (block, code, id): the rows of a task, those of a block together."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(some: list[pa.RecordBatch]) -> pa.RecordBatch:
+            block, code, number = (np.concatenate([b.column(i).to_numpy() for b in some]) for i in range(3))
+            order = np.lexsort((code, block))
+            block, code, number = block[order], code[order], number[order]
+            edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            parts = [slice(at, min(at + CHUNK_WORDS, b)) for a, b in zip(edges, edges[1:]) for at in range(a, b, CHUNK_WORDS)]
+            return pa.RecordBatch.from_arrays([
+                pa.array([int(block[p.start]) for p in parts], pa.int64()),
+                pa.array([np.diff(code[p], prepend=0).astype("<i8").tobytes() for p in parts], pa.binary()),
+                pa.array([number[p].astype("<i4").tobytes() for p in parts], pa.binary()),
+            ], names=["block", "codes", "ids"])
+
+        waiting, size = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            size += batch.num_rows
+            if size >= BLOCK_WORDS:
+                yield out(waiting)
+                waiting, size = [], 0
+        if size:
+            yield out(waiting)
+
+    return frequent.select("block", "code", F.col("id").cast("long").alias("id")).mapInArrow(pack, "block long, codes binary, ids binary")
 
 
 def _translated(relation: DataFrame, frequent: DataFrame, label: str) -> DataFrame:
     """The stored relation of frequent items: ``relation`` with its codes replaced by ids.
 
     ``frequent`` (block, code, id) has the frequent ones of the codes that a block holds: as many as it has words at most.
+    Its lists come before the chunks of their block.
     """
-    lists = frequent.groupBy("block").agg(F.collect_list(F.struct("code", "id")).alias("known"))
-    joined = relation.join(lists, "block").select(
-        "block", "pieces", "positions", "items", F.col("known.code").alias("codes"), F.col("known.id").alias("ids"))
+    lists = _lists(frequent).select(
+        "block", F.lit(-1).alias("chunk"), F.lit(0).alias("until"), F.col("codes").alias("pieces"),
+        F.lit(None).cast("binary").alias("positions"), F.col("ids").alias("items"))
+    rows = lists.unionByName(relation).repartition("block").sortWithinPartitions("block", "chunk")
 
     def translate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                raw = {name: batch.column(i)[r] for i, name in enumerate(batch.schema.names)}
-                items = np.frombuffer(raw["items"].as_buffer(), "<i4")
-                pieces, positions = (_rising(raw[n].as_buffer()) for n in ("pieces", "positions"))
-                codes, ids = (raw[n].values.to_numpy().astype(np.int64) for n in ("codes", "ids"))
-                if label == "words":
-                    keys, following = items.astype(np.int64), slice(None)
-                else:
-                    keys, following = _neighbours(pieces, positions, items.astype(np.int64))
+        known, some = None, []
+        codes = ids = np.empty(0, np.int64)
+        for block, chunk, until, pieces, positions, items in _rows(batches):
+            if block != known:
+                known, some, codes, ids = block, [], np.empty(0, np.int64), np.empty(0, np.int64)
+            items = np.frombuffer(items.as_buffer(), "<i4").astype(np.int64)
+            if chunk.as_py() < 0:
+                some.append((np.cumsum(np.frombuffer(pieces.as_buffer(), "<i8")), items))
+                continue
+            if some:
+                codes, ids = (np.concatenate(arrays) for arrays in zip((codes, ids), *some))
                 order = np.argsort(codes)
-                codes, ids = codes[order], ids[order]
-                at = np.minimum(np.searchsorted(codes, keys), len(codes) - 1)
-                kept = codes[at] == keys
+                codes, ids, some = codes[order], ids[order], []
+            if not len(codes):
+                continue
+            pieces, positions = _rising(pieces.as_buffer()), _rising(positions.as_buffer())
+            keys, following = (items, slice(None)) if label == "words" else _neighbours(pieces, positions, items)
+            at = np.minimum(np.searchsorted(codes, keys), len(codes) - 1)
+            kept = codes[at] == keys
+            if kept.any():
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([raw["block"].as_py()], pa.int64()), pa.array([_steps(pieces[following][kept])], pa.binary()),
-                    pa.array([_steps(positions[following][kept])], pa.binary()),
+                    pa.array([block.as_py()], pa.int64()), pa.array([chunk.as_py()], pa.int32()), pa.array([until.as_py()], pa.int32()),
+                    pa.array([_steps(pieces[following][kept])], pa.binary()), pa.array([_steps(positions[following][kept])], pa.binary()),
                     pa.array([ids[at][kept].astype("<i4").tobytes()], pa.binary()),
-                ], names=["block", "pieces", "positions", "items"])
+                ], names=["block", "chunk", "until", "pieces", "positions", "items"])
 
-    small_batches(relation.sparkSession, 1, 1 << 30)
-    out = stored(joined.mapInArrow(translate, RELATION), f"relation-{label}", "zstd")
-    small_batches(relation.sparkSession)
-    return out
+    return stored(rows.mapInArrow(translate, RELATION), f"relation-{label}", "zstd", **WIDE)
 
 
 def _neighbours(pieces: np.ndarray, positions: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,22 +244,34 @@ def _neighbours(pieces: np.ndarray, positions: np.ndarray, items: np.ndarray) ->
 
 
 def _extended(relation: DataFrame, counted: bool) -> DataFrame:
-    """(block, code, n) of the phrases one item longer, pre-counted per block; code: both items in one long."""
+    """(code, n), or (block, code), of the phrases one item longer, counted for some chunks together; code: both items in one long.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                block, pieces, positions, items = (batch.column(i)[r] for i in range(4))
-                keys, _ = _neighbours(
-                    _rising(pieces.as_buffer()), _rising(positions.as_buffer()), np.frombuffer(items.as_buffer(), "<i4").astype(np.int64))
-                codes, n = np.unique(keys, return_counts=True)
-                for at in range(0, len(codes), 1 << 16):
-                    some = slice(at, at + (1 << 16))
-                    columns = [pa.array(codes[some]), pa.array(n[some] if counted else np.full(len(codes[some]), block.as_py()))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["code", "n" if counted else "block"])
+    Chunks of a block mostly come one after the other, so (block, code) rarely comes twice.
+    """
 
-    small_batches(relation.sparkSession, 1, 1 << 30)
-    return relation.select("block", "pieces", "positions", "items").mapInArrow(count, "code long, " + ("n long" if counted else "block long"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(block: int, some: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            codes, n = np.unique(np.concatenate(some), return_counts=True)
+            for at in range(0, len(codes), 1 << 16):
+                part = slice(at, at + (1 << 16))
+                columns = [pa.array(codes[part]), pa.array(n[part] if counted else np.full(len(codes[part]), block))]
+                yield pa.RecordBatch.from_arrays(columns, names=["code", "n" if counted else "block"])
+
+        last, some, size = None, [], 0
+        for block, until, pieces, positions, items in _rows(batches):
+            block, positions = block.as_py(), _rising(positions.as_buffer())
+            if some and (size >= BLOCK_WORDS or not counted and block != last):
+                yield from out(last, some)
+                some, size = [], 0
+            keys, places = _neighbours(_rising(pieces.as_buffer()), positions, np.frombuffer(items.as_buffer(), "<i4").astype(np.int64))
+            last = block
+            some.append(keys[positions[places] < until.as_py()])
+            size += len(some[-1])
+        if some:
+            yield from out(last, some)
+
+    return relation.select("block", "until", "pieces", "positions", "items").mapInArrow(
+        count, "code long, " + ("n long" if counted else "block long"))
 
 
 def _numbered(groups: DataFrame, order: list[str], label: str) -> DataFrame:
@@ -196,8 +288,12 @@ def levels(docs: DataFrame, max_words: int = 3, least: int = 10) -> tuple[DataFr
     ``left`` and ``right`` are ids of the phrase without its last and first word, ``heads`` and ``tails`` the counts of
     its first 1, 2, ... and last 1, 2, ... words.
     """
-    blocks = occurrences(docs)
-    spark = docs.sparkSession
+    blocks = occurrences(docs, max_words)
+    with _wide_rows(docs.sparkSession):
+        return _levels(blocks, max_words, least)
+
+
+def _levels(blocks: DataFrame, max_words: int, least: int) -> tuple[DataFrame, list[DataFrame]]:
     each = blocks.select("block", "lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select(
         "block", "lang", F.col("w.words").alias("phrase"), F.col("w.counts").alias("n"))
     totals = blocks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("n"))
@@ -208,10 +304,11 @@ def levels(docs: DataFrame, max_words: int = 3, least: int = 10) -> tuple[DataFr
     found = [known]
     if max_words == 1:
         return totals, found
-    small_batches(spark)
-    places = blocks.select("block", "lang", F.posexplode("words").alias("code", "phrase"))
+    places = blocks.select("block", "lang", "first", F.posexplode("words").alias("at", "phrase")).withColumn(
+        "code", (F.col("first") + F.col("at")).cast("long"))
     mine = places.join(known.select("lang", "phrase", "id"), ["lang", "phrase"]).select("block", "code", "id")
-    relation = _translated(blocks.select("block", "pieces", "positions", "items"), mine, "words")
+    chunks = blocks.where(F.col("chunk").isNotNull()).select("block", "chunk", "until", "pieces", "positions", "items")
+    relation = _translated(chunks, mine, "words")
     for length in range(2, max_words + 1):
         counts = _extended(relation, True).groupBy("code").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
         groups = _numbered(counts, ["code"], f"frequent-{length}").withColumns({
@@ -226,7 +323,6 @@ def levels(docs: DataFrame, max_words: int = 3, least: int = 10) -> tuple[DataFr
         if length < max_words:
             mine = _extended(relation, False).join(groups.select("code", "id"), "code").select("block", "code", "id")
             relation = _translated(relation, mine, f"phrases-{length}")
-    small_batches(spark)
     return totals, found
 
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from helpers import empty_documents, odd_documents
+from pyspark.sql import functions as F
 
 from tallyloom.llm import collocations
 
@@ -63,6 +64,37 @@ def test_phrases_equal_plain_counting(spark, length, monkeypatch):
     assert sorted(map(tuple, collocations.mined(frame(spark, rows), length, 5, top=7).collect())) == plain(rows, length, 5, top=7)
 
 
+@pytest.mark.parametrize("length, chunk", [(2, 1), (3, 2), (4, 3), (4, 50)])
+def test_phrases_across_chunks_are_counted_once(spark, length, chunk, monkeypatch):
+    monkeypatch.setattr(collocations, "BLOCK_WORDS", 300)
+    monkeypatch.setattr(collocations, "TEXTS_TOGETHER", 500)
+    monkeypatch.setattr(collocations, "CHUNK_WORDS", chunk)
+    rows = texts(7, 80)
+    want = plain(rows, length, 3)
+    assert want
+    assert sorted(map(tuple, collocations.mined(frame(spark, rows), length, 3).collect())) == want
+
+
+def test_no_stored_row_grows_with_its_block(spark, monkeypatch):
+    seen, keep = [], collocations.stored
+
+    def store(df, label, *given, **options):
+        seen.append((label, keep(df, label, *given, **options)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(collocations, "stored", store)
+    text = " ".join(f"w{i % 70_000} a" for i in range(150_000))
+    before = spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")
+    collocations.levels(frame(spark, [("en", text)]), least=2)
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == before
+    blocks = [df for label, df in seen if label == "word-blocks" or label.startswith("relation-")]
+    assert len(blocks) == 3
+    for df in blocks:
+        widths = [F.max(F.size(c) if kind.startswith("array") else F.octet_length(c) / 4)
+                  for c, kind in df.dtypes if kind == "binary" or kind.startswith("array")]
+        assert max(x for x in df.agg(*widths).first() if x is not None) <= (1 << 15) + 2
+
+
 def test_covered_phrases_go_and_ties_are_in_order_of_bytes(spark):
     rows = [("en", "new york city")] * 12 + [("en", "new york")] * 12 + [("en", "b c. é f. \U0001f600 g. ￿ h")] * 10
     got = sorted(map(tuple, collocations.mined(frame(spark, rows)).collect()))
