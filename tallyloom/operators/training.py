@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -195,46 +196,46 @@ def negative_samples(
     are counted first, which sizes the draw and fails at once if too few unknown pairs exist. Draws
     are the first cells of the customer x article grid in scrambled order: none comes twice, however dense
     the draw. The scrambling is undone for the known pairs, which gives the numbers to leave out and where the draw ends;
-    so draws are made in place, and only travel to get their two ids. Known pairs, their numbers and the indexes are
-    stored, since several steps read each.
+    so draws are made in place, and only travel, as one number each, to get their two ids. Known pairs, those of their
+    numbers that may be drawn and the indexes are stored, since several steps read each; shuffles go with each step.
     """
-    known = stored(
-        positives.groupBy("customer_id", "article_id").agg(F.count("*").alias("_rows")), "known-pairs"
-    )
+    keep = partial(stored, compression="zstd", drop_shuffles=True)
+    known = keep(positives.groupBy("customer_id", "article_id").agg(F.count("*").alias("_rows")), "known-pairs")
     catalogue = articles.select("article_id").where(F.col("article_id").isNotNull()).distinct()
-    listed = catalogue.withColumn("_listed", F.lit(1))
-    size = known.join(listed, "article_id", "left").agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.count("_listed").alias("pairs"),
-    ).first()
-    n_customers, n_articles = size["customers"], catalogue.count()
-    cells = n_customers * n_articles
-    free = cells - size["pairs"]
-    target = size["rows"] * per_positive
-    if target > free:
-        raise ValueError(f"{target} negatives wanted, but only {free} unknown pairs exist")
-
-    customer_index = stored(
+    customer_index = keep(
         dense_rank_of_values(known, [], "customer_id", "_c").select("customer_id", (F.col("_c") - 1).alias("_c")),
         "customer-index",
     )
-    article_index = stored(
+    article_index = keep(
         dense_rank_of_values(catalogue, [], "article_id", "_a").select("article_id", (F.col("_a") - 1).alias("_a")),
         "article-index",
     )
+    size = known.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"), F.count("*").alias("pairs")).first()
+    n_customers, n_articles = customer_index.count(), article_index.count()
+    cells = n_customers * n_articles
+    target = size["rows"] * per_positive
+    if target > cells - size["pairs"]:  # only then it matters which articles of the known pairs are in the catalogue
+        free = cells - known.join(article_index, "article_id").count()
+        if target > free:
+            raise ValueError(f"{target} negatives wanted, but only {free} unknown pairs exist")
+
     pairs = known.join(customer_index, "customer_id").join(article_index, "article_id").select("_c", "_a")
-    # stored before they are compared: a filter would hash everything once more
-    numbers = stored(numbers_of_cells(pairs, n_customers, n_articles, seed), "known-numbers").where(F.col("_j") < target + size["pairs"])
+    numbers = numbers_of_cells(pairs, n_customers, n_articles, seed)
+    # compared inside an array: a filter would hash everything once more
+    drawable = F.filter(F.array("_j"), lambda j: j < target + size["pairs"])
+    numbers = keep(numbers.select(F.explode_outer(drawable).alias("_j")).where(F.col("_j").isNotNull()), "known-numbers")
     end = end_of_free(numbers, target) if target else 0
     # of a large grid few known pairs are among the draws: a small table, joined where the draws are made
-    left_out = stored(numbers.where(F.col("_j") < end), "known-draws")
+    left_out = keep(numbers.where(F.col("_j") < end), "known-draws")
     spark = positives.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, -(-end // DRAWS_PER_TASK))
     free_draws = spark.range(0, end, 1, tasks).withColumnRenamed("id", "_j").join(left_out, "_j", "left_anti")
-    kept = scrambled_cells(free_draws, n_customers, n_articles, seed)
-    kept = kept.join(customer_index, "_c").join(article_index, "_a")
-    return kept.select("customer_id", "article_id", F.lit(0).alias("label"))
+    width, zero = max(n_articles, 1), F.lit(0).cast("long")
+    kept = scrambled_cells(free_draws, n_customers, n_articles, seed).select(
+        F.coalesce(F.col("_c") * F.lit(width).cast("long") + F.col("_a"), zero).alias("_cell"))
+    kept = kept.join(customer_index, F.coalesce(F.expr(f"_cell DIV {width}"), zero) == F.col("_c")).select(
+        "customer_id", F.coalesce(F.pmod("_cell", F.lit(width).cast("long")), zero).alias("_a"))
+    return kept.join(article_index, "_a").select("customer_id", "article_id", F.lit(0).alias("label"))
 
 
 def labelled_samples(positives: DataFrame, negatives: DataFrame) -> DataFrame:
@@ -269,7 +270,8 @@ def stored_positives(
     transactions: DataFrame, *, n: int = MAX_INTERACTIONS, tie_cols: Sequence[str] = ("article_id", "price")
 ) -> DataFrame:
     """(customer_id, article_id, recency) of ``last_interactions``, stored: negatives and samples read them."""
-    return stored(last_interactions(transactions, n=n, tie_cols=tie_cols).select("customer_id", "article_id", "recency"), "positives")
+    latest = last_interactions(transactions, n=n, tie_cols=tie_cols).select("customer_id", "article_id", "recency")
+    return stored(latest, "positives", "zstd", drop_shuffles=True)
 
 
 def samples_of(

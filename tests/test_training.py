@@ -224,3 +224,34 @@ def test_end_of_free_numbers(spark):
 def test_draws_are_not_shuffled_to_leave_known_pairs_out(spark, transactions, articles):
     plan = tr.negative_samples(tr.last_interactions(transactions), articles)._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan and "SortMergeJoin [_j" not in plan and "unknown-cells" not in plan
+
+
+def test_pairs_outside_the_catalogue_leave_the_grid_free(spark):
+    positives = spark.createDataFrame([("c1", 99)], "customer_id string, article_id int")
+    listed = spark.createDataFrame([(i,) for i in range(4)], "article_id int")
+    got = tr.negative_samples(positives, listed, per_positive=4)
+    assert rows(got, "article_id") == [("c1", i, 0) for i in range(4)]
+    with pytest.raises(ValueError, match="5 negatives wanted, but only 4 unknown"):
+        tr.negative_samples(positives, listed, per_positive=5)
+
+
+def test_negatives_leave_little_on_disk(spark, monkeypatch):
+    """Only numbers that may be drawn are stored, draws travel as one number, and shuffles go with each stored table."""
+    pairs = [(f"c{i % 40}", i * 7 % 1000) for i in range(200)]
+    positives = spark.createDataFrame(pairs, "customer_id string, article_id int")
+    listed = spark.range(1000).select(F.col("id").cast("int").alias("article_id"))
+    statuses = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    seen, keep = {}, tr.stored
+
+    def store(df, label, *given, **options):
+        before = {int(x) for x in statuses.keysIterator().mkString(",").split(",") if x}
+        seen[label] = keep(df, label, *given, **options)
+        assert {int(x) for x in statuses.keysIterator().mkString(",").split(",") if x} <= before, label
+        return seen[label]
+
+    monkeypatch.setattr(tr, "stored", store)
+    negatives = tr.negative_samples(tr.stored_positives(purchases(spark, pairs)), listed)
+    assert negatives.count() == 800 and negatives.join(positives, ["customer_id", "article_id"]).count() == 0
+    known = seen["known-pairs"].count()
+    assert known == len(set(pairs)) and seen["known-numbers"].count() < known / 4
+    assert "[coalesce((_cell#" in negatives._jdf.queryExecution().executedPlan().toString()
